@@ -1,6 +1,6 @@
 """Plays, scored shots and telemetry as fixed projections of the ``events`` table.
 
-FIXTURES.md section 2 gives the rules; ``oracle.py`` states them again in SQL.
+FIXTURES.md section 2 gives the rules; ``oracle.py`` states them again for DuckDB.
 """
 
 from __future__ import annotations
@@ -12,69 +12,79 @@ from swishline.functions import shots as S
 from swishline.operators import plays as P
 from swishline.operators.scoring import expected_points, shot_grade
 
-SHOT_TEXTS = [
-    "Driving DUNK",
-    "Layup",
-    "Hook Shot",
-    "Tip Layup Shot",
-    "Fadeaway",
-    "Jump Bank Shot",
-    "Alley Oop Dunk",
-    "Pull-Up Jump Shot",
-    "3PT Jump Shot",
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string"
+)
+
+TEXT = """
+concat('Player ', user_id, ' ', coalesce(
+  CASE WHEN event_id % 13 <> 0 THEN concat(k % 35, '\\' ', element_at(
+    array('Driving DUNK', 'Layup', 'Hook Shot', 'Tip Layup Shot', 'Fadeaway', 'Jump Bank Shot',
+      'Alley Oop Dunk', 'Pull-Up Jump Shot', '3PT Jump Shot'),
+    cast(event_id % 9 + 1 AS int))) END,
+  'Layup'))
+"""
+
+PLAYS = [
+    "event_id AS play_id",
+    "lpad(cast(user_id % 40 AS string), 10, '0') AS game_id",
+    """CASE event_type WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 WHEN 'view' THEN 2
+         WHEN 'signup' THEN 3 WHEN 'error' THEN 5 END AS eventmsgtype""",
+    "CASE WHEN k % 17 <> 0 THEN k % 5 END AS period",
+    """CASE WHEN k % 33 = 0 THEN NULL WHEN k % 25 = 0 THEN 'n/a' WHEN k % 29 = 0 THEN '1:02:03'
+         ELSE concat(k % 12, ':', lpad(cast(event_id % 60 AS string), 2, '0'))
+       END AS pctimestring""",
+    """CASE WHEN user_id % 2 = 0 THEN text WHEN event_id % 11 = 0 THEN 'Smith BLOCK (1 BLK)'
+       END AS homedescription""",
+    "CASE WHEN user_id % 2 = 1 THEN text END AS visitordescription",
+    """CASE WHEN user_id % 50 = 0 THEN NULL WHEN user_id % 50 = 1 THEN ''
+         ELSE concat('Player ', user_id) END AS player1_name""",
+    "cast(ts AS timestamp) AS created_at",
 ]
-MESSAGE_TYPES = {"purchase": 1, "click": 2, "view": 2, "signup": 3, "error": 5}
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+
+
+def _shot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir).where("event_type IN ('purchase', 'click', 'view')")
+
+
+def _as_plays(events: DataFrame, filtered_by_text: bool = False) -> DataFrame:
+    """``filtered_by_text``: the caller drops rows by what their text says. Such a
+    filter would be pushed down with a copy of the whole text's making; behind a
+    generator it stays where it is, and each text is made once.
+    """
+    parsed = events.selectExpr("*", "cast(get_json_object(props, '$.k') AS int) AS k")
+    text = f"explode(array({TEXT}))" if filtered_by_text else TEXT
+    return parsed.selectExpr("*", f"{text} AS text").selectExpr(*PLAYS)
 
 
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    event_id, user = F.col("event_id"), F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
+    return _as_plays(_events(spark, sf_dir))
 
-    name = F.concat(F.lit("Player "), user)
-    shot_text = F.element_at(
-        F.array(*map(F.lit, SHOT_TEXTS)), (event_id % 9 + 1).cast("int")
-    )
-    description = F.when(event_id % 13 == 0, F.concat(name, F.lit(" Layup"))).otherwise(
-        F.concat(name, F.lit(" "), k % 35, F.lit("' "), shot_text)
-    )
-    clock = (
-        F.when(k % 33 == 0, None)
-        .when(k % 25 == 0, "n/a")
-        .when(k % 29 == 0, "1:02:03")
-        .otherwise(F.concat(k % 12, F.lit(":"), F.lpad((event_id % 60).cast("string"), 2, "0")))
-    )
-    kind = F.lit(None)
-    for event_type, code in MESSAGE_TYPES.items():
-        kind = F.when(F.col("event_type") == event_type, code).otherwise(kind)
-
-    return events.select(
-        event_id.alias("play_id"),
-        F.lpad((user % 40).cast("string"), 10, "0").alias("game_id"),
-        kind.cast("int").alias("eventmsgtype"),
-        F.when(k % 17 != 0, k % 5).alias("period"),
-        clock.alias("pctimestring"),
-        F.when(user % 2 == 0, description)
-        .when(event_id % 11 == 0, "Smith BLOCK (1 BLK)")
-        .alias("homedescription"),
-        F.when(user % 2 == 1, description).alias("visitordescription"),
-        F.when(user % 50 == 0, None)
-        .when(user % 50 == 1, "")
-        .otherwise(name)
-        .alias("player1_name"),
-        F.col("ts").cast("timestamp").alias("created_at"),
-    )
+
+def shot_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the plays that are shots, chosen by event_type, which the scan can filter.
+
+    On a stored table of plays the filter on eventmsgtype reaches the scan itself;
+    here that column is computed, so its filter alone would not.
+    """
+    return _as_plays(_shot_events(spark, sf_dir))
 
 
 def shots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.shots(plays(spark, sf_dir))
+    return P.shots(_as_plays(_shot_events(spark, sf_dir), filtered_by_text=True))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shots with a closed-form probability ``p`` and their true ``label``."""
-    p = ((F.col("play_id") * 37) % 100 + 0.5) / 100
-    return shots(spark, sf_dir).withColumns(
-        {"p": p.cast("double"), "label": S.made(F.col("eventmsgtype"))}
+    return shots(spark, sf_dir).selectExpr(
+        "*",
+        "cast((cast(play_id * 37 % 100 AS double) + 0.5D) / 100 AS double) AS p",
+        "cast(eventmsgtype = 1 AS int) AS label",
     )
 
 

@@ -68,11 +68,11 @@ def to_compare(df: DataFrame, *rounded: str) -> DataFrame:
 
 
 def described(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.combine_description(P.filter_shots(B.plays(spark, sf_dir)))
+    return P.combine_description(P.filter_shots(B.shot_plays(spark, sf_dir)))
 
 
 def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.player_totals(B.plays(spark, sf_dir))
+    return K.player_totals(B.shot_plays(spark, sf_dir))
 
 
 def split_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,13 +155,13 @@ def event_field_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plays = B.plays(spark, sf_dir)
+    plays = B.shot_plays(spark, sf_dir)
     return R.feature_rows(plays, R.rated_players(plays), ("play_id",))
 
 
 @query
 def feature_rows_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plays = B.plays(spark, sf_dir)
+    plays = B.shot_plays(spark, sf_dir)
     rows = R.feature_rows(plays, R.rated_players(plays), ("play_id",), legacy_training=True)
     return to_compare(rows, "player_skill_rating")
 
@@ -171,7 +171,7 @@ def feature_rows_training(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def skill_lookup_train_(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plays = B.plays(spark, sf_dir)
+    plays = B.shot_plays(spark, sf_dir)
     ratings = R.rated_players(plays)
     rows = P.raw_inputs(plays).select("play_id", "player")
     rated = skill_lookup_train(rows, RatingTable.measured(ratings), K.league_value(ratings))
@@ -180,7 +180,7 @@ def skill_lookup_train_(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def skill_lookup_serve_(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plays = B.plays(spark, sf_dir)
+    plays = B.shot_plays(spark, sf_dir)
     rows = P.served_inputs(plays).select("play_id", "player")
     return skill_lookup_serve(rows, RatingTable.measured(R.rated_players(plays)))
 
@@ -202,7 +202,7 @@ report("xp_by_distance", A.xp_by_distance, latest_sample, "avg_xp")
 report("xp_by_distance_all", A.xp_by_distance, B.telemetry, "avg_xp")
 report("dashboard_snapshot", A.dashboard_snapshot, B.telemetry,
        "avg_xp", "premium_pct", "three_point_pct")
-report("player_totals", K.player_totals, B.plays)
+report("player_totals", K.player_totals, B.shot_plays)
 report("league_avg", K.league_avg, totals, "league_avg")
 report("player_skill", K.player_skill, totals)
 report("class_balance", E.class_balance, split_scored,
@@ -219,7 +219,7 @@ report("recent_shots", L.recent_shots, B.telemetry)
 
 
 def _events(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
-    return P.build_event(B.plays(spark, sf_dir), F.col("created_at"), keep)
+    return P.build_event(B.shot_plays(spark, sf_dir), F.col("created_at"), keep)
 
 
 def _files(spark: SparkSession) -> events.Transport:
@@ -331,7 +331,7 @@ def model_artifact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    plays = B.plays(spark, sf_dir)
+    plays = B.shot_plays(spark, sf_dir)
     rows = R.split_features(plays, R.rated_players(plays), F.col("play_id"))
     return rows.where("split = 'train'"), rows.where("split = 'test'")
 
@@ -372,7 +372,7 @@ def what_if_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def retrain_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "artifacts")
-    done = R.retrain(spark, B.plays(spark, sf_dir), root, F.col("play_id"), settings=QUICK)
+    done = R.retrain(spark, B.shot_plays(spark, sf_dir), root, F.col("play_id"), settings=QUICK)
     return done.metrics
 
 
@@ -416,7 +416,7 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_enrich_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same stream, scored by a published model and ratings."""
     root = scratch_dir(spark, "artifacts")
-    R.retrain(spark, B.plays(spark, sf_dir), root, F.col("play_id"), learner="logistic")
+    R.retrain(spark, B.shot_plays(spark, sf_dir), root, F.col("play_id"), learner="logistic")
     path = _enriched(spark, _published(spark, sf_dir), enrich.Scorer(spark, [root]))
     return to_compare(telemetry.read_telemetry(spark, path).drop("shot_id"), "expected_points")
 

@@ -18,10 +18,10 @@ def combined_description(home: Column, visitor: Column) -> Column:
 def distance_feet(description: Column) -> Column:
     """First number directly before a foot mark, null when there is none.
 
-    ``regexp_extract`` answers '' for "no match", which an ANSI cast refuses.
+    ``regexp_extract`` answers '' for "no match": an ANSI cast refuses that, the
+    trying cast makes it the null it should be.
     """
-    digits = F.regexp_extract(description, "([0-9]+)'", 1)
-    return F.nullif(digits, F.lit("")).try_cast("int")
+    return F.regexp_extract(description, "([0-9]+)'", 1).try_cast("int")
 
 
 def shot_type_flag(description: Column, flag: str) -> Column:

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from swishline.operators.lookup import MAX_BROADCAST_ROWS
+from pyspark.sql.window import WindowSpec
 
 # probabilities are kept this far from 0 and 1 before taking logarithms
 LOG_CLIP = 2.220446049250313e-16
@@ -57,41 +56,42 @@ def eval_brier(scored: DataFrame) -> DataFrame:
 def eval_auc(scored: DataFrame, digits: int = AUC_DIGITS) -> DataFrame:
     """Area under the ROC curve, ties counting half.
 
-    Needs, per score, the negatives that score lower: a running total over all
-    scores. A single ordered window would put every score into one task, so it
-    is taken in two steps of bounded size. Rows collapse to one count per score
-    (rounded to ``digits`` places), the scores fall into 10^(digits/2) buckets
-    of at most about as many scores each, bucket totals are accumulated across
-    buckets, and scores are accumulated within their bucket.
+    Each positive counts the negatives that score lower: a running total over
+    all scores, which one ordered window would take in a single task. It is
+    taken in two steps of bounded size instead. Rows collapse to one count per
+    score (rounded to ``digits`` places); the scores fall into 10^(digits/2)
+    buckets and are accumulated within them; then the buckets, 10^(digits/2) + 1
+    rows at most, are accumulated.
     """
     buckets = 10 ** (digits // 2)
-    if buckets > MAX_BROADCAST_ROWS:
-        raise ValueError("too many digits for a bounded bucket table")
     per_score = scored.groupBy(F.round("p", digits).alias("score")).agg(
         F.sum("label").cast("double").alias("pos"),
         F.sum(1 - F.col("label")).cast("double").alias("neg"),
     )
     bucketed = per_score.withColumn("bucket", F.floor(F.col("score") * buckets))
 
-    # at most buckets + 1 rows: one window, one small broadcast
-    totals = bucketed.groupBy("bucket").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
-    below = Window.partitionBy(F.lit(0)).orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = totals.select(
-        "bucket", F.coalesce(F.sum("neg").over(below), F.lit(0.0)).alias("neg_in_lower_buckets")
-    )
-    lower = Window.partitionBy("bucket").orderBy("score").rowsBetween(
-        Window.unboundedPreceding, -1
+    lower_scores = _before(Window.partitionBy("bucket").orderBy("score"))
+    per_bucket = (
+        bucketed.withColumn("below", lower_scores)
+        .groupBy("bucket")
+        .agg(
+            F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2)).alias("wins"),
+            F.sum("pos").alias("pos"),
+            F.sum("neg").alias("neg"),
+        )
     )
-    ranked = bucketed.join(F.broadcast(offsets), "bucket").withColumn(
-        "neg_below",
-        F.col("neg_in_lower_buckets") + F.coalesce(F.sum("neg").over(lower), F.lit(0.0)),
-    )
-    wins = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2))
+    lower_buckets = _before(Window.partitionBy(F.lit(0)).orderBy("bucket"))
+    ranked = per_bucket.withColumn("below", lower_buckets)
+    wins = F.sum(F.col("wins") + F.col("pos") * F.col("below"))
     return ranked.agg(F.try_divide(wins, F.sum("pos") * F.sum("neg")).alias("auc"))
 
 
+def _before(order: WindowSpec) -> Column:
+    """Negatives in the rows before this one."""
+    rows = order.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("neg").over(rows), F.lit(0.0))
+
+
 def evaluate(scored: DataFrame) -> DataFrame:
     """All four metrics in one row."""
     return scored.agg(

@@ -13,7 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.streaming.metricsEnabled": "false",
+    # call sites of column expressions, for error texts: slow to collect
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
