@@ -136,8 +136,12 @@ def premium_pct(telemetry: DataFrame) -> DataFrame:
 
 def three_point_pct(telemetry: DataFrame, sample: int = SAMPLE_LIMIT) -> DataFrame:
     """Share of threes among the newest shots only, as the dashboard shows it."""
+    return three_point_share(latest_n(telemetry, sample))
+
+
+def three_point_share(rows: DataFrame) -> DataFrame:
     share = _share_of(S.beyond_arc(F.col("shot_distance")))
-    return latest_n(telemetry, sample).agg(_percent(share).alias("three_point_pct"))
+    return rows.agg(_percent(share).alias("three_point_pct"))
 
 
 def distance_histogram(rows: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
@@ -162,14 +166,20 @@ def xp_by_distance(rows: DataFrame) -> DataFrame:
 
 
 def dashboard_snapshot(
-    telemetry: DataFrame, as_of: datetime | None = None, sample: int = SAMPLE_LIMIT
+    telemetry: DataFrame,
+    as_of: datetime | None = None,
+    sample: int = SAMPLE_LIMIT,
+    latest: DataFrame | None = None,
 ) -> DataFrame:
-    """The header metrics in one row: one aggregate pass, plus the sample's top-n."""
+    """The header metrics in one row: one aggregate pass, plus the sample's top-n.
+
+    ``latest`` is the latest-n sample, for callers that have it already.
+    """
     recent = F.count_if(_within(telemetry, as_of, 5))
-    three = three_point_pct(telemetry, sample).scalar()
+    three = three_point_share(latest_n(telemetry, sample) if latest is None else latest)
     return telemetry.agg(
         _rows().alias("total_shots"),
         recent.alias("recent_shots"),
         F.coalesce(F.avg("expected_points"), F.lit(0.0)).alias("avg_xp"),
         _percent(_share_of(F.col("shot_grade") == "A")).alias("premium_pct"),
-    ).withColumn("three_point_pct", three)
+    ).withColumn("three_point_pct", three.scalar())

@@ -3,35 +3,52 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from swishline.operators import analytics as A
 from swishline.operators.sampling import SAMPLE_LIMIT, latest_n, recent_shots, sample_n
 from swishline.session import get_session
-from swishline.sources.telemetry import read_telemetry
+from swishline.sources.telemetry import read_newest_days, read_telemetry
 
 
 def refresh(
-    telemetry: DataFrame, as_of: datetime | None = None, sample: int = SAMPLE_LIMIT
+    telemetry: DataFrame,
+    as_of: datetime | None = None,
+    sample: int = SAMPLE_LIMIT,
+    newest: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Report name to frame. The latest-n sample (at most 5000 rows) is found
-    once and kept for the reports that are drawn from it."""
-    newest = latest_n(telemetry, sample).persist()
+    """Report name to frame.
+
+    The latest-n sample (at most 5000 rows) is found once and kept for the
+    reports drawn from it. ``newest`` may name a smaller frame to find it in.
+    """
+    latest = latest_n(telemetry if newest is None else newest, sample).persist()
     return {
-        "header": A.dashboard_snapshot(telemetry, as_of, sample),
+        "header": A.dashboard_snapshot(telemetry, as_of, latest=latest),
         "grades": A.grade_distribution(telemetry),
         "zones": A.zone_stats(telemetry),
         "players": A.player_leaderboard(telemetry),
         "per_minute": A.shots_per_minute(telemetry, as_of),
-        "shot_map": A.shot_position(sample_n(newest)),
-        "distances": A.distance_histogram(newest),
-        "xp_by_distance": A.xp_by_distance(newest),
-        "recent": recent_shots(newest),
+        "shot_map": A.shot_position(sample_n(latest)),
+        "distances": A.distance_histogram(latest),
+        "xp_by_distance": A.xp_by_distance(latest),
+        "recent": recent_shots(latest),
     }
 
 
+def refresh_stored(
+    spark: SparkSession, path: str, as_of: datetime, sample: int = SAMPLE_LIMIT
+) -> dict[str, DataFrame]:
+    """The reports of a stored table: the timed ones read only the days they need."""
+    reports = refresh(
+        read_telemetry(spark, path), as_of, sample, read_newest_days(spark, path, sample)
+    )
+    last_hour = read_telemetry(spark, path, as_of - timedelta(hours=1))
+    return {**reports, "per_minute": A.shots_per_minute(last_hour, as_of)}
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--telemetry", required=True, help="telemetry table folder")
@@ -41,7 +58,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = get_session("dashboard")
     now = datetime.now().astimezone()
-    reports = refresh(read_telemetry(spark, args.telemetry), now, args.sample)
+    reports = refresh_stored(spark, args.telemetry, now, args.sample)
     for name, report in reports.items():
         if args.out:
             report.write.mode("overwrite").json(f"{args.out.rstrip('/')}/{name}")

@@ -8,7 +8,7 @@ after a partial commit can repeat rows there.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +26,13 @@ STORED = T.StructType(
 
 
 def append_telemetry(scored: DataFrame, path: str, batch_id: int) -> None:
+    """Store one batch. Rows are gathered by day first, so that a wide batch does
+    not leave a file per task and day; adaptive execution cuts a big day into
+    several well-sized files, and no task gets the whole day."""
     rows = scored.select(*TELEMETRY.fieldNames())
     rows = rows.withColumn("created_date", F.to_date("created_at"))
+    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        rows = rows.hint("rebalance", "created_date")
     target = f"{path.rstrip('/')}/batch_id={batch_id}"
     rows.write.mode("overwrite").partitionBy("created_date").parquet(target)
 
@@ -38,15 +43,35 @@ def append_telemetry_jdbc(scored: DataFrame, url: str, table: str, **options: st
     rows.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STORED).option("basePath", path).parquet(path)
+
+
 def read_telemetry(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
     """Stored rows with both times. ``since`` limits by created_at and prunes days."""
-    rows = spark.read.schema(STORED).option("basePath", path).parquet(path)
+    rows = _stored(spark, path)
     if since is not None:
         rows = rows.where(F.col("created_date") >= F.lit(since).cast("date"))
         rows = rows.where(F.col("created_at") >= F.lit(since))
     return rows.select(*TELEMETRY.fieldNames())
 
 
+def read_newest_days(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The newest whole days that hold at least ``n`` rows together, or all days.
+
+    What is newest overall is newest in there, so a "latest n" report need not
+    read the rest of the table. Days are counted from the file footers.
+    """
+    rows = _stored(spark, path)
+    newest = rows.agg(F.max("created_date")).first()[0]
+    for days in (1, 7, 31, 366) if newest is not None else ():
+        first = newest - timedelta(days=days - 1)
+        recent = rows.where(F.col("created_date") >= F.lit(first))
+        if recent.limit(n).count() == n:
+            return recent.select(*TELEMETRY.fieldNames())
+    return rows.select(*TELEMETRY.fieldNames())
+
+
 def read_telemetry_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
     """Telemetry from a database. Pass partitionColumn, bounds and numPartitions
     to read in parallel; filters and column choice are pushed to the database."""

@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from swishline.operators.sampling import latest_n
 from swishline.operators.skill import player_skill, player_totals
 from swishline.sources import artifacts, telemetry as store
 from swishline.sources.plays import scan_plays, write_plays
@@ -70,6 +71,23 @@ def test_time_bounded_reads_skip_days(spark, telemetry):
     assert "GreaterThanOrEqual(created_at" in plan
 
 
+def test_newest_days_hold_the_newest_rows(spark, telemetry, rows):
+    path = scratch_dir(spark, "telemetry")
+    store.append_telemetry(telemetry, path, 0)
+    everything = store.read_telemetry(spark, path)
+    for n in (100, 300, 5000):
+        days = store.read_newest_days(spark, path, n)
+        assert rows(latest_n(days, n)) == rows(latest_n(everything, n))
+    assert store.read_newest_days(spark, path, 100).count() < telemetry.count()
+
+
+def test_a_batch_leaves_one_file_per_small_day(spark, telemetry):
+    path = scratch_dir(spark, "telemetry")
+    store.append_telemetry(telemetry.repartition(8), path, 0)
+    days = telemetry.select(F.to_date("created_at")).distinct().count()
+    assert len(store.read_telemetry(spark, path).inputFiles()) == days
+
+
 def test_artifacts_fall_back_in_order(spark, plays):
     first, second = scratch_dir(spark, "a"), scratch_dir(spark, "b")
     assert artifacts.load_ratings(spark, [first, second]) is None
