@@ -3,8 +3,8 @@
 Two plans, chosen from the measured size of the rating table:
 
 * it fits: broadcast it, and the rows never move;
-* it does not: split the players. One that owns more than 1/1000 of the rows is
-  hot; there are fewer than 1000 of those whatever the data, so their ratings
+* it does not: split the players. One that owns more than 1/1000 of the named
+  rows is hot; there are fewer than 1000 of those whatever the data, so their ratings
   are broadcast. The other rows shuffle by player, each player below 1/1000 of
   them. Rows that need no second look-up (hot or unnamed) are spread by a hash.
 """
@@ -21,9 +21,10 @@ from swishline.schemas import LEAGUE_RATING
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
-# A player with more than this share of the rows is hot. N of them would own
-# more than N/1000 of all rows, so there are always fewer than 1000.
+# A player with more than this share of the named rows is hot. N of them would
+# own more than N/1000 of those rows, so there are always fewer than 1000.
 HOT_SHARE = 1 / 1000
+# keys that rows without a look-up are spread over
 SPREAD = 1 << 20
 
 
@@ -60,10 +61,14 @@ def attach_rating(rows: DataFrame, ratings: RatingTable) -> DataFrame:
     return _attach_split(rows, ratings.frame)
 
 
-def _attach_split(rows: DataFrame, ratings: DataFrame) -> DataFrame:
-    counts = rows.groupBy("player").agg(F.count(F.lit(1)).alias("n"))
-    everything = counts.agg(F.sum("n")).scalar()
-    hot = counts.where(F.col("n") > everything * HOT_SHARE).select(F.col("player").alias("hot"))
+def split_keys(rows: DataFrame, ratings: DataFrame) -> DataFrame:
+    """Rows with the rating of hot players and the keys the others shuffle by:
+    ``cold``, null where there is nothing left to look up, and ``spread``."""
+    # used three times below: the counts' shuffle is run once and shared
+    counts = rows.where(F.col("player").isNotNull()).groupBy("player")
+    counts = counts.agg(F.count(F.lit(1)).alias("n"))
+    named = counts.agg(F.sum("n")).scalar()
+    hot = counts.where(F.col("n") > named * HOT_SHARE).select(F.col("player").alias("hot"))
     hot_known = ratings.join(F.broadcast(hot), F.col("player") == F.col("hot")).select(
         "player", F.col("rating").alias("hot_rating")
     )
@@ -75,10 +80,15 @@ def _attach_split(rows: DataFrame, ratings: DataFrame) -> DataFrame:
 
     cold = F.when(F.col("hot").isNull(), F.col("player"))
     spread = F.when(cold.isNull(), F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD))).otherwise(0)
-    keyed = marked.withColumns({"cold": cold, "spread": spread})
-    table = ratings.select(F.col("player").alias("rated"), "rating")
+    return marked.withColumns({"cold": cold, "spread": spread})
+
+
+def _attach_split(rows: DataFrame, ratings: DataFrame) -> DataFrame:
+    keyed = split_keys(rows, ratings)
+    # a second key of value 0, in a form that the optimizer leaves a join key
+    zero = F.length("player").cast("bigint") * 0
     joined = keyed.join(
-        table.withColumn("zero", F.length("rated").cast("bigint") * 0),
+        ratings.select(F.col("player").alias("rated"), "rating", zero.alias("zero")),
         (F.col("cold") == F.col("rated")) & (F.col("spread") == F.col("zero")),
         "left",
     )

@@ -113,17 +113,18 @@ def decode_events(messages: DataFrame) -> DataFrame:
 
 def readable(decoded: DataFrame) -> DataFrame:
     """Events that parsed and name a game, the one field that has no default."""
-    return decoded.where(_is_readable()).select(
+    return decoded.where(is_readable()).select(
         *[c for c in decoded.columns if c not in ("value", "event")],
         *[F.col(f"event.{name}") for name in EVENT_FIELDS],
     )
 
 
 def unreadable(decoded: DataFrame) -> DataFrame:
-    return decoded.where(~_is_readable()).drop("event")
+    return decoded.where(~is_readable()).drop("event")
 
 
-def _is_readable() -> Column:
+def is_readable() -> Column:
+    """Condition on a decoded message."""
     return F.coalesce(
         F.col("event").isNotNull()
         & F.col(f"event.{CORRUPT}").isNull()

@@ -7,11 +7,12 @@ import time
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from swishline.operators.lookup import RatingTable
-from swishline.operators.plays import decode_events, readable, unreadable
+from swishline.operators.plays import decode_events, is_readable, readable, unreadable
 from swishline.operators.scoring import score_events
 from swishline.schemas import RELOAD_SECONDS
 from swishline.sources.artifacts import load_model, load_ratings
@@ -77,18 +78,19 @@ def stream_enrich(
 
     The stream's checkpoint holds the offsets; a micro-batch that has to run
     again replaces what its first run stored. Messages that cannot be read are
-    stored apart, with their text, and do not stop the stream.
+    stored apart, with their text, and do not stop the stream. They are counted
+    while the good ones are stored, so a batch without any is read only once.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         scorer.refresh()
-        decoded = decode_events(batch).persist()
-        try:
-            sink(scorer.score(readable(decoded), created_at), telemetry_path, batch_id)
+        decoded = decode_events(batch)
+        seen = Observation()
+        counted = decoded.observe(seen, F.count_if(~is_readable()).alias("unreadable"))
+        sink(scorer.score(readable(counted), created_at), telemetry_path, batch_id)
+        if seen.get["unreadable"]:
             rejects = unreadable(decoded)
             rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
-        finally:
-            decoded.unpersist()
 
     writer = messages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()

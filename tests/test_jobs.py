@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import pytest
+
 from contract import bindings
 from conftest import SMALL
-from swishline.plans import dashboard, publish, retrain, score
+from swishline.plans import dashboard, live, publish, retrain, score
 from swishline.sources.plays import write_plays
 from swishline.sources.scratch import scratch_dir
 from swishline.schemas import PLAYS
 from swishline.sources.telemetry import read_telemetry
+from swishline.streaming import live as reports
 
 
 def test_pipeline(spark, tmp_path, capsys):
@@ -24,14 +27,22 @@ def test_pipeline(spark, tmp_path, capsys):
     stored = read_telemetry(spark, f"{base}/telemetry")
     assert stored.count() == bindings.shots(spark, SMALL).count()
 
+    live.main([*stream, "--artifacts", f"{base}/artifacts", "--out", f"{base}/live",
+               "--checkpoint", f"{base}/live-offsets", "--start", "earliest", "--once",
+               "--late-by", "3650 days"])
+    head = reports.headline(reports.running_totals_now(spark, f"{base}/live/totals")).first()
+    assert head["total_shots"] == stored.count()
+    minutes = reports.shots_per_minute_now(spark, f"{base}/live/minutes")
+    assert minutes.agg({"shots": "sum"}).first()[0] == stored.count()
+    points = stored.agg({"expected_points": "avg"}).first()[0]
+    assert head["avg_xp"] == pytest.approx(points)
+
     dashboard.main(["--telemetry", f"{base}/telemetry", "--out", f"{base}/reports"])
     assert spark.read.json(f"{base}/reports/header").first()["total_shots"] == stored.count()
     assert spark.read.json(f"{base}/reports/recent").count() == 20
 
 
 def test_scratch_needs_the_shared_folder_on_a_cluster(spark, monkeypatch):
-    import pytest
-
     from swishline.sources import scratch
 
     class Elsewhere:
