@@ -13,7 +13,7 @@ from swishline.operators.scoring import event_time
 from swishline.plans.options import add_transport, transport_of
 from swishline.session import get_session
 from swishline.sources.events import EARLIEST, LATEST, subscribe_events
-from swishline.streaming.enrich import Scorer, skip_history
+from swishline.streaming.enrich import Scorer
 from swishline.streaming.live import (
     LATE_BY,
     REFRESH,
@@ -32,15 +32,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--late-by", default=LATE_BY, help="how late an event still counts")
     parser.add_argument("--once", action="store_true", help="take what is there, then stop")
     args = parser.parse_args(argv)
+    if args.start == LATEST and args.transport == "files":
+        parser.error("reports over files start at the earliest message")
 
     spark = get_session("live")
     transport = transport_of(args)
     offsets = {name: f"{args.checkpoint.rstrip('/')}/{name}" for name in ("minutes", "totals")}
     messages = subscribe_events(spark, transport, args.start)
-    if args.start == LATEST and transport.kind == "files":
-        for checkpoint in offsets.values():
-            skip_history(messages, checkpoint)
-
     events = readable(decode_events(messages))
     scored = Scorer(spark, args.artifacts).score(events)
     out = args.out.rstrip("/")

@@ -6,6 +6,7 @@ import logging
 import time
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -99,9 +100,12 @@ def stream_enrich(
 def skip_history(messages: DataFrame, checkpoint: str) -> None:
     """Mark everything published so far as taken, without reading it.
 
-    For sources that have no "latest" start position, such as files: run this
-    once, then start the real query on the same checkpoint.
+    For sources that have no "latest" start position, such as files: call this,
+    then start the real query, one without state, on the same checkpoint. A checkpoint that is in use
+    already is left alone, so a stopped query resumes where it was.
     """
+    if _in_use(messages.sparkSession, checkpoint):
+        return
     query = (
         messages.writeStream.foreachBatch(lambda batch, batch_id: None)
         .option("checkpointLocation", checkpoint)
@@ -109,3 +113,11 @@ def skip_history(messages: DataFrame, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
+
+
+def _in_use(spark: SparkSession, checkpoint: str) -> bool:
+    try:
+        spark.read.text(f"{checkpoint}/metadata")
+    except AnalysisException:
+        return False
+    return True
