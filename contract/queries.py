@@ -228,11 +228,17 @@ def _files(spark: SparkSession) -> events.Transport:
 
 def _published(spark: SparkSession, sf_dir: str) -> events.Transport:
     transport = _files(spark)
-    # several files, so that replays have something to take in turns
-    events.publish_events(_events(spark, sf_dir).repartition(8), transport)
+    events.publish_events(_events(spark, sf_dir), transport)
     return transport
 
 
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Events of the first and of the second half of the time span."""
+    rows = _events(spark, sf_dir)
+    halfway = rows.agg((F.min("timestamp") + F.max("timestamp")) / 2).scalar()
+    return rows.where(F.col("timestamp") < halfway), rows.where(F.col("timestamp") >= halfway)
+
+
 def _typed_events(readable: DataFrame) -> DataFrame:
     whole = [f for f in EVENT_FIELDS if f not in ("game_id", "player", "result", "timestamp")]
     return readable.select(
@@ -281,7 +287,7 @@ def subscribe_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def replay_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "replayed")
-    messages = events.subscribe_events(spark, _published(spark, sf_dir), max_per_trigger=3)
+    messages = events.subscribe_events(spark, _published(spark, sf_dir), max_per_trigger=1000)
     _drain(P.readable(P.decode_events(messages)), path)
     return _typed_events(spark.read.parquet(path))
 
@@ -384,21 +390,17 @@ def _enriched(
     transport: events.Transport,
     scorer: enrich.Scorer,
     checkpoint: str | None = None,
-    max_per_trigger: int | None = None,
-    **options,
 ) -> str:
     """Score what has been published; telemetry gets the event's time as its own."""
     path = scratch_dir(spark, "telemetry")
-    stream = events.subscribe_events(spark, transport, max_per_trigger=max_per_trigger)
     enrich.stream_enrich(
-        stream,
+        events.subscribe_events(spark, transport),
         scorer,
         path,
         f"{path}-rejects",
         checkpoint or f"{path}-offsets",
         created_at=X.event_time(),
         trigger=ONCE,
-        **options,
     ).awaitTermination()
     return path
 
@@ -423,25 +425,22 @@ def stream_enrich_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_hot_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second model appears after the first micro-batch; later ones use it."""
-    root = scratch_dir(spark, "artifacts")
+    """The second half of the events meets the model published after the first."""
+    root, checkpoint = scratch_dir(spark, "artifacts"), scratch_dir(spark, "offsets")
     train, _ = _train_test(spark, sf_dir)
     model = M.train_logistic(train)
-    first = artifacts.publish_model(spark, model, root)
+    first = artifacts.publish_model(spark, model, root).version
     scorer = enrich.Scorer(spark, [root], reload_seconds=-1)
-    used: dict[int, int] = {}
-
-    def sink(batch: DataFrame, path: str, batch_id: int) -> None:
-        used[batch_id] = 1 if scorer.model_version == first.version else 2
-        telemetry.append_telemetry(batch, path, batch_id)
-        if batch_id == 0:
-            artifacts.publish_model(spark, model, root)
-
-    path = _enriched(spark, _published(spark, sf_dir), scorer, max_per_trigger=4, sink=sink)
-    generations = spark.createDataFrame(list(used.items()), "batch_id bigint, generation int")
-    stored = spark.read.schema(telemetry.STORED).parquet(path)
-    shots = stored.groupBy("batch_id").agg(F.count(F.lit(1)).alias("shots"))
-    return shots.join(F.broadcast(generations), "batch_id").select("generation", "shots")
+    transport = _files(spark)
+    parts = []
+    for half in _halves(spark, sf_dir):
+        events.publish_events(half, transport)
+        path = _enriched(spark, transport, scorer, checkpoint=checkpoint)
+        generation = 1 if scorer.model_version == first else 2
+        shots = telemetry.read_telemetry(spark, path).agg(F.count(F.lit(1)).alias("shots"))
+        parts.append(shots.withColumn("generation", F.lit(generation)))
+        artifacts.publish_model(spark, model, root)
+    return parts[0].unionByName(parts[1])
 
 
 @query
@@ -458,19 +457,17 @@ def stream_start_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The first half of the time span is history when the second consumer starts.
     """
-    rows = _events(spark, sf_dir)
-    halfway = rows.agg((F.min("timestamp") + F.max("timestamp")) / 2).scalar()
-    news = F.col("timestamp") >= halfway
+    history, news = _halves(spark, sf_dir)
     transport = _files(spark)
-    events.publish_events(rows.where(~news), transport)
+    events.publish_events(history, transport)
     checkpoint = scratch_dir(spark, "offsets")
     enrich.skip_history(events.subscribe_events(spark, transport), checkpoint)
-    events.publish_events(rows.where(news), transport)
+    events.publish_events(news, transport)
 
     scorer = enrich.Scorer(spark, [scratch_dir(spark, "no-artifacts")])
     seen = {
         events.EARLIEST: _enriched(spark, transport, scorer),
-        events.LATEST: _enriched(spark, transport, scorer, checkpoint),
+        events.LATEST: _enriched(spark, transport, scorer, checkpoint=checkpoint),
     }
     parts = [
         telemetry.read_telemetry(spark, path)
@@ -499,7 +496,7 @@ def stream_shots_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "totals")
-    messages = events.subscribe_events(spark, _published(spark, sf_dir), max_per_trigger=4)
+    messages = events.subscribe_events(spark, _published(spark, sf_dir))
     scored = X.score_events(P.readable(P.decode_events(messages)), None, None, X.event_time())
     live.stream_running_totals(scored, path, f"{path}-offsets", ONCE).awaitTermination()
     now = live.running_totals_now(spark, path)

@@ -8,6 +8,7 @@ from swishline.plans.options import add_transport, transport_of
 from swishline.session import get_session
 from swishline.sources.events import EARLIEST, LATEST, subscribe_events
 from swishline.sources.scratch import scratch_dir
+from swishline.sources.telemetry import append_telemetry, append_telemetry_jdbc
 from swishline.streaming.enrich import Scorer, skip_history, stream_enrich
 
 
@@ -16,6 +17,8 @@ def main(argv: list[str] | None = None) -> None:
     add_transport(parser)
     parser.add_argument("--artifacts", nargs="+", required=True, help="roots, tried in order")
     parser.add_argument("--telemetry", required=True, help="telemetry table folder")
+    parser.add_argument("--jdbc-url", help="store in a database instead of the folder")
+    parser.add_argument("--jdbc-table", default="shot_telemetry")
     parser.add_argument("--rejects", help="folder for unreadable messages")
     parser.add_argument("--checkpoint", help="keep the same one to resume after a stop")
     parser.add_argument("--start", choices=[EARLIEST, LATEST], default=LATEST)
@@ -28,6 +31,11 @@ def main(argv: list[str] | None = None) -> None:
     transport = transport_of(args)
     if args.start == LATEST and transport.kind == "files":
         skip_history(subscribe_events(spark, transport), checkpoint)
+    sink = append_telemetry
+    if args.jdbc_url:
+        def sink(batch, path, batch_id, stream_id):
+            append_telemetry_jdbc(batch, args.jdbc_url, args.jdbc_table)
+
     query = stream_enrich(
         subscribe_events(spark, transport, args.start, args.max_per_trigger),
         Scorer(spark, args.artifacts),
@@ -35,6 +43,7 @@ def main(argv: list[str] | None = None) -> None:
         args.rejects or f"{args.telemetry.rstrip('/')}_rejects",
         checkpoint,
         trigger={"availableNow": True} if args.once else None,
+        sink=sink,
     )
     query.awaitTermination()
 

@@ -1,7 +1,8 @@
 """The telemetry table: scored shots, appended batch by batch.
 
-Files: ``<path>/batch_id=<n>/created_date=<d>/*.parquet``. A batch that runs
-again after a crash overwrites its own folder, so no row is stored twice, and
+Files: ``<path>/stream_id=<s>/batch_id=<n>/created_date=<d>/*.parquet``. A batch
+that runs again after a crash overwrites its own folder, so no row is stored
+twice; several streams, or one begun anew, share a table without meeting; and
 time-bounded reads skip whole days. JDBC: plain append; a batch that is retried
 after a partial commit can repeat rows there.
 """
@@ -19,13 +20,16 @@ from swishline.schemas import TELEMETRY, TELEMETRY_COLUMNS
 STORED = T.StructType(
     [
         *TELEMETRY.fields,
+        T.StructField("stream_id", T.StringType()),
         T.StructField("batch_id", T.LongType()),
         T.StructField("created_date", T.DateType()),
     ]
 )
 
 
-def append_telemetry(scored: DataFrame, path: str, batch_id: int) -> None:
+def append_telemetry(
+    scored: DataFrame, path: str, batch_id: int, stream_id: str = "direct"
+) -> None:
     """Store one batch. Rows are gathered by day first, so that a wide batch does
     not leave a file per task and day; adaptive execution cuts a big day into
     several well-sized files, and no task gets the whole day."""
@@ -33,10 +37,14 @@ def append_telemetry(scored: DataFrame, path: str, batch_id: int) -> None:
     rows = rows.withColumn("created_date", F.to_date("created_at"))
     if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         rows = rows.hint("rebalance", "created_date")
-    target = f"{path.rstrip('/')}/batch_id={batch_id}"
+    target = batch_folder(path, stream_id, batch_id)
     rows.write.mode("overwrite").partitionBy("created_date").parquet(target)
 
 
+def batch_folder(path: str, stream_id: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/stream_id={stream_id}/batch_id={batch_id}"
+
+
 def append_telemetry_jdbc(scored: DataFrame, url: str, table: str, **options: str) -> None:
     """Append to a database table that has the telemetry columns (no shot_id)."""
     rows = scored.select(*TELEMETRY_COLUMNS[1:])

@@ -5,8 +5,8 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable, Sequence
+from functools import cache
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,8 @@ from swishline.operators.plays import decode_events, is_readable, readable, unre
 from swishline.operators.scoring import score_events
 from swishline.schemas import RELOAD_SECONDS
 from swishline.sources.artifacts import load_model, load_ratings
-from swishline.sources.telemetry import append_telemetry
+from swishline.sources.telemetry import append_telemetry, batch_folder
+from swishline.streaming.checkpoints import stream_id
 
 log = logging.getLogger(__name__)
 
@@ -73,7 +74,7 @@ def stream_enrich(
     checkpoint: str,
     created_at: Column | None = None,
     trigger: dict | None = None,
-    sink: Callable[[DataFrame, str, int], None] = append_telemetry,
+    sink: Callable[[DataFrame, str, int, str], None] = append_telemetry,
 ) -> StreamingQuery:
     """Start scoring a stream of ``shot_id`` and ``value``.
 
@@ -83,15 +84,19 @@ def stream_enrich(
     while the good ones are stored, so a batch without any is read only once.
     """
 
+    @cache
+    def own_id() -> str:
+        return stream_id(messages.sparkSession, checkpoint)
+
     def run(batch: DataFrame, batch_id: int) -> None:
         scorer.refresh()
         decoded = decode_events(batch)
         seen = Observation()
         counted = decoded.observe(seen, F.count_if(~is_readable()).alias("unreadable"))
-        sink(scorer.score(readable(counted), created_at), telemetry_path, batch_id)
+        sink(scorer.score(readable(counted), created_at), telemetry_path, batch_id, own_id())
         if seen.get["unreadable"]:
             rejects = unreadable(decoded)
-            rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+            rejects.write.mode("overwrite").parquet(batch_folder(rejects_path, own_id(), batch_id))
 
     writer = messages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()
@@ -104,7 +109,7 @@ def skip_history(messages: DataFrame, checkpoint: str) -> None:
     then start the real query, one without state, on the same checkpoint. A checkpoint that is in use
     already is left alone, so a stopped query resumes where it was.
     """
-    if _in_use(messages.sparkSession, checkpoint):
+    if stream_id(messages.sparkSession, checkpoint) is not None:
         return
     query = (
         messages.writeStream.foreachBatch(lambda batch, batch_id: None)
@@ -113,11 +118,3 @@ def skip_history(messages: DataFrame, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
-
-
-def _in_use(spark: SparkSession, checkpoint: str) -> bool:
-    try:
-        spark.read.text(f"{checkpoint}/metadata")
-    except AnalysisException:
-        return False
-    return True

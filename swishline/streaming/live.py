@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from swishline.functions import shots as S
 from swishline.operators.analytics import grade_distribution_of
+from swishline.streaming.checkpoints import exists, stream_id
 
 LATE_BY = "10 minutes"
 REFRESH = {"processingTime": "10 seconds"}
@@ -19,6 +20,10 @@ TOTALS_SCHEMA = (
 
 
 def _store_batches(result: DataFrame, mode: str, path: str, checkpoint: str, trigger: dict | None):
+    spark = result.sparkSession
+    if stream_id(spark, checkpoint) is None and exists(spark, path):
+        raise ValueError(f"{path} belongs to a stream with another checkpoint")
+
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 

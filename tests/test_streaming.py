@@ -94,8 +94,8 @@ def test_a_crash_while_storing_loses_and_repeats_nothing(spark, transport, event
     path = scratch_dir(spark, "telemetry")
     scorer = Scorer(spark, [scratch_dir(spark, "none")])
 
-    def crash_after_storing(batch, target, batch_id):
-        store.append_telemetry(batch, target, batch_id)
+    def crash_after_storing(batch, target, batch_id, stream_id):
+        store.append_telemetry(batch, target, batch_id, stream_id)
         if batch_id == 1:
             raise RuntimeError("lost the driver")
 
@@ -105,6 +105,26 @@ def test_a_crash_while_storing_loses_and_repeats_nothing(spark, transport, event
     assert store.read_telemetry(spark, path).count() == events.count()
 
 
+def test_streams_share_a_table_without_overwriting(spark, transport, events):
+    """Two streams both begin with batch 0."""
+    publish_events(events, transport)
+    path = scratch_dir(spark, "telemetry")
+    scorer = Scorer(spark, [scratch_dir(spark, "none")])
+    for _ in range(2):
+        run(spark, transport, scorer, path, checkpoint=scratch_dir(spark, "offsets"))
+    assert store.read_telemetry(spark, path).count() == 2 * events.count()
+
+
+def test_a_report_folder_has_one_stream(spark, transport, events):
+    publish_events(events, transport)
+    path = scratch_dir(spark, "minutes")
+    live.stream_shots_per_minute(
+        timed(spark, transport), path, f"{path}-offsets", ONCE
+    ).awaitTermination()
+    with pytest.raises(ValueError, match="another checkpoint"):
+        live.stream_shots_per_minute(timed(spark, transport), path, f"{path}-other", ONCE)
+
+
 def test_bad_messages_are_kept_apart(spark, transport, events):
     publish_events(events, transport)
     bad = spark.createDataFrame([("nonsense",), ('{"player":"x"}',)], "value string")
