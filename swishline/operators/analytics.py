@@ -136,12 +136,8 @@ def premium_pct(telemetry: DataFrame) -> DataFrame:
 
 def three_point_pct(telemetry: DataFrame, sample: int = SAMPLE_LIMIT) -> DataFrame:
     """Share of threes among the newest shots only, as the dashboard shows it."""
-    return three_point_share(latest_n(telemetry, sample))
-
-
-def three_point_share(rows: DataFrame) -> DataFrame:
     share = _share_of(S.beyond_arc(F.col("shot_distance")))
-    return rows.agg(_percent(share).alias("three_point_pct"))
+    return latest_n(telemetry, sample).agg(_percent(share).alias("three_point_pct"))
 
 
 def distance_histogram(rows: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
@@ -173,13 +169,21 @@ def dashboard_snapshot(
 ) -> DataFrame:
     """The header metrics in one row: one aggregate pass, plus the sample's top-n.
 
-    ``latest`` is the latest-n sample, for callers that have it already.
+    ``latest`` is the latest-n sample, for callers that have it already. It also
+    tells the newest time, so that takes no pass of its own.
     """
-    recent = F.count_if(_within(telemetry, as_of, 5))
-    three = three_point_share(latest_n(telemetry, sample) if latest is None else latest)
+    newest = latest_n(telemetry, sample) if latest is None else latest
+    facts = newest.agg(
+        F.struct(
+            F.max("created_at").alias("as_of"),
+            _percent(_share_of(S.beyond_arc(F.col("shot_distance")))).alias("threes"),
+        )
+    ).scalar()
+    now = facts["as_of"] if as_of is None else F.lit(as_of)
+    recent = F.col("created_at") >= now - F.expr("INTERVAL 5 MINUTES")
     return telemetry.agg(
         _rows().alias("total_shots"),
-        recent.alias("recent_shots"),
+        F.count_if(recent).alias("recent_shots"),
         F.coalesce(F.avg("expected_points"), F.lit(0.0)).alias("avg_xp"),
         _percent(_share_of(F.col("shot_grade") == "A")).alias("premium_pct"),
-    ).withColumn("three_point_pct", three.scalar())
+    ).withColumn("three_point_pct", facts["threes"])
