@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,6 +15,8 @@ from swishline.streaming.checkpoints import exists, stream_id
 
 LATE_BY = "10 minutes"
 REFRESH = {"processingTime": "10 seconds"}
+PARTITIONS = "spark.sql.shuffle.partitions"
+STATE_PARTITIONS = 8
 
 MINUTES_SCHEMA = "minute timestamp, shots bigint, batch_id bigint"
 TOTALS_SCHEMA = (
@@ -19,7 +24,9 @@ TOTALS_SCHEMA = (
 )
 
 
-def _store_batches(result: DataFrame, mode: str, path: str, checkpoint: str, trigger: dict | None):
+def _store_batches(
+    result: DataFrame, mode: str, path: str, checkpoint: str, trigger: dict | None
+) -> StreamingQuery:
     spark = result.sparkSession
     if stream_id(spark, checkpoint) is None and exists(spark, path):
         raise ValueError(f"{path} belongs to a stream with another checkpoint")
@@ -29,7 +36,24 @@ def _store_batches(result: DataFrame, mode: str, path: str, checkpoint: str, tri
 
     writer = result.writeStream.outputMode(mode).foreachBatch(store)
     writer = writer.option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or REFRESH)).start()
+    with _state_partitions(spark):
+        return writer.trigger(**(trigger or REFRESH)).start()
+
+
+@contextmanager
+def _state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Few state partitions for a query started in this block.
+
+    Tasks send one row per minute or zone, however much they read: the default
+    number of partitions would only cost tasks, state files and result files.
+    A query keeps the number it was first started with.
+    """
+    before = spark.conf.get(PARTITIONS)
+    spark.conf.set(PARTITIONS, min(int(before), STATE_PARTITIONS))
+    try:
+        yield
+    finally:
+        spark.conf.set(PARTITIONS, before)
 
 
 def stream_shots_per_minute(
