@@ -15,7 +15,7 @@ from swishline.operators import plays as P
 from swishline.operators import sampling as L
 from swishline.operators import scoring as X
 from swishline.operators import skill as K
-from swishline.operators.lookup import RatingTable, skill_lookup_serve, skill_lookup_train
+from swishline.operators.lookup import skill_lookup_serve, skill_lookup_train
 from swishline.plans import retrain as R
 from swishline.schemas import EVENT_FIELDS, PLAYS, SHOT_TYPES, TELEMETRY_COLUMNS
 from swishline.sources import artifacts, events, telemetry
@@ -174,7 +174,7 @@ def skill_lookup_train_(spark: SparkSession, sf_dir: str) -> DataFrame:
     plays = B.shot_plays(spark, sf_dir)
     ratings = R.rated_players(plays)
     rows = P.raw_inputs(plays).select("play_id", "player")
-    rated = skill_lookup_train(rows, RatingTable.measured(ratings), K.league_value(ratings))
+    rated = skill_lookup_train(rows, ratings, K.league_value(ratings.frame))
     return to_compare(rated, "player_skill_rating")
 
 
@@ -182,7 +182,7 @@ def skill_lookup_train_(spark: SparkSession, sf_dir: str) -> DataFrame:
 def skill_lookup_serve_(spark: SparkSession, sf_dir: str) -> DataFrame:
     plays = B.shot_plays(spark, sf_dir)
     rows = P.served_inputs(plays).select("play_id", "player")
-    return skill_lookup_serve(rows, RatingTable.measured(R.rated_players(plays)))
+    return skill_lookup_serve(rows, R.rated_players(plays))
 
 
 # ----------------------------------------------------------------- reports, ratings

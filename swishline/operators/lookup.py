@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swishline.schemas import LEAGUE_RATING
+from swishline.sources.scratch import written
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -42,12 +43,18 @@ class RatingTable:
 
     @classmethod
     def measured(cls, frame: DataFrame) -> RatingTable:
+        """Measure a table that is stored already."""
+        text_bytes = F.sum(F.octet_length("player") + 24)
         size = frame.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(F.octet_length("player") + 24), F.lit(0)).alias("bytes"),
+            F.count(F.lit(1)).alias("rows"), F.coalesce(text_bytes, F.lit(0)).alias("bytes")
         ).first()
         return cls(frame, size["rows"], size["bytes"])
 
+    @classmethod
+    def stored(cls, ratings: DataFrame) -> RatingTable:
+        """Store computed ratings, with all their columns, and measure them."""
+        return cls.measured(written(ratings, "ratings"))
+
     @property
     def fits_broadcast(self) -> bool:
         return self.rows <= MAX_BROADCAST_ROWS and self.bytes <= MAX_BROADCAST_BYTES

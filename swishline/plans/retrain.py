@@ -33,7 +33,7 @@ class Retrained:
     """What a training run leaves behind; the frames are small reports."""
 
     model: PipelineModel
-    ratings: DataFrame
+    ratings: RatingTable
     losses: list[float]
     best_round: int | None
     balance: DataFrame
@@ -42,14 +42,14 @@ class Retrained:
     scenarios: DataFrame
 
 
-def rated_players(plays: DataFrame) -> DataFrame:
+def rated_players(plays: DataFrame) -> RatingTable:
     """Stored table of player, made, total and rating: one row per named player."""
-    return written(player_skill(player_totals(plays)), "ratings")
+    return RatingTable.stored(player_skill(player_totals(plays)))
 
 
 def feature_rows(
     plays: DataFrame,
-    ratings: DataFrame,
+    ratings: RatingTable,
     keep: tuple[str, ...] = (),
     legacy_training: bool = False,
 ) -> DataFrame:
@@ -59,16 +59,16 @@ def feature_rows(
     same rows in both places. ``legacy_training`` leaves them null instead, and
     gives unrated players the league average in place of the fixed rating.
     """
-    table = RatingTable.measured(ratings)
     if legacy_training:
-        rated = skill_lookup_train(raw_inputs(plays), table, league_value(ratings))
+        league = league_value(ratings.frame)
+        rated = skill_lookup_train(raw_inputs(plays), ratings, league)
     else:
-        rated = skill_lookup_serve(served_inputs(plays), table)
+        rated = skill_lookup_serve(served_inputs(plays), ratings)
     return feature_columns(rated, keep)
 
 
 def split_features(
-    plays: DataFrame, ratings: DataFrame, key: Column, legacy_training: bool = False
+    plays: DataFrame, ratings: RatingTable, key: Column, legacy_training: bool = False
 ) -> DataFrame:
     """Feature rows with their split, stored: training reads them many times."""
     keyed = plays.withColumn("shot_key", key)
@@ -87,7 +87,7 @@ def retrain(
 ) -> Retrained:
     """The whole training run. ``key`` identifies a play and fixes its split."""
     ratings = rated_players(plays)
-    publish_ratings(ratings, artifacts)
+    publish_ratings(ratings.frame, artifacts)
 
     features = split_features(plays, ratings, key, legacy_training)
     train = features.where(F.col("split") == "train")

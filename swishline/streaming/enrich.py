@@ -91,6 +91,8 @@ def stream_enrich(
     def run(batch: DataFrame, batch_id: int) -> None:
         scorer.refresh()
         decoded = decode_events(batch)
+        # observed in the micro-batch's own session: a session that has observed
+        # anything can no longer ship Spark ML models that were made in it
         seen = Observation()
         counted = decoded.observe(seen, F.count_if(~is_readable()).alias("unreadable"))
         sink(scorer.score(readable(counted), created_at), telemetry_path, batch_id, own_id())

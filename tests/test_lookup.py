@@ -54,6 +54,13 @@ def test_size_limits_by_bytes(spark):
     assert not RatingTable(long_names, 3, lookup.MAX_BROADCAST_BYTES + 1).fits_broadcast
 
 
+def test_storing_measures(ratings, rows):
+    stored = RatingTable.stored(ratings)
+    measured = RatingTable.measured(ratings)
+    assert (stored.rows, stored.bytes) == (measured.rows, measured.bytes) == (2001, stored.bytes)
+    assert rows(stored.frame) == rows(ratings)
+
+
 def test_large_plan_gathers_no_hot_player_and_no_unnamed_rows(shots, ratings):
     """No join key owns a noticeable share of the rows that are shuffled."""
     keyed = split_keys(shots, ratings)

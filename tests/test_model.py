@@ -92,4 +92,4 @@ def test_retrain_publishes_what_it_reports(spark, signal_plays):
     after = [r["p"] for r in M.what_if_scores(spark, model).orderBy("scenario").collect()]
     assert before == after
     _, table = load_ratings(spark, [root])
-    assert table.rows == done.ratings.count()
+    assert table.rows == done.ratings.rows == done.ratings.frame.count()

@@ -15,7 +15,8 @@ from swishline.schemas import PLAYS, TELEMETRY_COLUMNS
 
 def test_csv_columns_are_found_by_name(spark, tmp_path):
     (tmp_path / "a.csv").write_text(
-        "EXTRA,player1_name,Period,EVENTMSGTYPE,game_id,homedescription,visitordescription,pctimestring\n"
+        "EXTRA,player1_name,Period,EVENTMSGTYPE,game_id,"
+        "homedescription,visitordescription,pctimestring\n"
         "x,\"Foo, Jr.\",1.0,2,0022300001,,MISS Foo 26' 3PT,11:38\n"
         "y,\"\",,1,0022300002,Bar 2' Layup,,\n"
     )

@@ -65,7 +65,7 @@ def test_stream_equals_batch_without_a_model(spark, transport, events, rows):
 def test_stream_equals_batch_with_a_model(spark, transport, events, model_and_ratings, rows):
     root = scratch_dir(spark, "artifacts")
     model, ratings = model_and_ratings
-    artifacts.publish_ratings(ratings, root)
+    artifacts.publish_ratings(ratings.frame, root)
     artifacts.publish_model(spark, model, root)
     publish_events(events.repartition(4), transport)
     path = scratch_dir(spark, "telemetry")
@@ -151,14 +151,14 @@ def test_reload_waits_for_the_interval_and_keeps_the_old_on_failure(spark, model
     scorer.refresh()
     assert scorer.model_version == version.version and scorer.ratings is None
 
-    artifacts.publish_ratings(ratings, root)
+    artifacts.publish_ratings(ratings.frame, root)
     row = spark.createDataFrame([("model", version.version + 1, f"{root}/gone")], artifacts.MANIFEST)
     row.write.mode("append").parquet(f"{root}/manifest")
     now[0] = 121.0
     kept = scorer.model
     scorer.refresh()
     assert scorer.model is kept and scorer.model_version == version.version
-    assert scorer.ratings.rows == ratings.count()
+    assert scorer.ratings.rows == ratings.rows
 
 
 def test_skip_history_starts_at_the_latest(spark, transport, events):
