@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from swishline.llm import ngram_join as join
+from swishline.llm import quality
 from swishline.llm import token_counts as counts
 from swishline.llm import token_files as files
 from swishline.llm.tables import ship, table
@@ -33,6 +35,18 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "class_id"
+    )
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_verdicts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.digest(files.token_files(table(spark, sf_dir, "documents")))
