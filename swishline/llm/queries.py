@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from swishline.llm import ngram_join as join
-from swishline.llm import quality
+from swishline.llm import packing, quality
 from swishline.llm import token_counts as counts
 from swishline.llm import token_files as files
 from swishline.llm.tables import ship, table
@@ -35,6 +35,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join.near_duplicates(table(spark, sf_dir, "documents")).select(
