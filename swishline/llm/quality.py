@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from swishline.llm.tables import lookup_side, per_slice, text_parts
+from swishline.llm.tables import lookup_side, per_slice, row_key, schema_of, text_parts
 from swishline.llm.words import Words, line_repeats, per_document, window_repeats
 from swishline.sources.scratch import written
 
@@ -58,8 +58,7 @@ def measured(docs: DataFrame, *carry: str) -> DataFrame:
         columns = [part[c] for c in carry] + [pa.array(found[m].astype(np.int64)) for m in MEASURES]
         return pa.RecordBatch.from_arrays(columns, [*carry, *MEASURES])
 
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in carry), *(f"{m} long" for m in MEASURES)])
+    schema = schema_of(docs, carry, ", ".join(f"{m} long" for m in MEASURES))
     return docs.select(*carry, "text").mapInArrow(per_slice(step, "text"), schema)
 
 
@@ -117,3 +116,12 @@ def quality_verdicts(
     joined = judged.join(verdicts, F.col("host").eqNullSafe(F.col("verdict_host")), "left")
     kept = ~F.col("base_failed") & (F.col("host_rate") <= rules.max_host_rate)
     return joined.select(key, *MEASURES, "base_failed", kept.alias("kept"), "host", "host_rate")
+
+
+def accepted(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The rows of ``docs`` that are kept, unchanged; rows are told apart by doc_id and text."""
+    rows = docs.select(row_key().alias("row_key"), "source", "text")
+    dropped = quality_verdicts(rows, rules, key="row_key").where("NOT kept").select("row_key")
+    dropped = lookup_side(written(dropped.distinct(), "dropped"))
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), row_key().alias("row_key"))
+    return keyed.join(dropped, "row_key", "left_anti").select("row.*")

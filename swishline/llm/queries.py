@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from swishline.llm import ngram_join as join
-from swishline.llm import packing, quality
+from swishline.llm import language, mixing, packing, quality
 from swishline.llm import token_counts as counts
 from swishline.llm import token_files as files
 from swishline.llm.tables import ship, table
@@ -30,6 +30,11 @@ def query(run: Query) -> Query:
     return shipped
 
 
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"))
@@ -52,6 +57,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mixed(docs).select(
+        "row.doc_id", "row.source", "mix_block", "mix_slot", "mix_place"
+    )
+
+
 @query
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.digest(files.token_files(table(spark, sf_dir, "documents")))

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import cache
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SLICE_BYTES = 4 << 20
 BROADCAST_ROWS = 2_000_000
@@ -37,6 +38,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def schema_of(df: DataFrame, carry: Sequence[str], more: str) -> StructType:
+    """The fields ``carry`` of ``df`` and those of the DDL string ``more``."""
+    return StructType([df.schema[c] for c in carry] + StructType.fromDDL(more).fields)
+
+
+def row_key() -> Column:
+    """128 bits of a row's doc_id and text: the same for repeated rows, never null."""
+    own = [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit(""))]
+    return F.struct(F.xxhash64(*own).alias("x"), F.xxhash64(F.lit(1), *own).alias("y"))
+
+
 def lookup_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``rows`` rows, else as it is.
 

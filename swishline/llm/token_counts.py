@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from swishline.llm import bpe
-from swishline.llm.tables import slices
+from swishline.llm.tables import schema_of, slices
 
 LIMIT = 2048
 
@@ -38,6 +38,5 @@ def token_counts(
                 [key, "n_bytes", "n_tokens", "over_limit"],
             )
 
-    kind = docs.schema[key].dataType.simpleString()
-    schema = f"{key} {kind}, n_bytes long, n_tokens long, over_limit boolean"
+    schema = schema_of(docs, [key], "n_bytes long, n_tokens long, over_limit boolean")
     return docs.select(key, "text").mapInArrow(run, schema)
