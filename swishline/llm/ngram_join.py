@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swishline.llm.components import components
@@ -180,10 +180,20 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, s: Similarity) -> DataFrame:
     return written(docs.mapInArrow(per_slice(step, "text"), schema), "prefixes")
 
 
+def _met(shared: DataFrame) -> DataFrame:
+    """With ``met``: how many n-grams of this table a document has before this one."""
+    own = Window.partitionBy("doc_id").orderBy("pos")
+    return shared.withColumn("met", F.row_number().over(own) - 1)
+
+
 def _may_reach(s: Similarity) -> Column:
-    """Length and positional filter for one common n-gram of x and y."""
+    """Length and positional filter for one common n-gram of x and y.
+
+    An n-gram that both have before it is in both prefixes, so it is shared: of those
+    before it, ``met`` counts only the shared ones.
+    """
     x, y = F.col("x.n"), F.col("y.n")
-    before = F.least("x.pos", "y.pos")
+    before = F.least("x.met", "y.met")
     after = F.least(x - F.col("x.pos"), y - F.col("y.pos"))
     return s.lengths_fit(x, y) & (before + after >= s.overlap(x, y))
 
@@ -267,10 +277,10 @@ def links(docs: DataFrame, members: DataFrame, signatures: DataFrame, s: Similar
     prefixes = _prefixes(kept, _sketch(signatures), s)
     index = prefixes.select(F.posexplode("grams").alias("pos", "gram"), "doc_id", "n")
     counts = index.groupBy("gram").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
-    shared = written(index.join(counts.select("gram"), "gram"), "shared")
+    shared = written(_met(index.join(counts.select("gram"), "gram")), "shared")
 
-    first = F.min(F.struct("pos", F.xxhash64("doc_id"), "doc_id", "n")).alias("first")
-    centers = shared.groupBy("gram").agg(first).select("gram", "first.doc_id", "first.n", "first.pos")
+    first = F.min(F.struct("pos", F.xxhash64("doc_id"), "doc_id", "n", "met")).alias("first")
+    centers = shared.groupBy("gram").agg(first).select("gram", "first.*")
     x, y = shared.alias("x"), centers.alias("y")
     near = x.join(y, F.col("x.gram") == F.col("y.gram")).where(
         (F.col("x.doc_id") != F.col("y.doc_id")) & _may_reach(s)
@@ -282,7 +292,8 @@ def links(docs: DataFrame, members: DataFrame, signatures: DataFrame, s: Similar
     placed = shared.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     placed = written(placed.withColumn("label", F.coalesce("label", "doc_id")), "placed")
     several = placed.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    open_ = written(placed.join(several.where("low <> high").select("gram"), "gram"), "open")
+    open_ = placed.join(several.where("low <> high").select("gram"), "gram")
+    open_ = written(_met(open_.drop("met")), "open")
     x, y = open_.alias("x"), open_.alias("y")
     across = x.join(
         y,
