@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swishline.llm import ngram_join as join
-from swishline.llm import chat, language, mixing, packing, quality
+from swishline.llm import chat, html_wrappers, language, mixing, packing, quality
 from swishline.llm import token_counts as counts
 from swishline.llm import token_files as files
 from swishline.llm import topk
@@ -32,6 +32,11 @@ def query(run: Query) -> Query:
     return shipped
 
 
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.main_texts(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
