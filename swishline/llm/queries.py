@@ -13,6 +13,7 @@ from swishline.llm import chat, html_wrappers, language, mixing, packing, qualit
 from swishline.llm import token_counts as counts
 from swishline.llm import token_files as files
 from swishline.llm import topk
+from swishline.llm.oracle import ORACLE_SQL
 from swishline.llm.tables import ship, table
 
 
@@ -77,7 +78,7 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_verdicts(table(spark, sf_dir, "documents"))
+    return quality.quality_verdicts(table(spark, sf_dir, "documents")).drop("host_rate")
 
 
 @query
@@ -98,4 +99,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.digest(files.token_files(table(spark, sf_dir, "documents")))
 
 
-ORACLE_SQL: dict[str, str] = {"op5_chat_formatting": chat.ORACLE}
+__all__ = ["ORACLE_SQL", "QUERIES"]
