@@ -48,35 +48,17 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def _shot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).where("event_type IN ('purchase', 'click', 'view')")
-
-
-def _as_plays(events: DataFrame, filtered_by_text: bool = False) -> DataFrame:
-    """``filtered_by_text``: the caller drops rows by what their text says. Such a
-    filter would be pushed down with a copy of the whole text's making; behind a
-    generator it stays where it is, and each text is made once.
-    """
+def _as_plays(events: DataFrame) -> DataFrame:
     parsed = events.selectExpr("*", "cast(get_json_object(props, '$.k') AS int) AS k")
-    text = f"explode(array({TEXT}))" if filtered_by_text else TEXT
-    return parsed.selectExpr("*", f"{text} AS text").selectExpr(*PLAYS)
+    return parsed.selectExpr("*", f"{TEXT} AS text").selectExpr(*PLAYS)
 
 
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_plays(_events(spark, sf_dir))
 
 
-def shot_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only the plays that are shots, chosen by event_type, which the scan can filter.
-
-    On a stored table of plays the filter on eventmsgtype reaches the scan itself;
-    here that column is computed, so its filter alone would not.
-    """
-    return _as_plays(_shot_events(spark, sf_dir))
-
-
 def shots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.shots(_as_plays(_shot_events(spark, sf_dir), filtered_by_text=True))
+    return P.shots(plays(spark, sf_dir))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

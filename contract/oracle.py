@@ -1,7 +1,9 @@
-"""The exact queries again, in DuckDB SQL. Model output has no entry."""
+"""The queries again, in DuckDB SQL. Of models, what holds for any right one."""
 
 from __future__ import annotations
 
+from swishline.schemas import FEATURES
+
 FLAGS = {
     "is_dunk": "contains(d, 'dunk')",
     "is_layup": "contains(d, 'layup')",
@@ -194,6 +196,8 @@ TYPE_LABEL = """CASE WHEN is_dunk = 1 THEN 'Dunk' WHEN is_layup = 1 THEN 'Layup'
 SKILL_TRAIN = """CASE WHEN player1_name IS NOT NULL
       THEN coalesce(rating, (SELECT league_avg FROM league)) END"""
 
+FEATURE_ROWS = f"(VALUES {', '.join(f"('{f}')" for f in FEATURES)}) AS f(feature)"
+
 EVENTS_OUT = f"SELECT {EVENT_LIST} FROM served_events"
 
 HEURISTIC_OUT = """
@@ -202,16 +206,46 @@ HEURISTIC_OUT = """
 
 BODIES = {
     # sources and sinks
-    "scan_plays": f"SELECT {PLAY_LIST} FROM plays",
+    "scan_plays": f"""
+      SELECT * REPLACE (homedescription || ' "alley, oop" \\"' AS homedescription)
+      FROM (SELECT {PLAY_LIST} FROM plays)""",
     "publish_events": EVENTS_OUT,
     "subscribe_events": f"""
       SELECT {EVENT_LIST}, CAST(NULL AS VARCHAR) AS rejected FROM served_events
       UNION ALL BY NAME
       SELECT description AS rejected FROM derived WHERE eventmsgtype NOT IN (1, 2)""",
-    "replay_bounded": EVENTS_OUT,
+    "replay_bounded": f"SELECT {EVENT_LIST}, CAST(8 AS BIGINT) AS batches FROM served_events",
     "append_telemetry": f"SELECT {TELEMETRY_LIST}, event_time FROM telemetry",
     "scan_telemetry": f"SELECT {TELEMETRY_LIST} FROM telemetry",
     "skill_artifact": "SELECT player, rating FROM ratings",
+    "model_artifact": f"SELECT play_id AS shot_key, true AS same FROM shots WHERE {SPLIT} = 'test'",
+    # models: what any right model has to fulfil, and everything that is exact about them
+    "train_boosted": """
+      SELECT CAST(range AS INTEGER) AS round, true AS finite, true AS cut_right
+      FROM range(1, 101)""",
+    "train_logistic": f"SELECT feature, true AS flat FROM {FEATURE_ROWS}",
+    "score_shots": "SELECT play_id AS shot_key, true AS probability FROM shots",
+    "feature_importance": f"SELECT feature, true AS share FROM {FEATURE_ROWS}",
+    "what_if_scores": """
+      SELECT scenario, true AS probability FROM (VALUES
+        ('3-ft home dunk, elite player'), ('3-ft away layup, average player'),
+        ('25-ft home three, average player'), ('25-ft away pullup at the buzzer'))
+        AS s(scenario)""",
+    "retrain_job": f"""
+      SELECT {SPLIT} AS split, count(*) AS n, CAST(sum(label) AS BIGINT) AS made,
+        true AS metrics_right
+      FROM shots GROUP BY 1""",
+    "stream_enrich_model": """
+      SELECT created_at AS event_time, count(*) AS shots, true AS as_batch
+      FROM heuristic GROUP BY 1""",
+    "stream_hot_reload": """
+      SELECT CASE WHEN late THEN 2 ELSE 1 END AS generation, count(*) AS shots,
+        NOT late AS by_heuristic
+      FROM (
+        SELECT "timestamp" >= (SELECT (min("timestamp") + max("timestamp")) / 2.0::DOUBLE
+          FROM served_events) AS late
+        FROM served_events)
+      GROUP BY late""",
     # filters and columns
     "filter_shots": f"SELECT {PLAY_LIST} FROM all_shots",
     "combine_description": "SELECT play_id, description FROM derived",

@@ -104,13 +104,13 @@ def player_leaderboard(telemetry: DataFrame, n: int = TOP_PLAYERS) -> DataFrame:
 
 
 def zone_stats(telemetry: DataFrame) -> DataFrame:
-    """Shots and mean expected points per zone, nearest zone first."""
+    """Shots and mean expected points per zone, nearest zone first, unknown distances last."""
     zones = shot_zone(telemetry).groupBy("zone").agg(
         _rows().alias("shots"),
         F.avg("expected_points").alias("avg_xp"),
         F.min("shot_distance").alias("nearest"),
     )
-    return zones.orderBy("nearest").select("zone", "shots", "avg_xp")
+    return zones.orderBy(F.col("nearest").asc_nulls_last()).select("zone", "shots", "avg_xp")
 
 
 def recent_activity(
@@ -161,29 +161,42 @@ def xp_by_distance(rows: DataFrame) -> DataFrame:
     return points.agg(_rows().alias("shots"), F.avg("expected_points").alias("avg_xp"))
 
 
-def dashboard_snapshot(
-    telemetry: DataFrame,
-    as_of: datetime | None = None,
-    sample: int = SAMPLE_LIMIT,
-    latest: DataFrame | None = None,
+def zone_grades(
+    telemetry: DataFrame, latest: DataFrame, as_of: datetime | None = None
 ) -> DataFrame:
-    """The header metrics in one row: one aggregate pass, plus the sample's top-n.
+    """Shots, points, nearest distance and recent shots by zone and grade, in one pass.
 
-    ``latest`` is the latest-n sample, for callers that have it already. It also
-    tells the newest time, so that takes no pass of its own.
+    At most 15 rows, from which header, grades and zones follow. ``latest`` is the
+    latest-n sample, which tells the newest time if ``as_of`` does not.
     """
-    newest = latest_n(telemetry, sample) if latest is None else latest
-    facts = newest.agg(
-        F.struct(
-            F.max("created_at").alias("as_of"),
-            _percent(_share_of(S.beyond_arc(F.col("shot_distance")))).alias("threes"),
-        )
-    ).scalar()
-    now = facts["as_of"] if as_of is None else F.lit(as_of)
+    now = latest.agg(F.max("created_at")).scalar() if as_of is None else F.lit(as_of)
     recent = F.col("created_at") >= now - F.expr("INTERVAL 5 MINUTES")
-    return telemetry.agg(
-        _rows().alias("total_shots"),
+    return telemetry.groupBy(S.zone(F.col("shot_distance")).alias("zone"), "shot_grade").agg(
+        _rows().alias("shots"),
+        F.sum("expected_points").alias("points"),
+        F.count("expected_points").alias("scored"),
+        F.min("shot_distance").alias("nearest"),
         F.count_if(recent).alias("recent_shots"),
-        F.coalesce(F.avg("expected_points"), F.lit(0.0)).alias("avg_xp"),
-        _percent(_share_of(F.col("shot_grade") == "A")).alias("premium_pct"),
-    ).withColumn("three_point_pct", facts["threes"])
+    )
+
+
+def header(totals: DataFrame, latest: DataFrame) -> DataFrame:
+    """The header metrics in one row, from ``zone_grades`` and the latest-n sample."""
+    threes = latest.agg(_percent(_share_of(S.beyond_arc(F.col("shot_distance"))))).scalar()
+    premium = F.sum(F.when(F.col("shot_grade") == "A", F.col("shots")).otherwise(0))
+    total = F.coalesce(F.sum("shots"), F.lit(0))
+    mean = F.try_divide(F.sum("points"), F.sum("scored"))
+    return totals.agg(
+        total.alias("total_shots"),
+        F.coalesce(F.sum("recent_shots"), F.lit(0)).alias("recent_shots"),
+        F.coalesce(mean, F.lit(0.0)).alias("avg_xp"),
+        _percent(F.try_divide(premium.cast("double"), F.sum("shots"))).alias("premium_pct"),
+    ).withColumn("three_point_pct", threes)
+
+
+def dashboard_snapshot(
+    telemetry: DataFrame, as_of: datetime | None = None, sample: int = SAMPLE_LIMIT
+) -> DataFrame:
+    """The header metrics in one row: one aggregate pass, plus the sample's top-n."""
+    latest = latest_n(telemetry, sample)
+    return header(zone_grades(telemetry, latest, as_of), latest)

@@ -3,10 +3,14 @@
 Two plans, chosen from the measured size of the rating table:
 
 * it fits: broadcast it, and the rows never move;
-* it does not: split the players. One that owns more than 1/1000 of the named
-  rows is hot; there are fewer than 1000 of those whatever the data, so their ratings
-  are broadcast. The other rows shuffle by player, each player below 1/1000 of
-  them. Rows that need no second look-up (hot or unnamed) are spread by a hash.
+* it does not: split the players by the shots that their ratings stand on. One that
+  owns more than 1/1000 of those is hot; there are fewer than 1000 of them whatever
+  the data, so their ratings are broadcast. Rows of other players shuffle by player.
+  Rows that need no second look-up (hot, unnamed, or of the default player) are
+  spread by a hash.
+
+Neither plan counts the rows, so both work on a batch, on a micro-batch, which is then
+read once, and on a stream.
 """
 
 from __future__ import annotations
@@ -16,14 +20,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swishline.schemas import LEAGUE_RATING
+from swishline.schemas import DEFAULT_PLAYER, LEAGUE_RATING
 from swishline.sources.scratch import written
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
-# A player with more than this share of the named rows is hot. N of them would
-# own more than N/1000 of those rows, so there are always fewer than 1000.
+# A player with more than this share of the rated shots is hot. N of them would
+# own more than N/1000 of those shots, so there are always fewer than 1000.
 HOT_SHARE = 1 / 1000
 # keys that rows without a look-up are spread over
 SPREAD = 1 << 20
@@ -31,7 +35,7 @@ SPREAD = 1 << 20
 
 @dataclass(frozen=True)
 class RatingTable:
-    """Ratings (player, rating) together with their measured size.
+    """Ratings (player, rating and the shots behind it, total) with their measured size.
 
     ``frame`` should be a stored table: it is read once to measure it and again
     by each join.
@@ -40,15 +44,18 @@ class RatingTable:
     frame: DataFrame
     rows: int
     bytes: int
+    shots: int = 0
 
     @classmethod
     def measured(cls, frame: DataFrame) -> RatingTable:
         """Measure a table that is stored already."""
         text_bytes = F.sum(F.octet_length("player") + 24)
         size = frame.agg(
-            F.count(F.lit(1)).alias("rows"), F.coalesce(text_bytes, F.lit(0)).alias("bytes")
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(text_bytes, F.lit(0)).alias("bytes"),
+            F.coalesce(F.sum("total"), F.lit(0)).alias("shots"),
         ).first()
-        return cls(frame, size["rows"], size["bytes"])
+        return cls(frame, size["rows"], size["bytes"], size["shots"])
 
     @classmethod
     def stored(cls, ratings: DataFrame) -> RatingTable:
@@ -65,37 +72,32 @@ def attach_rating(rows: DataFrame, ratings: RatingTable) -> DataFrame:
     if ratings.fits_broadcast:
         table = ratings.frame.select("player", "rating")
         return rows.join(F.broadcast(table), "player", "left").select(*rows.columns, "rating")
-    return _attach_split(rows, ratings.frame)
+    return _attach_split(rows, ratings)
 
 
-def split_keys(rows: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Rows with the rating of hot players and the keys the others shuffle by:
-    ``cold``, null where there is nothing left to look up, and ``spread``."""
-    # used three times below: the counts' shuffle is run once and shared
-    counts = rows.where(F.col("player").isNotNull()).groupBy("player")
-    counts = counts.agg(F.count(F.lit(1)).alias("n"))
-    named = counts.agg(F.sum("n")).scalar()
-    hot = counts.where(F.col("n") > named * HOT_SHARE).select(F.col("player").alias("hot"))
-    hot_known = ratings.join(F.broadcast(hot), F.col("player") == F.col("hot")).select(
-        "player", F.col("rating").alias("hot_rating")
-    )
-    # hot players that have no rating stay in, so that they skip the shuffle too
-    hot_rated = hot.join(F.broadcast(hot_known), F.col("hot") == F.col("player"), "left").select(
-        "hot", "hot_rating"
+def hot_ratings(ratings: RatingTable) -> DataFrame:
+    """Ratings of the hot players (fewer than 1000), and of the default player if rated."""
+    hot = (F.col("total") > ratings.shots * HOT_SHARE) | (F.col("player") == DEFAULT_PLAYER)
+    return ratings.frame.where(hot).select(
+        F.col("player").alias("hot"), F.col("rating").alias("hot_rating")
     )
-    marked = rows.join(F.broadcast(hot_rated), F.col("player") == F.col("hot"), "left")
 
-    cold = F.when(F.col("hot").isNull(), F.col("player"))
+
+def split_keys(rows: DataFrame, ratings: RatingTable) -> DataFrame:
+    """Rows with the rating of hot players and the keys the others shuffle by:
+    ``cold``, null where there is nothing left to look up, and ``spread``."""
+    marked = rows.join(F.broadcast(hot_ratings(ratings)), F.col("player") == F.col("hot"), "left")
+    cold = F.when(F.col("hot").isNull() & (F.col("player") != DEFAULT_PLAYER), F.col("player"))
     spread = F.when(cold.isNull(), F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD))).otherwise(0)
     return marked.withColumns({"cold": cold, "spread": spread})
 
 
-def _attach_split(rows: DataFrame, ratings: DataFrame) -> DataFrame:
+def _attach_split(rows: DataFrame, ratings: RatingTable) -> DataFrame:
     keyed = split_keys(rows, ratings)
     # a second key of value 0, in a form that the optimizer leaves a join key
     zero = F.length("player").cast("bigint") * 0
     joined = keyed.join(
-        ratings.select(F.col("player").alias("rated"), "rating", zero.alias("zero")),
+        ratings.frame.select(F.col("player").alias("rated"), "rating", zero.alias("zero")),
         (F.col("cold") == F.col("rated")) & (F.col("spread") == F.col("zero")),
         "left",
     )

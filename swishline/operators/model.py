@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,8 @@ from swishline.operators.scoring import score_shots
 from swishline.schemas import FEATURES
 from swishline.sources.scratch import use_checkpoints
 
+log = logging.getLogger(__name__)
+
 # ---------------------------------------------------------------- fixed values
 # four shots to try a model on: name, then the features in model order
 SCENARIOS = [
@@ -92,8 +96,7 @@ def train_boosted(
     """Boosted trees, cut at the round that did best on ``valid``.
 
     Pass stored tables: every round reads the rows again where memory is short.
-    The cut is a second fit with fewer rounds, since Spark cannot shorten a model;
-    with the same rows and seed it repeats the first rounds.
+    The cut model is made of the first trees of the fitted one.
     """
     use_checkpoints(train.sparkSession)
     stages = _prepared(train, impute)
@@ -111,15 +114,38 @@ def train_boosted(
     losses = list(fitted.evaluateEachIteration(_weighted(valid, stages, 1.0)))
     keep = best_round(losses, settings.patience)
     if keep < settings.rounds:
-        fitted = learner.copy({learner.maxIter: keep}).fit(rows)
+        fitted = shortened(fitted, keep)
     return Boosted(PipelineModel([*stages, fitted]), losses, keep)
 
 
-def train_logistic(train: DataFrame, impute: bool = False) -> PipelineModel:
-    """The linear alternative, with the same inputs and class weights."""
+def shortened(fitted: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of the first ``rounds`` trees: boosting never changes earlier ones."""
+    gateway = SparkContext._active_spark_context._gateway
+    ml = gateway.jvm.org.apache.spark.ml
+    trees = gateway.new_array(ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for i in range(rounds):
+        trees[i] = fitted._java_obj.trees()[i]
+        weights[i] = fitted.treeWeights[i]
+    cut = ml.classification.GBTClassificationModel(
+        fitted.uid, trees, weights, fitted.numFeatures, fitted.numClasses
+    )
+    return fitted._copyValues(GBTClassificationModel(cut))
+
+
+def train_logistic(
+    train: DataFrame, impute: bool = False, max_iter: int = 200, tolerance: float = 1e-8
+) -> PipelineModel:
+    """The linear alternative, with the same inputs and class weights.
+
+    It stops when an iteration changes the loss by less than ``tolerance``, relatively.
+    A fit that ``max_iter`` iterations end before that is used, with a warning.
+    """
     stages = _prepared(train, impute)
     rows = _weighted(train, stages, positive_weight(train))
-    fitted = LogisticRegression(weightCol="weight", maxIter=50).fit(rows)
+    fitted = LogisticRegression(weightCol="weight", maxIter=max_iter, tol=tolerance).fit(rows)
+    if fitted.summary.totalIterations >= max_iter:
+        log.warning("the logistic model has not converged in %d iterations", max_iter)
     return PipelineModel([*stages, fitted])
 
 

@@ -87,6 +87,9 @@ def described_shots(plays: DataFrame) -> DataFrame:
     return rows
 
 
+EVENT_KEY = "event_key"
+
+
 def build_event(plays: DataFrame, at: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """The 17-field shot event. ``at`` is its time; by default, now.
 
@@ -99,8 +102,12 @@ def build_event(plays: DataFrame, at: Column | None = None, keep: tuple[str, ...
 
 
 def encode_events(events: DataFrame) -> DataFrame:
-    """One JSON text per event, in the column a Kafka or text sink expects."""
-    return events.select(F.to_json(F.struct(*EVENT_FIELDS)).alias("value"))
+    """One JSON text per event, in the column a Kafka or text sink expects.
+
+    A column ``event_key``, if there is one, goes along: it tells equal events apart.
+    """
+    key = [c for c in events.columns if c == EVENT_KEY]
+    return events.select(F.to_json(F.struct(*EVENT_FIELDS, *key)).alias("value"))
 
 
 def decode_events(messages: DataFrame) -> DataFrame:

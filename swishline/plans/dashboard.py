@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from swishline.operators import analytics as A
 from swishline.operators.sampling import SAMPLE_LIMIT, latest_n, recent_shots, sample_n
+from swishline.plans.options import print_all
 from swishline.session import get_session
 from swishline.sources.telemetry import read_newest_days, read_telemetry
+from swishline.streaming import live
 
 
 def refresh(
@@ -21,14 +23,17 @@ def refresh(
 ) -> dict[str, DataFrame]:
     """Report name to frame.
 
-    The latest-n sample (at most 5000 rows) is found once and kept for the
-    reports drawn from it. ``newest`` may name a smaller frame to find it in.
+    Header, grades and zones follow from one count by zone and grade, of at most 15 rows;
+    the leaderboard is the other pass over the table. The latest-n sample (at most 5000
+    rows) is found once and kept for the reports drawn from it. ``newest`` may name a
+    smaller frame to find it in.
     """
     latest = latest_n(telemetry if newest is None else newest, sample).persist()
+    totals = A.zone_grades(telemetry, latest, as_of).persist()
     return {
-        "header": A.dashboard_snapshot(telemetry, as_of, latest=latest),
-        "grades": A.grade_distribution(telemetry),
-        "zones": A.zone_stats(telemetry),
+        "header": A.header(totals, latest),
+        "grades": live.grades(totals),
+        "zones": live.zones(totals),
         "players": A.player_leaderboard(telemetry),
         "per_minute": A.shots_per_minute(telemetry, as_of),
         "shot_map": A.shot_position(sample_n(latest)),
@@ -54,17 +59,20 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--telemetry", required=True, help="telemetry table folder")
     parser.add_argument("--sample", type=int, default=SAMPLE_LIMIT)
     parser.add_argument("--out", help="folder to store the reports in, instead of printing")
+    parser.add_argument(
+        "--as-of", type=datetime.fromisoformat, help="report as at this time, not as of now"
+    )
     args = parser.parse_args(argv)
 
     spark = get_session("dashboard")
-    now = datetime.now().astimezone()
-    reports = refresh_stored(spark, args.telemetry, now, args.sample)
+    as_of = (args.as_of or datetime.now()).astimezone()
+    reports = refresh_stored(spark, args.telemetry, as_of, args.sample)
     for name, report in reports.items():
         if args.out:
             report.write.mode("overwrite").json(f"{args.out.rstrip('/')}/{name}")
         else:
             print(name)
-            report.show(truncate=False)
+            print_all(report)
 
 
 if __name__ == "__main__":

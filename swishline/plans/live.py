@@ -8,30 +8,56 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
 from swishline.operators.plays import decode_events, readable
 from swishline.operators.scoring import event_time
-from swishline.plans.options import add_transport, transport_of
+from swishline.plans.options import add_transport, print_all, transport_of
 from swishline.session import get_session
 from swishline.sources.events import EARLIEST, LATEST, subscribe_events
 from swishline.streaming.enrich import Scorer
 from swishline.streaming.live import (
     LATE_BY,
     REFRESH,
+    grades,
+    headline,
+    late_rows,
+    running_totals_now,
+    shots_per_minute_now,
     stream_running_totals,
     stream_shots_per_minute,
+    zones,
 )
 
 
+def show(spark: SparkSession, out: str) -> None:
+    """Print the reports that the running job keeps below ``out``."""
+    totals = running_totals_now(spark, f"{out.rstrip('/')}/totals")
+    minutes = shots_per_minute_now(spark, f"{out.rstrip('/')}/minutes")
+    last_hour = minutes.orderBy(F.col("minute").desc()).limit(60)
+    named = (("headline", headline(totals)), ("grades", grades(totals)), ("zones", zones(totals)))
+    for name, report in (*named, ("last 60 minutes", last_hour)):
+        print(name)
+        print_all(report)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     add_transport(parser)
-    parser.add_argument("--artifacts", nargs="+", required=True, help="roots, tried in order")
+    parser.add_argument("--artifacts", nargs="+", default=[], help="roots, tried in order")
     parser.add_argument("--out", required=True, help="folder of the reports")
-    parser.add_argument("--checkpoint", required=True, help="the same one resumes after a stop")
+    parser.add_argument("--checkpoint", help="the same one resumes after a stop")
+    parser.add_argument("--show", action="store_true", help="print the reports as they stand")
     parser.add_argument("--start", choices=[EARLIEST, LATEST], default=LATEST)
     parser.add_argument("--late-by", default=LATE_BY, help="how late an event still counts")
     parser.add_argument("--once", action="store_true", help="take what is there, then stop")
     args = parser.parse_args(argv)
+    if args.show:
+        show(get_session("live"), args.out)
+        return
+    if not args.checkpoint:
+        parser.error("--checkpoint is needed")
     if args.start == LATEST and args.transport == "files":
         parser.error("reports over files start at the earliest message")
 
@@ -55,6 +81,8 @@ def main(argv: list[str] | None = None) -> None:
     ]
     for query in queries:
         query.awaitTermination()
+    if args.once:
+        print(f"late: {late_rows(queries[0])}")
 
 
 if __name__ == "__main__":

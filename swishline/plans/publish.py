@@ -5,8 +5,9 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from swishline.operators.plays import build_event
+from swishline.operators.plays import EVENT_KEY, build_event
 from swishline.plans.options import add_transport, transport_of
 from swishline.session import get_session
 from swishline.sources.events import Transport, publish_events
@@ -14,7 +15,9 @@ from swishline.sources.plays import scan_plays
 
 
 def publish(spark: SparkSession, plays_path: str, to: Transport) -> None:
-    publish_events(build_event(scan_plays(spark, plays_path)), to)
+    """Every play gets a key of its own, so that equal plays stay two events."""
+    events = build_event(scan_plays(spark, plays_path)).withColumn(EVENT_KEY, F.uuid())
+    publish_events(events, to)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -22,6 +22,7 @@ from swishline.operators.plays import feature_columns, raw_inputs, served_inputs
 from swishline.operators.sampling import train_test_split
 from swishline.operators.scoring import score_shots
 from swishline.operators.skill import league_value, player_skill, player_totals
+from swishline.plans.options import print_all
 from swishline.session import get_session
 from swishline.sources.artifacts import publish_model, publish_ratings
 from swishline.sources.plays import scan_plays
@@ -135,7 +136,7 @@ def main(argv: list[str] | None = None) -> None:
     )
     print(f"best round: {done.best_round}")
     for report in (done.balance, done.metrics, done.importance, done.scenarios):
-        report.show(truncate=False)
+        print_all(report)
 
 
 if __name__ == "__main__":

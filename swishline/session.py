@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import SparkSession
 
-# Runtime re-planning settles partition counts, join strategies and skewed
-# partitions from measured sizes, so none of them is tuned per data size here.
+# Runtime re-planning merges partitions that turn out small, picks join strategies and
+# splits skewed partitions from measured sizes, so none is tuned per data size here.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -18,12 +18,21 @@ DEFAULTS = {
 }
 
 
+# Merging only lowers a partition count: jobs on a cluster start from a high one.
+PARTITIONS_BEFORE_MERGING = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+CLUSTER_PARTITIONS = "4000"
+
+
 def get_session(app_name: str = "swishline", **overrides: str) -> SparkSession:
     """Session for a job; the cluster's own settings come from spark-submit."""
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**DEFAULTS, **overrides}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    local = spark.sparkContext.master.startswith("local")
+    if not local and spark.conf.get(PARTITIONS_BEFORE_MERGING, None) is None:
+        spark.conf.set(PARTITIONS_BEFORE_MERGING, CLUSTER_PARTITIONS)
+    return spark
 
 
 def local_session(cpus: int | None = None, app_name: str = "swishline-local") -> SparkSession:

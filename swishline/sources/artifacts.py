@@ -3,7 +3,8 @@
 ``<root>/<name>/<version>/`` holds one artifact and is never changed once
 listed. ``<root>/manifest`` is an append-only table with one row per published
 version; a reader takes the newest row, so it sees a whole artifact or the
-previous one, never a half-written one.
+previous one, never a half-written one. Paths in it are relative to the root, which may
+therefore be copied, or mounted elsewhere.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from swishline.schemas import RATINGS
 
 log = logging.getLogger(__name__)
 
+TRIED_VERSIONS = 20
+STORED_RATINGS = [*RATINGS.fieldNames(), "total"]
 RATINGS_NAME, MODEL_NAME = "player_ratings", "model"
 
 MANIFEST = T.StructType(
@@ -39,18 +42,25 @@ Loaded = TypeVar("Loaded")
 
 @dataclass(frozen=True)
 class Version:
+    """A listed artifact of one root; ``path`` is relative to the root."""
+
     name: str
     version: int
     path: str
+    root: str
+
+    @property
+    def location(self) -> str:
+        return f"{self.root}/{self.path}"
 
 
 def publish_ratings(ratings: DataFrame, root: str) -> Version:
-    """Store the two-column rating table as a new version."""
+    """Store the ratings, with the shots that they stand on, as a new version."""
     return _publish(
         ratings.sparkSession,
         root,
         RATINGS_NAME,
-        lambda path: ratings.select(*RATINGS.fieldNames()).write.parquet(path),
+        lambda path: ratings.select(*STORED_RATINGS).write.parquet(path),
     )
 
 
@@ -59,43 +69,45 @@ def publish_model(spark: SparkSession, model: PipelineModel, root: str) -> Versi
 
 
 def load_ratings(
-    spark: SparkSession, roots: Sequence[str], newer_than: int = 0
+    spark: SparkSession, roots: Sequence[str], current: Version | None = None
 ) -> tuple[Version, RatingTable] | None:
-    """Newest non-empty ratings from the first root that has any, else None."""
+    """Newest non-empty ratings from the first root that has any; None if that is ``current``."""
 
     def load(path: str) -> RatingTable:
-        table = RatingTable.measured(spark.read.parquet(path).select(*RATINGS.fieldNames()))
+        table = RatingTable.measured(spark.read.parquet(path).select(*STORED_RATINGS))
         if table.rows == 0:
             raise ValueError("no ratings in it")
         return table
 
-    return _first_loadable(spark, roots, RATINGS_NAME, load, newer_than)
+    return _first_loadable(spark, roots, RATINGS_NAME, load, current)
 
 
 def load_model(
-    spark: SparkSession, roots: Sequence[str], newer_than: int = 0
+    spark: SparkSession, roots: Sequence[str], current: Version | None = None
 ) -> tuple[Version, PipelineModel] | None:
-    """Newest model from the first root that has one, else None."""
-    return _first_loadable(spark, roots, MODEL_NAME, PipelineModel.load, newer_than)
+    """Newest model from the first root that has one; None if that is ``current``."""
+    return _first_loadable(spark, roots, MODEL_NAME, PipelineModel.load, current)
 
 
-def latest_version(spark: SparkSession, root: str, name: str) -> Version | None:
-    newest = (
+def newest_versions(spark: SparkSession, root: str, name: str) -> list[Version]:
+    """Listed versions of a root, newest first: as many as a rollback may have to try."""
+    rows = (
         spark.read.schema(MANIFEST)
         .parquet(f"{root}/manifest")
         .where(F.col("name") == name)
-        .agg(F.max_by(F.struct("name", "version", "path"), "version").alias("newest"))
-        .first()["newest"]
+        .orderBy(F.col("version").desc())
+        .limit(TRIED_VERSIONS)
+        .collect()
     )
-    return Version(**newest.asDict()) if newest else None
+    return [Version(**row.asDict(), root=root) for row in rows]
 
 
 def _publish(
     spark: SparkSession, root: str, name: str, write: Callable[[str], None]
 ) -> Version:
     version = time.time_ns() // 1000
-    entry = Version(name, version, f"{root}/{name}/{version}")
-    write(entry.path)
+    entry = Version(name, version, f"{name}/{version}", root.rstrip("/"))
+    write(entry.location)
     row = spark.createDataFrame([(entry.name, entry.version, entry.path)], MANIFEST)
     row.coalesce(1).write.mode("append").parquet(f"{root}/manifest")
     return entry
@@ -106,16 +118,24 @@ def _first_loadable(
     roots: Sequence[str],
     name: str,
     load: Callable[[str], Loaded],
-    newer_than: int,
+    current: Version | None,
 ) -> tuple[Version, Loaded] | None:
-    for root in roots:
+    """The newest version that loads, of the first root that has one.
+
+    A version that does not load gives way to the one before it in its root. None if
+    nothing loads, or if ``current``, which is in use already, comes first.
+    """
+    for root in (r.rstrip("/") for r in roots):
         try:
-            entry = latest_version(spark, root, name)
-            if entry is None:
-                continue
-            if entry.version <= newer_than:
-                return None
-            return entry, load(entry.path)
+            versions = newest_versions(spark, root, name)
         except Exception as error:  # a bad root must not stop a running scorer
             log.warning("no %s from %s: %s", name, root, str(error).splitlines()[:1])
+            continue
+        for entry in versions:
+            if entry == current:
+                return None
+            try:
+                return entry, load(entry.location)
+            except Exception as error:
+                log.warning("%s %s: %s", name, entry.location, str(error).splitlines()[:1])
     return None

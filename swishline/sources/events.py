@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swishline.operators.plays import encode_events
+from swishline.operators.plays import EVENT_KEY, encode_events
 from swishline.schemas import EVENT_TOPIC
 
 EARLIEST, LATEST = "earliest", "latest"
@@ -92,7 +92,11 @@ def _keyed(raw: DataFrame, source: Transport) -> DataFrame:
 
 
 def _message_key(source: Transport, value: Column) -> Column:
-    """The message's own identity, in place of a serial number."""
+    """The message's own identity, in place of a serial number.
+
+    Files have no offsets: the key that the publisher gave, or else the text's hash, which
+    equal messages share.
+    """
     if source.kind == "kafka":
-        return F.concat_ws("-", F.col("partition"), F.col("offset"))
-    return F.md5(value)
+        return F.concat_ws("-", F.col("topic"), F.col("partition"), F.col("offset"))
+    return F.coalesce(F.get_json_object(value, f"$.{EVENT_KEY}"), F.md5(value))

@@ -1,30 +1,43 @@
 """The telemetry table: scored shots, appended batch by batch.
 
-Files: ``<path>/stream_id=<s>/batch_id=<n>/created_date=<d>/*.parquet``. A batch
-that runs again after a crash overwrites its own folder, so no row is stored
-twice; several streams, or one begun anew, share a table without meeting; and
-time-bounded reads skip whole days. JDBC: plain append; a batch that is retried
-after a partial commit can repeat rows there.
+Files: ``<path>/created_date=<d>/stream_id=<s>/batch_id=<n>/*.parquet``. A batch that
+runs again after a crash overwrites its own folders, so no row is stored twice; several
+streams, or one begun anew, share a table without meeting; and time-bounded reads list
+and open only the folders of their days.
+
+A day that is over is compacted: its batches are written once more as large files below
+``stream_id=compacted``, and a row per stream in ``<path>_compacted`` says up to which
+batch. Readers take compacted files and the later batches; files that are not listed
+yet, or no longer needed, are passed over, so nobody sees a day half done. The next
+compaction removes what the one before it has replaced. JDBC: plain append; a batch
+that is retried after a partial commit can repeat rows there.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+import time
+from collections.abc import Sequence
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from swishline.schemas import TELEMETRY, TELEMETRY_COLUMNS
+from swishline.sources import files
 
+PLACE = ["created_date", "stream_id", "batch_id"]
 STORED = T.StructType(
     [
         *TELEMETRY.fields,
+        T.StructField("created_date", T.DateType()),
         T.StructField("stream_id", T.StringType()),
         T.StructField("batch_id", T.LongType()),
-        T.StructField("created_date", T.DateType()),
     ]
 )
+COMPACTED = "compacted"
+# up to which batch the streams of a day are in the compacted folder of that version
+LISTED = "created_date date, stream_id string, upto bigint, version bigint"
 
 
 def append_telemetry(
@@ -32,13 +45,24 @@ def append_telemetry(
 ) -> None:
     """Store one batch. Rows are gathered by day first, so that a wide batch does
     not leave a file per task and day; adaptive execution cuts a big day into
-    several well-sized files, and no task gets the whole day."""
-    rows = scored.select(*TELEMETRY.fieldNames())
-    rows = rows.withColumn("created_date", F.to_date("created_at"))
+    several well-sized files, and no task gets the whole day. A batch that may run
+    again needs the same created_at each time, as ``stream_enrich`` gives it."""
+    rows = scored.select(*TELEMETRY.fieldNames()).withColumns(
+        {
+            "created_date": F.to_date("created_at"),
+            "stream_id": F.lit(stream_id),
+            "batch_id": F.lit(batch_id).cast("bigint"),
+        }
+    )
+    _write(rows, path)
+
+
+def _write(rows: DataFrame, path: str) -> None:
+    """Replace the folders of days, streams and batches that ``rows`` has."""
     if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         rows = rows.hint("rebalance", "created_date")
-    target = batch_folder(path, stream_id, batch_id)
-    rows.write.mode("overwrite").partitionBy("created_date").parquet(target)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*PLACE).parquet(path.rstrip("/"))
 
 
 def batch_folder(path: str, stream_id: str, batch_id: int) -> str:
@@ -51,33 +75,111 @@ def append_telemetry_jdbc(scored: DataFrame, url: str, table: str, **options: st
     rows.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STORED).option("basePath", path).parquet(path)
+def stored_days(spark: SparkSession, path: str) -> list[date]:
+    """Days of the table, oldest first, by the names of its folders."""
+    return [date.fromisoformat(d) for d in files.values(spark, path, "created_date")]
+
+
+def _stored(spark: SparkSession, path: str, days: Sequence[date] | None = None) -> DataFrame:
+    """Rows with their place; only the folders of ``days`` are listed, if given."""
+    path = path.rstrip("/")
+    reader = spark.read.schema(STORED).option("basePath", path)
+    if days is None:
+        return reader.parquet(path)
+    if not days:
+        return spark.createDataFrame([], STORED)
+    return reader.parquet(*[f"{path}/created_date={d}" for d in days])
+
+
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    listed = f"{path.rstrip('/')}_compacted"
+    if not files.is_there(spark, listed):
+        return spark.createDataFrame([], LISTED)
+    return spark.read.schema(LISTED).parquet(listed)
+
+
+def _current(spark: SparkSession, path: str, days: Sequence[date] | None = None) -> DataFrame:
+    """Each stored row once: from a compacted folder, or from a later batch."""
+    rows, listed = _stored(spark, path, days), _listed(spark, path)
+    # a row per day and stream: few, whatever the table holds
+    upto = listed.groupBy("created_date", "stream_id").agg(F.max("upto").alias("upto"))
+    versions = listed.select(
+        "created_date", F.lit(COMPACTED).alias("stream_id"), F.col("version").alias("batch_id")
+    ).distinct()
+    batches = rows.where(F.col("stream_id") != COMPACTED).join(
+        F.broadcast(upto), ["created_date", "stream_id"], "left"
+    )
+    later = batches.where(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto")))
+    compacted = rows.where(F.col("stream_id") == COMPACTED)
+    compacted = compacted.join(F.broadcast(versions), PLACE, "left_semi")
+    return later.select(*rows.columns).unionByName(compacted.select(*rows.columns))
+
+
+def compact(spark: SparkSession, path: str, before: date) -> int:
+    """Compact the days before ``before``; returns how many had anything new.
+
+    Folders that an earlier call has replaced are removed first, so readers have from
+    one call to the next to finish. Call it once a day, from one place.
+    """
+    path = path.rstrip("/")
+    days = [d for d in stored_days(spark, path) if d < before]
+    listed = _listed(spark, path)
+    for row in listed.groupBy("created_date", "stream_id").agg(F.max("upto").alias("upto")).collect():
+        folder = f"{path}/created_date={row['created_date']}/stream_id={row['stream_id']}"
+        for batch in files.values(spark, folder, "batch_id"):
+            if int(batch) <= row["upto"]:
+                files.remove(spark, f"{folder}/batch_id={batch}")
+    done = 0
+    for day in days:
+        folder = f"{path}/created_date={day}"
+        known = {r["stream_id"]: r["upto"] for r in _upto(listed, day).collect()}
+        streams = {}
+        for stream in files.values(spark, folder, "stream_id"):
+            batches = map(int, files.values(spark, f"{folder}/stream_id={stream}", "batch_id"))
+            newest = max(batches, default=-1)
+            if stream != COMPACTED and newest > known.get(stream, -1):
+                streams[stream] = newest
+        if not streams:
+            continue
+        version = time.time_ns() // 1000
+        rows = _current(spark, path, [day]).where(F.col("stream_id") != COMPACTED)
+        rows = rows.withColumns({"stream_id": F.lit(COMPACTED), "batch_id": F.lit(version)})
+        _write(rows, path)
+        entries = [(day, stream, upto, version) for stream, upto in streams.items()]
+        listing = spark.createDataFrame(entries, LISTED).coalesce(1)
+        listing.write.mode("append").parquet(f"{path}_compacted")
+        done += 1
+    return done
+
+
+def _upto(listed: DataFrame, day: date) -> DataFrame:
+    own = listed.where(F.col("created_date") == F.lit(day))
+    return own.groupBy("stream_id").agg(F.max("upto").alias("upto"))
 
 
 def read_telemetry(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
-    """Stored rows with both times. ``since`` limits by created_at and prunes days."""
-    rows = _stored(spark, path)
-    if since is not None:
-        rows = rows.where(F.col("created_date") >= F.lit(since).cast("date"))
-        rows = rows.where(F.col("created_at") >= F.lit(since))
-    return rows.select(*TELEMETRY.fieldNames())
+    """Stored rows with both times. ``since`` limits by created_at and lists only its days."""
+    if since is None:
+        return _current(spark, path).select(*TELEMETRY.fieldNames())
+    # a day more: the date of ``since`` depends on the session's time zone
+    first = since.date() - timedelta(days=1)
+    rows = _current(spark, path, [d for d in stored_days(spark, path) if d >= first])
+    return rows.where(F.col("created_at") >= F.lit(since)).select(*TELEMETRY.fieldNames())
 
 
 def read_newest_days(spark: SparkSession, path: str, n: int) -> DataFrame:
     """The newest whole days that hold at least ``n`` rows together, or all days.
 
     What is newest overall is newest in there, so a "latest n" report need not
-    read the rest of the table. Days are counted from the file footers.
+    read, or list, the rest of the table.
     """
-    rows = _stored(spark, path)
-    newest = rows.agg(F.max("created_date")).first()[0]
-    for days in (1, 7, 31, 366) if newest is not None else ():
-        first = newest - timedelta(days=days - 1)
-        recent = rows.where(F.col("created_date") >= F.lit(first))
-        if recent.limit(n).count() == n:
-            return recent.select(*TELEMETRY.fieldNames())
-    return rows.select(*TELEMETRY.fieldNames())
+    days = stored_days(spark, path)
+    for span in (1, 7, 31, 366) if days else ():
+        recent = [d for d in days if d > days[-1] - timedelta(days=span)]
+        rows = _current(spark, path, recent)
+        if rows.limit(n).count() == n:
+            return rows.select(*TELEMETRY.fieldNames())
+    return read_telemetry(spark, path)
 
 
 def read_telemetry_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:

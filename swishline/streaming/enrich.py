@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from functools import cache
 
 from pyspark.ml import PipelineModel
@@ -16,12 +17,15 @@ from swishline.operators.lookup import RatingTable
 from swishline.operators.plays import decode_events, is_readable, readable, unreadable
 from swishline.operators.scoring import score_events
 from swishline.schemas import RELOAD_SECONDS
-from swishline.sources.artifacts import load_model, load_ratings
+from swishline.sources.artifacts import Version, load_model, load_ratings
 from swishline.sources.telemetry import append_telemetry, batch_folder
 from swishline.streaming.checkpoints import stream_id
 
 log = logging.getLogger(__name__)
 
+# every trigger leaves files in the table: not more often than its readers need
+TRIGGER = {"processingTime": "10 seconds"}
+
 
 class Scorer:
     """Current model and ratings, looked up anew at most once per interval.
@@ -43,8 +47,8 @@ class Scorer:
         self._clock = clock
         self.model: PipelineModel | None = None
         self.ratings: RatingTable | None = None
-        self.model_version = 0
-        self.ratings_version = 0
+        self.model_version: Version | None = None
+        self.ratings_version: Version | None = None
         self._load()
 
     def refresh(self) -> None:
@@ -54,10 +58,14 @@ class Scorer:
     def _load(self) -> None:
         found = load_model(self._spark, self._roots, self.model_version)
         if found is not None:
-            self.model_version, self.model = found[0].version, found[1]
+            self.model_version, self.model = found
         found = load_ratings(self._spark, self._roots, self.ratings_version)
         if found is not None:
-            self.ratings_version, self.ratings = found[0].version, found[1]
+            if self.ratings is not None:
+                self.ratings.frame.unpersist()
+            # read by every micro-batch: kept until newer ones come
+            version, table = found
+            self.ratings_version, self.ratings = version, replace(table, frame=table.frame.persist())
         if self.model is None:
             log.warning("no model found: scoring by the heuristic")
         self._checked = self._clock()
@@ -78,12 +86,15 @@ def stream_enrich(
 ) -> StreamingQuery:
     """Start scoring a stream of ``shot_id`` and ``value``.
 
-    The stream's checkpoint holds the offsets; a micro-batch that has to run
-    again replaces what its first run stored. Messages that cannot be read are
+    The stream's checkpoint holds the offsets and the time of each micro-batch, which
+    is the time of storage unless ``created_at`` sets another; so a micro-batch that has
+    to run again, even after midnight, replaces what its first run stored. Messages that cannot be read are
     stored apart, with their text, and do not stop the stream. They are counted
     while the good ones are stored, so a batch without any is read only once.
     """
 
+    at_batch = created_at is None
+
     @cache
     def own_id() -> str:
         return stream_id(messages.sparkSession, checkpoint)
@@ -95,13 +106,16 @@ def stream_enrich(
         # anything can no longer ship Spark ML models that were made in it
         seen = Observation()
         counted = decoded.observe(seen, F.count_if(~is_readable()).alias("unreadable"))
-        sink(scorer.score(readable(counted), created_at), telemetry_path, batch_id, own_id())
+        scored = scorer.score(readable(counted), F.col("taken_at") if at_batch else created_at)
+        sink(scored, telemetry_path, batch_id, own_id())
         if seen.get["unreadable"]:
-            rejects = unreadable(decoded)
+            rejects = unreadable(decoded).drop("taken_at")
             rejects.write.mode("overwrite").parquet(batch_folder(rejects_path, own_id(), batch_id))
 
-    writer = messages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()
+    # on a stream this is the logged time of the micro-batch, the same when it runs again
+    taken = messages.withColumn("taken_at", F.current_timestamp()) if at_batch else messages
+    writer = taken.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or TRIGGER)).start()
 
 
 def skip_history(messages: DataFrame, checkpoint: str) -> None:

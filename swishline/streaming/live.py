@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,37 +11,40 @@ from pyspark.sql.streaming import StreamingQuery
 
 from swishline.functions import shots as S
 from swishline.operators.analytics import grade_distribution_of
+from swishline.sources import files
 from swishline.streaming.checkpoints import exists, stream_id
 
 LATE_BY = "10 minutes"
 REFRESH = {"processingTime": "10 seconds"}
 PARTITIONS = "spark.sql.shuffle.partitions"
 STATE_PARTITIONS = 8
+# older states are removed: readers of one have two refreshes to finish
+KEPT_STATES = 3
 
-MINUTES_SCHEMA = "minute timestamp, shots bigint, batch_id bigint"
-TOTALS_SCHEMA = (
-    "zone string, shot_grade string, shots bigint, points double, nearest int, batch_id bigint"
-)
+MINUTES_SCHEMA = "minute timestamp, shots bigint, day date"
+TOTALS_SCHEMA = "zone string, shot_grade string, shots bigint, points double, nearest int"
 
 
-def _store_batches(
-    result: DataFrame, mode: str, path: str, checkpoint: str, trigger: dict | None
+def _start(
+    result: DataFrame,
+    mode: str,
+    store: Callable[[DataFrame, int], None],
+    path: str,
+    checkpoint: str,
+    trigger: dict | None,
+    state_partitions: int,
 ) -> StreamingQuery:
     spark = result.sparkSession
     if stream_id(spark, checkpoint) is None and exists(spark, path):
         raise ValueError(f"{path} belongs to a stream with another checkpoint")
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
     writer = result.writeStream.outputMode(mode).foreachBatch(store)
     writer = writer.option("checkpointLocation", checkpoint)
-    with _state_partitions(spark):
+    with _state_partitions(spark, state_partitions):
         return writer.trigger(**(trigger or REFRESH)).start()
 
 
 @contextmanager
-def _state_partitions(spark: SparkSession) -> Iterator[None]:
+def _state_partitions(spark: SparkSession, most: int) -> Iterator[None]:
     """Few state partitions for a query started in this block.
 
     Tasks send one row per minute or zone, however much they read: the default
@@ -49,7 +52,7 @@ def _state_partitions(spark: SparkSession) -> Iterator[None]:
     A query keeps the number it was first started with.
     """
     before = spark.conf.get(PARTITIONS)
-    spark.conf.set(PARTITIONS, min(int(before), STATE_PARTITIONS))
+    spark.conf.set(PARTITIONS, min(int(before), most))
     try:
         yield
     finally:
@@ -62,36 +65,74 @@ def stream_shots_per_minute(
     checkpoint: str,
     trigger: dict | None = None,
     late_by: str = LATE_BY,
+    state_partitions: int = STATE_PARTITIONS,
 ) -> StreamingQuery:
     """Shots per minute of event time, as a tumbling window.
 
-    Update mode: each micro-batch stores only the minutes it changed, and the
-    watermark lets finished minutes leave the state. Events later than that are
-    dropped, so state stays at minutes of lateness, not at history. A replay of
-    history that is not in order of time needs a ``late_by`` that spans it.
+    Update mode: each micro-batch merges the minutes it changed into the table of their
+    days, one row per minute and a folder per day, and the watermark lets finished
+    minutes leave the state. Events later than that are dropped, so state stays at
+    minutes of lateness, not at history; ``late_rows`` counts them. A replay of history
+    that is not in order of time needs a ``late_by`` that spans it.
     """
+    path = path.rstrip("/")
     per_minute = (
         events.withWatermark("event_time", late_by)
         .groupBy(F.window("event_time", "1 minute").alias("w"))
         .agg(F.count(F.lit(1)).alias("shots"))
         .select(F.col("w.start").alias("minute"), "shots")
     )
-    return _store_batches(per_minute, "update", path, checkpoint, trigger)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        changed = batch.withColumn("day", F.to_date("minute"))
+        staged = f"{path}_staged"  # an overwritten day cannot be read by the same write
+        if files.is_there(spark, path):
+            stored = spark.read.schema(MINUTES_SCHEMA).parquet(path)
+            own_days = stored.join(changed.select("day").distinct(), "day", "left_semi")
+            kept = own_days.join(changed.select("minute"), "minute", "left_anti")
+            changed = changed.unionByName(kept)
+        changed.coalesce(1).write.mode("overwrite").parquet(staged)
+        writer = spark.read.schema(MINUTES_SCHEMA).parquet(staged).write.partitionBy("day")
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+    return _start(per_minute, "update", merge, path, checkpoint, trigger, state_partitions)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after their minute had left the state, in the batches that Spark
+    still remembers of this run. Counted before the state, per task and minute."""
+    states = (s for p in query.recentProgress for s in p["stateOperators"])
+    return sum(s["numRowsDroppedByWatermark"] for s in states)
 
 
 def shots_per_minute_now(spark: SparkSession, path: str) -> DataFrame:
-    """Newest stored count of each minute."""
-    stored = spark.read.schema(MINUTES_SCHEMA).option("basePath", path).parquet(path)
-    return stored.groupBy("minute").agg(F.max_by("shots", "batch_id").alias("shots"))
+    """The stored count of each minute."""
+    stored = spark.read.schema(MINUTES_SCHEMA).parquet(path.rstrip("/"))
+    return stored.select("minute", "shots")
 
 
 def stream_running_totals(
-    telemetry: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    telemetry: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    state_partitions: int = STATE_PARTITIONS,
 ) -> StreamingQuery:
     """One small state (zone x grade, at most 15 rows) behind all headline reports.
 
-    Complete mode: each micro-batch stores the whole state as it stands.
+    Complete mode: each micro-batch stores the whole state as it stands, and removes
+    all but the newest few before it.
     """
+    path = path.rstrip("/")
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        for old in map(int, files.values(spark, path, "batch_id")):
+            if old <= batch_id - KEPT_STATES:
+                files.remove(spark, f"{path}/batch_id={old}")
+
     totals = (
         telemetry.groupBy(S.zone(F.col("shot_distance")).alias("zone"), "shot_grade")
         .agg(
@@ -100,14 +141,17 @@ def stream_running_totals(
             F.min("shot_distance").alias("nearest"),
         )
     )
-    return _store_batches(totals, "complete", path, checkpoint, trigger)
+    return _start(totals, "complete", store, path, checkpoint, trigger, state_partitions)
 
 
 def running_totals_now(spark: SparkSession, path: str) -> DataFrame:
-    """The newest stored state."""
-    stored = spark.read.schema(TOTALS_SCHEMA).option("basePath", path).parquet(path)
-    newest = stored.agg(F.max("batch_id")).scalar()
-    return stored.where(F.col("batch_id") == newest).drop("batch_id")
+    """The newest state that is stored whole."""
+    path = path.rstrip("/")
+    states = sorted(map(int, files.values(spark, path, "batch_id")))
+    whole = [n for n in states if files.is_there(spark, f"{path}/batch_id={n}/_SUCCESS")]
+    if not whole:
+        return spark.createDataFrame([], TOTALS_SCHEMA)
+    return spark.read.schema(TOTALS_SCHEMA).parquet(f"{path}/batch_id={whole[-1]}")
 
 
 def headline(totals: DataFrame) -> DataFrame:
@@ -128,4 +172,4 @@ def zones(totals: DataFrame) -> DataFrame:
         (F.sum("points") / F.sum("shots")).alias("avg_xp"),
         F.min("nearest").alias("nearest"),
     )
-    return per_zone.orderBy("nearest").select("zone", "shots", "avg_xp")
+    return per_zone.orderBy(F.col("nearest").asc_nulls_last()).select("zone", "shots", "avg_xp")

@@ -146,3 +146,28 @@ def test_plans_have_no_full_sort_and_no_python(spark, telemetry):
     for report in (A.zone_stats, A.dashboard_snapshot, A.distance_histogram, A.shot_position):
         text = report(telemetry)._jdf.queryExecution().explainString(mode)
         assert "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_a_refresh_scans_the_table_twice(spark, telemetry):
+    """Header, grades and zones share one pass; the leaderboard is the other."""
+    from swishline.plans.dashboard import refresh_stored
+    from swishline.sources.scratch import scratch_dir
+    from swishline.sources.telemetry import append_telemetry
+
+    path = scratch_dir(spark, "telemetry")
+    append_telemetry(telemetry, path, 0)
+    as_of = telemetry.agg(F.max("created_at")).first()[0]
+    reports = refresh_stored(spark, path, as_of)
+    whole = 0
+    for name in ("header", "grades", "zones", "players"):
+        plan = reports[name]._jdf.queryExecution().optimizedPlan().toString()
+        whole += name == "players" or "InMemoryRelation" not in plan
+    assert whole == 1
+    snap = A.dashboard_snapshot(telemetry, as_of).first()
+    assert reports["header"].first()["total_shots"] == snap["total_shots"] == telemetry.count()
+
+
+def test_unknown_distances_come_last(spark, telemetry):
+    far = telemetry.limit(1).withColumn("shot_distance", F.lit(None).cast("int"))
+    zones = [r["zone"] for r in A.zone_stats(telemetry.where("shot_distance <= 3").unionByName(far)).collect()]
+    assert zones[0].startswith("Rim") and len(zones) == 2

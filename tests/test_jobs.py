@@ -37,9 +37,17 @@ def test_pipeline(spark, tmp_path, capsys):
     points = stored.agg({"expected_points": "avg"}).first()[0]
     assert head["avg_xp"] == pytest.approx(points)
 
+    live.main([*stream, "--out", f"{base}/live", "--show"])
+    shown = capsys.readouterr().out
+    assert "headline" in shown and "zones" in shown and str(stored.count()) in shown
+
     dashboard.main(["--telemetry", f"{base}/telemetry", "--out", f"{base}/reports"])
     assert spark.read.json(f"{base}/reports/header").first()["total_shots"] == stored.count()
     assert spark.read.json(f"{base}/reports/recent").count() == 20
+    capsys.readouterr()
+    dashboard.main(["--telemetry", f"{base}/telemetry", "--as-of", "2024-01-20T00:00:00"])
+    printed = capsys.readouterr().out
+    assert "only showing" not in printed and printed.count("\n") > 200
 
 
 def test_scratch_needs_the_shared_folder_on_a_cluster(spark, monkeypatch):

@@ -26,29 +26,32 @@ def shots(spark):
 @pytest.fixture(scope="module")
 def ratings(spark):
     some = spark.range(2000).select(
-        F.concat(F.lit("p"), "id").alias("player"), (F.col("id") / 4000).alias("rating")
+        F.concat(F.lit("p"), "id").alias("player"),
+        (F.col("id") / 4000).alias("rating"),
+        F.lit(9).cast("bigint").alias("total"),
     )
-    star = spark.createDataFrame([("star", 0.6)], "player string, rating double")
+    star = spark.createDataFrame([("star", 0.6, 9000)], "player string, rating double, total bigint")
     return some.unionByName(star).persist()
 
 
 def small_and_large(ratings):
     small = RatingTable.measured(ratings)
-    large = RatingTable(ratings, lookup.MAX_BROADCAST_ROWS + 1, 0)
+    large = RatingTable(ratings, lookup.MAX_BROADCAST_ROWS + 1, 0, small.shots)
     assert small.fits_broadcast and not large.fits_broadcast
     return small, large
 
 
 def test_plans_agree(shots, ratings, rows):
     small, large = small_and_large(ratings)
-    known = dict(ratings.collect())
+    known = {r["player"]: r["rating"] for r in ratings.collect()}
     want = sorted(((s, p, known.get(p)) for s, p in shots.collect()), key=str)
     assert rows(attach_rating(shots, small)) == want
     assert rows(attach_rating(shots, large)) == want
 
 
 def test_size_limits_by_bytes(spark):
-    long_names = spark.range(3).select(F.lit("x" * 1000).alias("player"), F.lit(0.5).alias("rating"))
+    long_names = spark.range(3).select(F.lit("x" * 1000).alias("player"), F.lit(0.5).alias("rating"),
+                                     F.lit(1).alias("total"))
     table = RatingTable.measured(long_names)
     assert table.rows == 3 and table.bytes >= 3000
     assert not RatingTable(long_names, 3, lookup.MAX_BROADCAST_BYTES + 1).fits_broadcast
@@ -63,8 +66,12 @@ def test_storing_measures(ratings, rows):
 
 def test_large_plan_gathers_no_hot_player_and_no_unnamed_rows(shots, ratings):
     """No join key owns a noticeable share of the rows that are shuffled."""
-    keyed = split_keys(shots, ratings)
-    assert keyed.where("player IN ('star', 'rookie')").where("cold IS NOT NULL").count() == 0
+    _, large = small_and_large(ratings)
+    served = shots.withColumn(
+        "player", F.when(F.col("player") == "rookie", None).otherwise(F.col("player"))
+    ).withColumn("player", F.coalesce("player", F.lit("Unknown")))
+    keyed = split_keys(served, large)
+    assert keyed.where("player IN ('star', 'Unknown')").where("cold IS NOT NULL").count() == 0
     assert keyed.where("player = 'star' AND hot_rating IS NULL").count() == 0
     largest = keyed.groupBy("cold", "spread").count().agg(F.max("count")).first()[0]
     assert largest <= shots.count() / 1000
@@ -76,3 +83,15 @@ def test_train_rule(spark, ratings, rows):
                                   "shot int, player string")
     got = rows(skill_lookup_train(frame, small, F.lit(0.4)))
     assert got == [(1, "star", 0.6), (2, "nobody", 0.4), (3, None, None), (4, "", 0.4)]
+
+
+def test_large_plan_works_on_a_stream(spark, shots, ratings, rows, tmp_path):
+    """The plan counts nothing, so a stream can use it, and the result is the batch's."""
+    small, large = small_and_large(ratings)
+    shots.repartition(3).write.parquet(f"{tmp_path}/shots")
+    stream = spark.readStream.schema(shots.schema).parquet(f"{tmp_path}/shots")
+    rated = lookup.skill_lookup_serve(stream, large).writeStream.format("parquet")
+    rated = rated.option("checkpointLocation", f"{tmp_path}/offsets").trigger(availableNow=True)
+    rated.start(f"{tmp_path}/out").awaitTermination()
+    want = lookup.skill_lookup_serve(shots, small)
+    assert rows(spark.read.parquet(f"{tmp_path}/out").select(*want.columns)) == rows(want)

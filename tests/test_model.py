@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.sql import functions as F
 
 from conftest import SMALL
@@ -18,12 +19,13 @@ from swishline.sources.scratch import scratch_dir, written
 
 @pytest.fixture(scope="module")
 def signal_plays(spark):
-    plays = bindings.shot_plays(spark, SMALL)
+    plays = bindings.plays(spark, SMALL)
     feet = F.coalesce(F.regexp_extract(
         F.concat_ws("", "homedescription", "visitordescription"), "([0-9]+)'", 1
     ).try_cast("int"), F.lit(15))
     noise = F.pmod(F.xxhash64("play_id"), F.lit(100))
     made = noise < 90 - feet * 2
+    plays = plays.where("eventmsgtype IN (1, 2)")
     return written(plays.withColumn("eventmsgtype", F.when(made, 1).otherwise(2)), "signal")
 
 
@@ -53,6 +55,24 @@ def test_boosted_beats_chance(split):
     assert top[0]["feature"] in ("shot_distance", "is_three")
 
 
+def test_a_shortened_model_is_the_fit_of_fewer_rounds(spark, split):
+    train, valid = split
+    rounds = M.Boosting(rounds=5, depth=3, patience=100)
+    rows = M._weighted(train, M._prepared(train, False), M.positive_weight(train))
+    learner = GBTClassifier(maxIter=5, maxDepth=3, stepSize=rounds.rate, subsamplingRate=0.8,
+                            featureSubsetStrategy="0.8", weightCol="weight", seed=rounds.seed)
+    short = M.shortened(learner.fit(rows), 3)
+    again = learner.copy({learner.maxIter: 3}).fit(rows)
+    assert short.getNumTrees == 3
+    assert short.featureImportances == again.featureImportances
+    path = scratch_dir(spark, "short")
+    short.save(path)
+    loaded = GBTClassificationModel.load(path)
+    for model in (short, loaded):
+        got = [r[0] for r in model.transform(rows).select("probability").collect()]
+        assert got == [r[0] for r in again.transform(rows).select("probability").collect()]
+
+
 def test_logistic_beats_chance_and_answers_scenarios(spark, split):
     model = M.train_logistic(split[0])
     assert E.eval_auc(score_shots(split[1], model)).first()[0] > 0.6
@@ -68,7 +88,7 @@ def test_one_class_is_refused(split):
 
 def test_feature_rules(spark):
     """The two rule sets differ only where the raw play has a gap or no rating."""
-    plays = bindings.shot_plays(spark, SMALL)
+    plays = bindings.plays(spark, SMALL)
     ratings = rated_players(plays)
     served = feature_rows(plays, ratings, ("play_id",))
     legacy = feature_rows(plays, ratings, ("play_id",), legacy_training=True)

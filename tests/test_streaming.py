@@ -12,7 +12,7 @@ from swishline.operators import plays as P
 from swishline.operators.model import train_logistic
 from swishline.operators.scoring import event_time, score_events
 from swishline.plans.retrain import rated_players, split_features
-from swishline.sources import artifacts, telemetry as store
+from swishline.sources import artifacts, files, telemetry as store
 from swishline.sources.events import LATEST, Transport, publish_events, subscribe_events
 from swishline.sources.scratch import scratch_dir
 from swishline.streaming import live
@@ -105,6 +105,29 @@ def test_a_crash_while_storing_loses_and_repeats_nothing(spark, transport, event
     assert store.read_telemetry(spark, path).count() == events.count()
 
 
+def test_a_batch_that_runs_again_keeps_its_time_of_storage(spark, transport, events):
+    publish_events(events.repartition(2), transport)
+    path, times = scratch_dir(spark, "telemetry"), []
+
+    def crash_once(batch, target, batch_id, stream_id):
+        times.append(batch.agg(F.max("created_at")).first()[0])
+        store.append_telemetry(batch, target, batch_id, stream_id)
+        if len(times) == 1:
+            raise RuntimeError("lost the driver")
+
+    def go():
+        stream_enrich(
+            subscribe_events(spark, transport), Scorer(spark, []), path, f"{path}-rejects",
+            f"{path}-offsets", trigger=ONCE, sink=crash_once,
+        ).awaitTermination()
+
+    with pytest.raises(Exception, match="lost the driver"):
+        go()
+    go()
+    assert len(times) == 2 and times[0] == times[1]
+    assert store.read_telemetry(spark, path).count() == events.count()
+
+
 def test_streams_share_a_table_without_overwriting(spark, transport, events):
     """Two streams both begin with batch 0."""
     publish_events(events, transport)
@@ -149,15 +172,15 @@ def test_reload_waits_for_the_interval_and_keeps_the_old_on_failure(spark, model
     assert scorer.model is None
     now[0] = 60.5
     scorer.refresh()
-    assert scorer.model_version == version.version and scorer.ratings is None
+    assert scorer.model_version == version and scorer.ratings is None
 
     artifacts.publish_ratings(ratings.frame, root)
-    row = spark.createDataFrame([("model", version.version + 1, f"{root}/gone")], artifacts.MANIFEST)
+    row = spark.createDataFrame([("model", version.version + 1, "gone")], artifacts.MANIFEST)
     row.write.mode("append").parquet(f"{root}/manifest")
     now[0] = 121.0
     kept = scorer.model
     scorer.refresh()
-    assert scorer.model is kept and scorer.model_version == version.version
+    assert scorer.model is kept and scorer.model_version == version
     assert scorer.ratings.rows == ratings.rows
 
 
@@ -230,3 +253,32 @@ def test_running_totals_equal_the_reports(spark, transport, events, rows):
 def test_unknown_transport_is_refused():
     with pytest.raises(ValueError):
         Transport("carrier pigeon", "roof")
+
+
+def test_equal_events_keep_keys_of_their_own(spark, transport, events):
+    two = events.limit(1).unionAll(events.limit(1))
+    publish_events(two.withColumn(P.EVENT_KEY, F.uuid()), transport)
+    path = scratch_dir(spark, "telemetry")
+    run(spark, transport, Scorer(spark, []), path)
+    assert store.read_telemetry(spark, path).select("shot_id").distinct().count() == 2
+
+
+def test_live_results_stay_bounded(spark, transport, events, rows):
+    """Many micro-batches leave few folders, and the reports of the batch."""
+    publish_events(events.repartition(12), transport)
+    base = scratch_dir(spark, "live")
+    source = timed(spark, transport, max_per_trigger=1)
+    minutes = live.stream_shots_per_minute(
+        source, f"{base}/minutes", f"{base}/a", ONCE, "3650 days"
+    )
+    minutes.awaitTermination()
+    assert live.late_rows(minutes) == 0
+    scored = score_events(source, None, None, event_time())
+    live.stream_running_totals(scored, f"{base}/totals", f"{base}/b", ONCE).awaitTermination()
+    assert len(files.values(spark, f"{base}/totals", "batch_id")) <= live.KEPT_STATES
+    days = events.select(F.to_date(event_time())).distinct().count()
+    assert len(files.values(spark, f"{base}/minutes", "day")) == days
+    total = live.headline(live.running_totals_now(spark, f"{base}/totals")).first()["total_shots"]
+    counted = live.shots_per_minute_now(spark, f"{base}/minutes")
+    assert total == events.count() == counted.agg(F.sum("shots")).first()[0]
+    assert counted.count() == counted.select("minute").distinct().count()
