@@ -20,7 +20,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
 # stands before the unit that begins a text; a text that holds it is encoded as one unit
 BEGIN = "\x00\x02begin\x03"

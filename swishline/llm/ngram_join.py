@@ -55,6 +55,7 @@ class Similarity:
 
 
 PARTS = 64
+SET_BYTES = 1 << 20  # of text whose sets are made at once: they take many times its size
 
 
 def sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +102,7 @@ def _signatures(docs: DataFrame, s: Similarity) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << s.sketch_bits, np.uint32)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SET_BYTES):
             numbers, ends = sets(part["text"], s.width)
             sketch += np.bincount(_slots(numbers, s.sketch_bits), minlength=len(sketch)).astype(
                 np.uint32
@@ -177,7 +178,7 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, s: Similarity) -> DataFrame:
         )
 
     schema = "doc_id bigint, n int, grams array<bigint>, parts array<int>"
-    return written(docs.mapInArrow(per_slice(step, "text"), schema), "prefixes")
+    return written(docs.mapInArrow(per_slice(step, "text", SET_BYTES), schema), "prefixes")
 
 
 def _met(shared: DataFrame) -> DataFrame:
@@ -253,7 +254,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, s: Similarity) -> DataFrame:
 
     rows = pairs.join(b, "b").join(a, "a").select("a", "b", "a_text", "b_text")
     schema = "a bigint, b bigint, linked boolean"
-    return written(rows.mapInArrow(per_slice(step, "a_text"), schema), "verified")
+    return written(rows.mapInArrow(per_slice(step, "a_text", SET_BYTES), schema), "verified")
 
 
 def classes(docs: DataFrame, s: Similarity) -> tuple[DataFrame, DataFrame]:

@@ -23,6 +23,7 @@ MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 # fixed values of the contract
 SYMBOLS = "#*$%&|<>"
 WINDOW = 3
+MEASURED_BYTES = 1 << 20
 
 _IS_SYMBOL = np.zeros(256, bool)
 _IS_SYMBOL[list(SYMBOLS.encode())] = True
@@ -59,7 +60,7 @@ def measured(docs: DataFrame, *carry: str) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, [*carry, *MEASURES])
 
     schema = schema_of(docs, carry, ", ".join(f"{m} long" for m in MEASURES))
-    return docs.select(*carry, "text").mapInArrow(per_slice(step, "text"), schema)
+    return docs.select(*carry, "text").mapInArrow(per_slice(step, "text", MEASURED_BYTES), schema)
 
 
 def with_base(measures: DataFrame, rules: Rules) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
@@ -16,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SLICE_BYTES = 4 << 20
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+MOST_ARROW_ROWS = 1000
 BROADCAST_ROWS = 2_000_000
 
 
@@ -32,6 +36,9 @@ def _ship(_application: str, spark: SparkSession) -> None:
         for file in sorted(package.rglob("*.py")):
             archive.write(file, file.relative_to(package.parent))
     spark.sparkContext.addPyFile(str(path))
+    # a batch of texts to a worker is cut by rows only: fewer of them bound its bytes
+    if int(spark.conf.get(ARROW_ROWS)) > MOST_ARROW_ROWS:
+        spark.conf.set(ARROW_ROWS, MOST_ARROW_ROWS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,26 +79,53 @@ def text_parts(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
 def slices(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches into runs of rows with about ``limit`` bytes of text; a longer text is alone."""
+    """Join and cut batches into runs of rows with at most ``limit`` bytes of text.
+
+    A longer text is alone.
+    """
+    held: list[pa.RecordBatch] = []
+    room = limit
     for batch in batches:
-        if not batch.num_rows:
-            continue
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(False))
         first = 0
         while first < batch.num_rows:
             done = int(ends[first - 1]) if first else 0
-            last = max(first + 1, int(np.searchsorted(ends, done + limit, "right")))
-            yield batch.slice(first, last - first)
-            first = last
+            last = int(np.searchsorted(ends, done + room, "right"))
+            if last > first:
+                held.append(batch.slice(first, last - first))
+                room -= int(ends[last - 1]) - done
+                first = last
+            if first < batch.num_rows:  # the next text has no room here
+                if held:
+                    yield _joined(held)
+                else:
+                    yield batch.slice(first, 1)
+                    first += 1
+                held, room = [], limit
+    if held:
+        yield _joined(held)
+    give_back()
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker process outlives its task, and would
+    keep what the largest slice has taken beside the executor's own memory."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than GNU's
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def per_slice(
-    step: Callable[[pa.RecordBatch], pa.RecordBatch], column: str
+    step: Callable[[pa.RecordBatch], pa.RecordBatch], column: str, limit: int = SLICE_BYTES
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A function for mapInArrow that applies ``step`` to slices of bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, column):
+        for part in slices(batches, column, limit):
             yield step(part)
 
     return run
