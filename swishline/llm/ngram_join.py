@@ -269,8 +269,10 @@ def classes(docs: DataFrame, s: Similarity) -> tuple[DataFrame, DataFrame]:
     return written(member.unionAll(alone), "members"), signatures
 
 
-def links(docs: DataFrame, members: DataFrame, signatures: DataFrame, s: Similarity) -> DataFrame:
-    """Verified links (a, b) between classes, enough to connect all that any link connects."""
+def _indexed(
+    docs: DataFrame, members: DataFrame, signatures: DataFrame, s: Similarity
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One document per class, the prefixes, and the prefix n-grams that several share."""
     copies = members.where("doc_id <> class_id").select("doc_id").distinct()
     kept = docs.where("doc_id IS NOT NULL").join(
         lookup_side(written(copies, "copies")), "doc_id", "left_anti"
@@ -279,7 +281,40 @@ def links(docs: DataFrame, members: DataFrame, signatures: DataFrame, s: Similar
     index = prefixes.select(F.posexplode("grams").alias("pos", "gram"), "doc_id", "n")
     counts = index.groupBy("gram").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
     shared = written(_met(index.join(counts.select("gram"), "gram")), "shared")
+    return kept, prefixes, shared
 
+
+def _across(labelled: DataFrame, prefixes: DataFrame, s: Similarity) -> DataFrame:
+    """Candidate pairs of different labels. All n-grams that such a pair has in common in
+    its prefixes have to be in ``labelled``: the positional filter counts them."""
+    x, y = labelled.alias("x"), labelled.alias("y")
+    joined = x.join(
+        y,
+        (F.col("x.gram") == F.col("y.gram"))
+        & (F.col("x.label") < F.col("y.label"))
+        & _may_reach(s),
+    )
+    after = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos")) - 1
+    pairs = _pairs(joined).where(F.col("common") + after >= s.overlap(F.col("a_n"), F.col("b_n")))
+    return _parts_fit(pairs, prefixes, s)
+
+
+def similar_pairs(docs: DataFrame, s: Similarity = Similarity()) -> DataFrame:
+    """Every link between classes: a < b, the smallest doc_ids of two different sets.
+
+    With the membership of ``near_duplicates`` (class_id) these are all similar pairs of
+    documents. A group of near copies has as many links as pairs here; for components
+    alone, ``near_duplicates`` does not need them all.
+    """
+    docs = docs.select(F.col("doc_id").cast("bigint"), "text")
+    kept, prefixes, shared = _indexed(docs, *classes(docs, s), s)
+    pairs = _across(shared.withColumn("label", F.col("doc_id")), prefixes, s)
+    return _verified(written(pairs, "pairs"), kept, s).where("linked").select("a", "b")
+
+
+def links(docs: DataFrame, members: DataFrame, signatures: DataFrame, s: Similarity) -> DataFrame:
+    """Verified links (a, b) between classes, enough to connect all that any link connects."""
+    kept, prefixes, shared = _indexed(docs, members, signatures, s)
     first = F.min(F.struct("pos", F.xxhash64("doc_id"), "doc_id", "n", "met")).alias("first")
     centers = shared.groupBy("gram").agg(first).select("gram", "first.*")
     x, y = shared.alias("x"), centers.alias("y")
@@ -295,18 +330,7 @@ def links(docs: DataFrame, members: DataFrame, signatures: DataFrame, s: Similar
     several = placed.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     open_ = placed.join(several.where("low <> high").select("gram"), "gram")
     open_ = written(_met(open_.drop("met")), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    across = x.join(
-        y,
-        (F.col("x.gram") == F.col("y.gram"))
-        & (F.col("x.label") < F.col("y.label"))
-        & _may_reach(s),
-    )
-    after = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos")) - 1
-    pairs = _pairs(across).where(
-        F.col("common") + after >= s.overlap(F.col("a_n"), F.col("b_n"))
-    )
-    rest = _parts_fit(pairs, prefixes, s).join(tried, ["a", "b"], "left_anti")
+    rest = _across(open_, prefixes, s).join(tried, ["a", "b"], "left_anti")
     more = _verified(written(rest, "rest"), kept, s)
     return found.unionAll(more).where("linked").select("a", "b")
 

@@ -69,13 +69,18 @@ def test_quality_handles_odd_rows(odd_documents):
     assert kept.count() == odd_documents.count()
 
 
-def linked(docs):
-    """Set sizes and components by brute force."""
+def grams(docs):
     sets = {}
     for doc_id, text in docs:
         w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-        grams = {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
-        sets[doc_id] = grams or ({tuple(w)} if w else set())
+        found = {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+        sets[doc_id] = found or ({tuple(w)} if w else set())
+    return sets
+
+
+def linked(docs):
+    """Set sizes and components by brute force."""
+    sets = grams(docs)
     parent = {k: k for k in sets}
 
     def root(x):
@@ -116,6 +121,22 @@ def test_near_duplicates_equal_brute_force(spark):
     found = ngram_join.near_duplicates(docs).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == linked(rows)
 
+    sets = grams(rows)
+    first = {}
+    for k in sorted(sets):
+        first.setdefault(frozenset(sets[k]), k)
+    assert {r["doc_id"]: r["class_id"] for r in found} == {
+        k: first[frozenset(v)] if v else k for k, v in sets.items()
+    }
+    pairs = {(r["a"], r["b"]) for r in ngram_join.similar_pairs(docs).collect()}
+    keys = sorted(k for v, k in first.items() if v)
+    assert pairs == {
+        (a, b)
+        for i, a in enumerate(keys)
+        for b in keys[i + 1 :]
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    }
+
 
 def test_near_duplicates_handle_odd_rows(odd_documents):
     found = ngram_join.near_duplicates(odd_documents).collect()
