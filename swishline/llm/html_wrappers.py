@@ -200,6 +200,9 @@ def rule(w: dict) -> dict:
             break
         if not best["k"] and best["t"] in ("p", *HEADINGS):
             break
+        # nor past a heading of its own beside that child
+        if any(k["t"] in HEADINGS and _own_text(k) for k in kids):
+            break
         path.append(best["l"])
         at = best
     template: list = []

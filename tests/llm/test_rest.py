@@ -62,6 +62,24 @@ def test_pages_without_an_article_and_odd_pages(spark):
     assert main_texts(pages.limit(0)).collect() == []
 
 
+def test_layouts_without_landmarks():
+    body = "<h1>{0} title</h1>" + "<p>{0} words of the text itself</p>" * 3
+    layouts = [
+        "<div id=header>Site</div><div id=content>%s<div class=share-buttons>share</div></div>"
+        "<div class=comments><p>a comment of some length</p></div><div id=footer>end</div>" % body,
+        "<table><tr><td class=l>links<td class=c>%s<td class=r>more</table>" % body,
+        "<section class=post><h1>{0} title</h1><div class=t>%s</div></section>"
+        "<section class=related><p>other things to read</p></section>" % body[18:],
+        "<main><header><h1>{0} title</h1></header>%s<form><p>mail</form></main>" % body[18:],
+    ]
+    for layout in layouts:
+        pages = ["<body>" + layout.format(k) for k in ("first", "second", "third", "fourth")]
+        how = rule(merged([of_page(parse(p)) for p in pages]))
+        for k, page in zip(("first", "second", "third", "fourth"), pages, strict=True):
+            expected = "\n".join([f"{k} title", *[f"{k} words of the text itself"] * 3])
+            assert extract(page, how) == expected
+
+
 def test_wrappers_find_repeats_options_and_slots():
     first = of_page(parse("<body><p>same</p><ul><li>a<li>b<li>c</ul><h2>x</h2>"))
     second = of_page(parse("<body><p>same</p><h2>y</h2><div>new</div>"))
