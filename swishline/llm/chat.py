@@ -56,7 +56,9 @@ def examples(turns: DataFrame) -> DataFrame:
             escaped(text).alias("body"),
         ).alias("turn"),
     )
-    grouped = by_conversation.groupBy("conv_id").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
+    grouped = by_conversation.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list("turn")).alias("turns")
+    )
     size = F.size("turns")
     targets = F.filter(
         F.transform("turns", lambda t, i: F.when(t["role"] == TRAINED, i + 1)),
@@ -64,10 +66,13 @@ def examples(turns: DataFrame) -> DataFrame:
     )
     grouped = grouped.withColumn("targets", targets)
     ends_trained = F.col("turns")[size - 1]["role"] == TRAINED
+    with_rest = F.concat("targets", F.array(size + 1))
     grouped = grouped.withColumn(
-        "targets", F.when(ends_trained, F.col("targets")).otherwise(F.concat("targets", F.array(size + 1)))
+        "targets", F.when(ends_trained, F.col("targets")).otherwise(with_rest)
+    )
+    each = grouped.select(
+        "conv_id", "turns", size.alias("size"), F.posexplode("targets").alias("pos", "at")
     )
-    each = grouped.select("conv_id", "turns", size.alias("size"), F.posexplode("targets").alias("pos", "at"))
     before = F.array_join(
         F.transform(
             F.slice("turns", F.lit(1), F.col("at") - 1),
@@ -108,9 +113,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
         body = F.substr(inner, F.char_length(role) + 2)
         return F.concat(unescaped_role(role), role_end, unescaped(body), role_end)
 
-    masked = F.substr(
-        F.col("formatted"), (F.col("loss_start") + 1).cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int")
-    )
+    length = (F.col("loss_end") - F.col("loss_start")).cast("int")
+    masked = F.substr(F.col("formatted"), (F.col("loss_start") + 1).cast("int"), length)
     said = formatted.select(
         "conv_id",
         "example",

@@ -22,6 +22,7 @@ BLOCKS = set(
     "figure figcaption address hr details summary dialog menu select option button center".split()
 )
 _EMPTY = {"hr"}
+_VOID = set("img input meta link source wbr area base col embed param track".split())
 DEEPEST = 200  # blocks nested deeper still part texts, but hold none themselves
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # an open tag on the left ends before one of the tags on the right begins
@@ -35,10 +36,10 @@ _ENDS_BEFORE = {
     "option": {"option"},
     "head": BLOCKS - {"head", "title", "html"},
 }
-_SCOPES = {"ul", "ol", "dl", "table", "div", "article", "section", "main", "body", "html", "select"}
+_SCOPES = set("ul ol dl table div article section main body html select".split())
 
 #: tags and words in class, id or role that mark what is not a page's own text
-SKIP_TAGS = {"head", "title", "nav", "footer", "aside", "form", "menu", "dialog", "select", "button"}
+SKIP_TAGS = set("head title nav footer aside form menu dialog select button".split())
 SKIP_WORDS = set(
     "ad ads advert adverts advertisement advertising banner promo promotion sponsor sponsored "
     "cookie cookies consent gdpr notice notices alert popup modal overlay sidebar side aside menu "
@@ -67,7 +68,8 @@ def _node(tag: str, attributes: str) -> Node:
     own = f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}".lower()
     words = set(re.split(r"[^a-z]+", own))
     hidden = "display:none" in found.get("style", "").replace(" ", "").lower()
-    hidden |= found.get("aria-hidden") == "true" or bool(re.search(r"(?:^|\s)hidden(?:\s|$)", attributes))
+    hidden |= found.get("aria-hidden") == "true"
+    hidden |= re.search(r"(?:^|\s)hidden(?:\s|$)", attributes) is not None
     names = " ".join(sorted(set(re.sub(r"\d+", "0", own).split())))
     return Node(
         f"{tag}.{names}" if names else tag,
@@ -102,10 +104,12 @@ def parse(page: str) -> Node:
             text(" ")
             continue
         node = None if ends else _node(tag, attributes)
-        if tag not in BLOCKS and (ends or not node.skip or attributes.endswith("/")):
-            if not ends or all(n.tag != tag for n in open_):
-                if node is not None and not node.skip and any(n.tag == tag for n in open_ if n.tag not in BLOCKS):
-                    open_.append(node)  # inside an inline element that is skipped
+        if tag in _VOID:
+            continue
+        if tag not in BLOCKS:
+            # of inline elements only those that are skipped count, and what is inside them
+            inside = any(n.tag == tag for n in open_)
+            if not inside and (ends or not node.skip or attributes.endswith("/")):
                 continue
         if ends:
             for i in range(len(open_) - 1, 0, -1):

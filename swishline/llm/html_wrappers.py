@@ -17,7 +17,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swishline.llm.html_tree import HEADINGS, Node, parse, plain
@@ -73,7 +73,8 @@ def _folded(items: list[dict]) -> list[dict]:
                 first = items[i : i + size]
                 for k in range(1, runs):
                     again = items[i + k * size : i + (k + 1) * size]
-                    first = [_merged(a, b, same_page=True) for a, b in zip(first, again, strict=True)]
+                    pairs = zip(first, again, strict=True)
+                    first = [_merged(a, b, same_page=True) for a, b in pairs]
                 out.append({**first[0], "r": True} if size == 1 else _group(first))
                 i += runs * size
             else:
@@ -260,8 +261,11 @@ def extract(page: str | None, how: dict | None) -> str:
 # --- over all pages ------------------------------------------------------------------
 
 
-def host_of(url):
-    return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
+_HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
+
+
+def host_of(url: Column) -> Column:
+    return F.lower(F.coalesce(F.regexp_extract(url, _HOST, 1), F.lit("")))
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
@@ -316,7 +320,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
         for own in parts:
             how = {h: json.loads(h) for h in own["how"].dropna().unique()}
             texts = [extract(p, how.get(h)) for p, h in zip(own["html"], own["how"], strict=True)]
-            yield own[["page_id", "url", "host"]].assign(text=texts, n_chars=[len(t) for t in texts])
+            sizes = [len(t) for t in texts]
+            yield own[["page_id", "url", "host"]].assign(text=texts, n_chars=sizes)
 
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema}
     schema = f"page_id {kinds['page_id']}, url string, host string, text string, n_chars bigint"

@@ -145,8 +145,9 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), source: str = "source") -> DataFram
     blocks = {s: -(-n // mix.block) for s, n in totals.items()}
     runs, slots = phases(blocks, mix)
 
-    earlier = Window.partitionBy("source_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select(*KEYS, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    earlier = Window.partitionBy("source_key").orderBy("bucket")
+    so_far = F.sum("n").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+    before = counts.select(*KEYS, F.coalesce(so_far, F.lit(0)).alias("before"))
     in_bucket = Window.partitionBy(*KEYS).orderBy("mix_order")
     ranked = keyed.withColumn("mix_rank", F.row_number().over(in_bucket) - 1)
     ranked = ranked.join(lookup_side(written(before, "mix_before")), KEYS)
@@ -175,7 +176,9 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), source: str = "source") -> DataFram
         ["phase", "run_source", "nth"],
     )
     slot = F.col("base") + F.floor(F.col("since") / F.col("k")) * F.col("period") + F.col("slot")
-    return placed.withColumn("mix_slot", slot).select("row", "source_key", "mix_block", "mix_slot", "mix_place")
+    return placed.withColumn("mix_slot", slot).select(
+        "row", "source_key", "mix_block", "mix_slot", "mix_place"
+    )
 
 
 def in_mix_order(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:

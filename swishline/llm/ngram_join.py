@@ -207,7 +207,8 @@ def _pairs(joined: DataFrame) -> DataFrame:
         F.when(in_order, first).otherwise(second).alias("a"),
         F.when(in_order, second).otherwise(first).alias("b"),
     )
-    return both.groupBy(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).agg(
+    keys = F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")
+    return both.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("common"),
         F.max("a.pos").alias("a_pos"),
         F.max("b.pos").alias("b_pos"),
@@ -219,9 +220,8 @@ def _pairs(joined: DataFrame) -> DataFrame:
 def _parts_fit(pairs: DataFrame, prefixes: DataFrame, s: Similarity) -> DataFrame:
     """Pairs whose counts by part of the hash space allow the overlap that they need."""
     parts = prefixes.select("doc_id", "parts").dropDuplicates(["doc_id"])
-    least = F.aggregate(
-        F.zip_with("a_parts", "b_parts", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x
-    )
+    smaller = F.zip_with("a_parts", "b_parts", lambda x, y: F.least(x, y))
+    least = F.aggregate(smaller, F.lit(0), lambda total, x: total + x)
     return (
         pairs.join(parts.select(F.col("doc_id").alias("a"), F.col("parts").alias("a_parts")), "a")
         .join(parts.select(F.col("doc_id").alias("b"), F.col("parts").alias("b_parts")), "b")

@@ -94,7 +94,9 @@ def cost(bins: Bins, capacity: int) -> tuple[int, int]:
     return sum(bins.values()), -sum(n * sum(b) ** 2 for b, n in bins.items())
 
 
-def cross(a: Bins, b: Bins, pieces: Counter, capacity: int, rng: random.Random, well: float) -> Bins:
+def cross(
+    a: Bins, b: Bins, pieces: Counter, capacity: int, rng: random.Random, well: float
+) -> Bins:
     """``a`` with some well-filled bins of ``b``: the method's crossover."""
     left = Counter(pieces)
     child: Bins = Counter()
@@ -142,8 +144,12 @@ def _evolved(rows: pd.DataFrame, pieces: Counter, capacity: int, s: Search) -> p
     rng = random.Random(f"{s.seed} {island} {epoch}")
     own = [_as_bins(t) for t in rows["bins"].dropna()]
     while len(own) < s.population:
-        fresh = _first_individual(pieces, capacity, rng)
-        own.append(fresh if own or island else best_fit(sorted(pieces.items(), reverse=True), capacity))
+        falling = not own and not island  # one individual of all is plain best fit
+        own.append(
+            best_fit(sorted(pieces.items(), reverse=True), capacity)
+            if falling
+            else _first_individual(pieces, capacity, rng)
+        )
     least = -(-sum(x * n for x, n in pieces.items()) // capacity)
     for _ in range(s.generations):
         own.sort(key=lambda bins: cost(bins, capacity))
@@ -274,8 +280,9 @@ def pack(
     bins = pack_lengths(docs.sparkSession, total, capacity, search)
     found = docs.sparkSession.sparkContext.broadcast(places(bins, capacity))
 
-    earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    earlier = Window.partitionBy("length").orderBy("task")
+    so_far = F.sum("n").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+    before = counts.select("task", "length", F.coalesce(so_far, F.lit(0)).alias("before"))
     ranked = pieces.join(lookup_side(written(before, "before")), ["task", "length"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,8 +298,9 @@ def pack(
                 ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
             )
 
+    rank = (F.col("rank") + F.col("before")).alias("rank")
     return ranked.select(
-        "doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank")
+        "doc_id", "piece", "start", "length", "ids_crc32", rank
     ).mapInArrow(
         run,
         "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "

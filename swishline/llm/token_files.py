@@ -152,9 +152,11 @@ def read_token_files(spark, path: str) -> DataFrame:
     blocks = spark.read.schema(BLOCKS).parquet(path)
     files = blocks.groupBy("file").agg(F.sum("n_tokens").alias("tokens"))
     earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = files.select("file", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("base"))
+    base = F.coalesce(F.sum("tokens").over(earlier), F.lit(0))
+    offsets = files.select("file", base.alias("base"))  # a row per file
     in_file = Window.partitionBy("file").orderBy("block")
-    before = F.coalesce(F.sum("n_tokens").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    so_far = F.sum("n_tokens").over(in_file.rowsBetween(Window.unboundedPreceding, -1))
+    before = F.coalesce(so_far, F.lit(0))
     starts = (
         blocks.select("file", "block", before.alias("before"))
         .join(offsets, "file")

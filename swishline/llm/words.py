@@ -84,7 +84,7 @@ class Words:
             self.hashes = np.empty(0, np.uint64)
 
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of all windows of ``width`` words that lie in one document, and their first word."""
+        """Numbers of the windows of ``width`` words in one document, and their first words."""
         count = len(self.hashes) - width + 1
         if count <= 0:
             return np.empty(0, np.uint64), np.empty(0, np.int64)

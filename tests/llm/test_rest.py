@@ -62,6 +62,14 @@ def test_pages_without_an_article_and_odd_pages(spark):
     assert main_texts(pages.limit(0)).collect() == []
 
 
+def test_inline_elements_that_are_skipped():
+    page = (
+        "<article><h1>T</h1><img class=ad src=x><p>a <span class='ad'>buy <span>now</span> or</span>"
+        " b <a class=x>link</a><input class=search> c</p><p>d</p></article>"
+    )
+    assert extract(page, None) == "T\na b link c\nd"
+
+
 def test_layouts_without_landmarks():
     body = "<h1>{0} title</h1>" + "<p>{0} words of the text itself</p>" * 3
     layouts = [
