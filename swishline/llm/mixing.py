@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from swishline.llm.tables import lookup_side
 from swishline.sources.scratch import written
 
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 KEYS = ["source_key", "bucket"]
 
 
