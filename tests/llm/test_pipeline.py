@@ -7,7 +7,7 @@ import pytest
 import corpus_pipeline
 from swishline.llm import language
 from swishline.sources.scratch import written
-from test_text import linked, measures
+from llm.test_text import linked, measures
 
 
 @pytest.fixture(scope="module")
