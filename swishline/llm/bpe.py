@@ -20,8 +20,9 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 LONGEST_REMEMBERED = 64
+SLICE_BYTES = 8 << 20  # of text encoded at once: the more, the more units repeat in it
 # stands before the unit that begins a text; a text that holds it is encoded as one unit
 BEGIN = "\x00\x02begin\x03"
 # may follow a word inside a unit; no apostrophe, with which contractions begin

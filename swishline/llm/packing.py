@@ -216,7 +216,7 @@ def pieces_of(docs: DataFrame, capacity: int, vocabulary: str, end_id: int) -> D
         encoder = bpe.encoder(bpe.vocabulary(vocabulary))
         task, met = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         end = np.array([end_id], "<u4").tobytes()
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", bpe.SLICE_BYTES):
             ids, ends = encoder.encode(part["text"])
             raw = memoryview(ids.astype("<u4").tobytes())
             rows = []

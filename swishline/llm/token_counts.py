@@ -30,7 +30,7 @@ def token_counts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = bpe.counter(bpe.vocabulary(vocabulary))
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", bpe.SLICE_BYTES):
             counts = counter.count(part["text"])
             n_bytes = pc.cast(pc.fill_null(pc.binary_length(part["text"]), 0), pa.int64())
             yield pa.RecordBatch.from_arrays(

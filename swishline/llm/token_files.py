@@ -103,7 +103,7 @@ def write_token_files(
             columns = [pa.array([v], t) for v, t in zip(row, types, strict=True)]
             return pa.RecordBatch.from_arrays(columns, names)
 
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", bpe.SLICE_BYTES):
             ids, ends = encoder.encode(part["text"])
             ids = np.insert(ids, ends[1:], end_id)
             keys += part["doc_id"].to_pylist()
