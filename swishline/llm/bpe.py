@@ -177,7 +177,9 @@ class Encoder:
 def _gather(index, ends, pool, starts, sizes) -> tuple[np.ndarray, np.ndarray]:
     length = sizes[index]
     before = np.concatenate([[0], np.cumsum(length)])
-    places = np.repeat(starts[index] - before[:-1], length) + np.arange(before[-1])
+    # a slice has fewer ids than bytes: 32 bits are enough for their places
+    places = np.repeat((starts[index] - before[:-1]).astype(np.int32), length)
+    places += np.arange(before[-1], dtype=np.int32)
     return pool[places], before[ends]
 
 
