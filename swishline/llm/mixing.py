@@ -6,17 +6,21 @@ rounded outwards, and of the released blocks the one with the earliest deadline
 first. Weights that add up to 1 then meet all deadlines, and a source is never a whole
 block ahead of its share or behind it.
 
-Weights are rounded to whole numbers of blocks per ``period`` slots, so the schedule
-repeats itself: one period is computed and every block finds its slot by arithmetic.
-When a source runs out, the others go on with their weights scaled up to 1: a new phase.
-No document is left out or repeated.
+Weights are exact fractions, never rounded. The state of the schedule at a slot is how
+many blocks each source has had, so it can be taken up anywhere: the driver walks through
+the slots once and keeps the state every ``period`` slots, and tasks lay out the
+stretches. When a source runs out, the others go on with their weights scaled up to 1: a
+new phase. No document is left out or repeated.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+import json
+import math
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -33,82 +37,139 @@ KEYS = ["source_key", "bucket"]
 class Mix:
     """``weights``: target share by source, any scale; none: the square root of each source's
     documents. Sources without a weight follow when all others have run out, in
-    proportion to their documents. ``block``: documents in a block. ``period``: slots in
-    which the rounded weights are met; at least one per source."""
+    proportion to their documents. ``block``: documents in a block. ``period``: slots that
+    are laid out at once, at least one per source; it does not change the mix."""
 
     weights: Mapping[str, float] | None = None
     block: int = 16
     period: int = 1024
 
 
-def rounded(weights: dict[str, float], period: int) -> dict[str, int]:
-    """Blocks per period: at least 1 each, adding up to ``period`` or the number of sources."""
-    period = max(period, len(weights))
-    total = sum(weights.values())
-    exact = {s: w / total * period for s, w in weights.items()}
-    out = {s: max(1, int(x)) for s, x in exact.items()}
-    rest = period - sum(out.values())
-    by_need = sorted(weights, key=lambda s: (out[s] - exact[s], s))
-    for i in range(max(rest, 0)):
-        out[by_need[i % len(by_need)]] += 1
-    while rest < 0:
-        most = max(out, key=lambda s: (out[s], s))
-        out[most] -= 1
-        rest += 1
-    return out
-
-
-def one_period(shares: dict[str, int]) -> dict[str, list[int]]:
-    """The slots of each source's blocks in one period, earliest deadline first."""
-    period = sum(shares.values())
-    released: list[list] = [[] for _ in range(period)]
-    for source, k in shares.items():
-        for i in range(k):
-            due = -(-(i + 1) * period // k)
-            released[i * period // k].append((due, source, i))
-    waiting: list = []
-    slots: dict[str, list[int]] = {s: [0] * k for s, k in shares.items()}
-    for slot in range(period):
-        for block in released[slot]:
-            heapq.heappush(waiting, block)
-        _, source, i = heapq.heappop(waiting)
-        slots[source][i] = slot
-    return slots
+def exact(weights: Mapping[str, float]) -> dict[str, int]:
+    """Whole numbers in the very proportions of ``weights``."""
+    parts = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*(x.denominator for x in parts.values()))
+    whole = {s: int(x * scale) for s, x in parts.items()}
+    common = math.gcd(*whole.values())
+    return {s: x // common for s, x in whole.items()}
 
 
-def phases(blocks: dict[str, int], mix: Mix) -> tuple[list[tuple], list[tuple]]:
-    """The schedule as two small tables.
+def turns(shares: list[int], taken: list[int], slot: int) -> Iterator[int]:
+    """Whose block each slot from ``slot`` on takes, earliest deadline first, if source
+    number s has had ``taken[s]`` blocks of the slots before; ``taken`` is kept up to date."""
+    period = sum(shares)
+    later = [(i * period // k, s) for s, (k, i) in enumerate(zip(shares, taken, strict=True))]
+    heapq.heapify(later)
+    waiting: list = []
+    while True:
+        while later and later[0][0] <= slot:
+            s = heapq.heappop(later)[1]
+            heapq.heappush(waiting, (-(-(taken[s] + 1) * period // shares[s]), s))
+        s = heapq.heappop(waiting)[1]
+        taken[s] += 1
+        heapq.heappush(later, (taken[s] * period // shares[s], s))
+        slot += 1
+        yield s
 
-    First: phase, source, first block, end block, first slot, blocks per period, period.
-    Second: phase, source, number of the block in its period, slot in the period.
-    """
+
+@dataclass(frozen=True)
+class Stretch:
+    """Slots of one phase that follow each other: ``shares`` of its ``sources``, the blocks
+    ``taken`` of each before ``slot`` (of the phase), how many slots (``length``), and what
+    the phases before it had: blocks (``used``) and slots (``base``)."""
+
+    phase: int
+    sources: list[str]
+    shares: list[int]
+    used: list[int]
+    base: int
+    slot: int
+    taken: list[int]
+    length: int
+
+    def slots(self) -> Iterator[tuple[int, int, int]]:
+        """Number of the source, its block in the phase, slot in the phase."""
+        met = list(self.taken)
+        whose = turns(self.shares, met, self.slot)
+        for slot in range(self.slot, self.slot + self.length):
+            s = next(whose)
+            yield s, met[s] - 1, slot
+
+
+def stretches(blocks: dict[str, int], mix: Mix) -> Iterator[Stretch]:
+    """The schedule: every phase from its first slot to its first source's last block."""
     left = {s: n for s, n in blocks.items() if n}
     used = dict.fromkeys(left, 0)
-    runs, slots, base, phase = [], [], 0, 0
+    base, phase = 0, 0
     while left:
         if mix.weights is None:
             active = {s: blocks[s] ** 0.5 for s in left}
         else:
             weighted = {s: mix.weights.get(s, 0) for s in left}
             active = {s: w for s, w in weighted.items() if w > 0} or {s: blocks[s] for s in left}
-        shares = rounded(active, mix.period)
-        period, table = sum(shares.values()), one_period(shares)
-        ends = {
-            s: (left[s] - 1) // k * period + table[s][(left[s] - 1) % k] for s, k in shares.items()
-        }
-        last = min(ends.values())  # the slot of the first source's last block
-        whole, part = divmod(last, period)
-        for s, k in shares.items():
-            taken = whole * k + sum(t <= part for t in table[s])
-            runs.append((phase, s, used[s], used[s] + taken, base, k, period))
-            slots += [(phase, s, i, t) for i, t in enumerate(table[s])]
-            used[s] += taken
-            left[s] -= taken
+        shares = exact(active)
+        sources, most = list(shares), max(mix.period, len(shares))
+        rest, before = [left[s] for s in sources], [used[s] for s in sources]
+        taken = [0] * len(sources)
+        whose, start, marked = turns([*shares.values()], taken, 0), 0, list(taken)
+        slot, going = 0, True
+        while going:
+            s = next(whose)
+            slot += 1
+            going = taken[s] < rest[s]
+            if not going or slot - start == most:
+                yield Stretch(
+                    phase, sources, [*shares.values()], before, base, start, marked, slot - start
+                )
+                start, marked = slot, list(taken)
+        for s, n in zip(sources, taken, strict=True):
+            used[s] += n
+            left[s] -= n
             if not left[s]:
                 del left[s]
-        base += last + 1
+        base += slot
         phase += 1
-    return runs, slots
+
+
+def phases(blocks: dict[str, int], mix: Mix) -> tuple[list[tuple], list[tuple]]:
+    """The whole schedule as two tables, for schedules that are small.
+
+    First: phase, source, first block, end block, first slot, share, sum of the shares.
+    Second: phase, source, number of its block in the phase, slot in the phase.
+    """
+    runs: dict[tuple, tuple] = {}
+    slots = []
+    for x in stretches(blocks, mix):
+        met = list(x.taken)
+        for s, i, slot in x.slots():
+            met[s] += 1
+            slots.append((x.phase, x.sources[s], i, slot))
+        for s, source in enumerate(x.sources):
+            own = source, x.used[s], x.used[s] + met[s], x.base, x.shares[s], sum(x.shares)
+            runs[x.phase, source] = (x.phase, *own)
+    return list(runs.values()), slots
+
+
+def _slots_table(spark: SparkSession, blocks: dict[str, int], mix: Mix) -> DataFrame:
+    """mix_source, mix_block and mix_slot of every block; tasks lay out the stretches."""
+    rows = [
+        (json.dumps([x.sources, [*map(str, x.shares)], x.used, x.taken]), x.base, x.slot, x.length)
+        for x in stretches(blocks, mix)
+    ]
+
+    def lay_out(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for state, base, slot, length in part.itertuples(index=False):
+                sources, shares, used, taken = json.loads(state)
+                own = Stretch(0, sources, [*map(int, shares)], used, base, slot, taken, length)
+                found = [(sources[s], used[s] + i, base + t) for s, i, t in own.slots()]
+                yield pd.DataFrame(found, columns=["mix_source", "mix_block", "mix_slot"])
+
+    states = _frame(spark, rows, "state string, base bigint, slot bigint, length bigint")
+    return written(
+        states.mapInPandas(lay_out, "mix_source string, mix_block bigint, mix_slot bigint"),
+        "mix_slots",
+    )
 
 
 def _frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -143,7 +204,6 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), source: str = "source") -> DataFram
         for r in counts.groupBy("source_key").agg(F.sum("n").alias("n")).collect()
     }  # one row per source, which the weights list
     blocks = {s: -(-n // mix.block) for s, n in totals.items()}
-    runs, slots = phases(blocks, mix)
 
     earlier = Window.partitionBy("source_key").orderBy("bucket")
     so_far = F.sum("n").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
@@ -158,25 +218,9 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), source: str = "source") -> DataFram
             "mix_place": (rank % mix.block).cast("int"),
         }
     )
-    runs_table = _frame(
-        spark,
-        runs,
-        "phase int, run_source string, first bigint, end bigint, base bigint, k int, period int",
-    )
-    slots_table = _frame(spark, slots, "phase int, slot_source string, nth int, slot int")
-    # both have a few rows per source and phase and at most a period's per phase
-    placed = ranked.join(
-        lookup_side(runs_table),
-        (F.col("source_key") == F.col("run_source"))
-        & (F.col("mix_block") >= F.col("first"))
-        & (F.col("mix_block") < F.col("end")),
-    ).withColumn("since", F.col("mix_block") - F.col("first"))
-    placed = placed.withColumn("nth", (F.col("since") % F.col("k")).cast("int")).join(
-        lookup_side(slots_table.withColumnRenamed("slot_source", "run_source")),
-        ["phase", "run_source", "nth"],
-    )
-    slot = F.col("base") + F.floor(F.col("since") / F.col("k")) * F.col("period") + F.col("slot")
-    return placed.withColumn("mix_slot", slot).select(
+    slots = _slots_table(spark, blocks, mix).withColumnRenamed("mix_source", "source_key")
+    # one row per block: beyond the limit of a broadcast both sides shuffle by their blocks
+    return ranked.join(lookup_side(slots), ["source_key", "mix_block"]).select(
         "row", "source_key", "mix_block", "mix_slot", "mix_place"
     )
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -184,6 +185,52 @@ def test_every_phase_is_within_a_block_of_its_shares(blocks, period):
             assert all(abs(met[r[1]] - n * r[5] / r[6]) < 1 for r in own)
 
 
+def off_target(blocks, weights, period):
+    """The largest deviation from the target weights, in blocks, over the first phase."""
+    total, met, worst = sum(map(Fraction, weights.values())), Counter(), Fraction(0)
+    for x in mixing.stretches(blocks, mixing.Mix(weights, period=period)):
+        if x.phase:
+            break
+        assert x.taken == [met[s] for s in x.sources]
+        for s, _, slot in x.slots():
+            met[x.sources[s]] += 1
+            for k in x.sources if slot % 97 == 0 or len(blocks) < 50 else [x.sources[s]]:
+                worst = max(worst, abs(met[k] - (slot + 1) * Fraction(weights[k]) / total))
+    return sum(met.values()), worst
+
+
+def test_no_source_is_a_block_off_its_target_over_many_periods():
+    equal = {f"s{i}": 1.0 for i in range(20)}
+    slots, worst = off_target(dict.fromkeys(equal, 1500), equal, 1024)
+    assert slots > 25 * 1024 and worst < 1
+    small = {"a": 0.7, "b": 0.2999, "c": 0.0001}  # c is below one block per period
+    slots, worst = off_target({"a": 20_000, "b": 9_000, "c": 20}, small, 1024)
+    assert slots > 25 * 1024 and worst < 1
+
+
+def test_more_sources_than_the_period_keep_their_weights():
+    weights = {f"s{i}": 1.0 + i % 7 for i in range(60)}
+    slots, worst = off_target(dict.fromkeys(weights, 200), weights, 16)
+    assert slots > 5000 and worst < 1
+
+
+def test_mixed_follows_the_schedule_across_stretches(spark):
+    docs = spark.range(900).selectExpr(
+        "id AS doc_id", "'t' AS text", "CASE WHEN id % 3 = 0 THEN 'a' ELSE 'b' END AS source"
+    )
+    mix = mixing.Mix({"a": 0.3, "b": 0.7}, block=2, period=8)
+    found = {
+        (r["source_key"], r["mix_block"]): r["mix_slot"] for r in mixing.mixed(docs, mix).collect()
+    }
+    expected = {
+        (x.sources[s], x.used[s] + i): x.base + t
+        for x in mixing.stretches({"a": 150, "b": 300}, mix)
+        for s, i, t in x.slots()
+    }
+    assert found == expected
+    assert sorted(found.values()) == list(range(450))
+
+
 def test_mixing_keeps_every_row(spark, odd_documents):
     mix = mixing.Mix({"a": 3, "b": 1}, block=2, period=4)
     rows = mixing.mixed(odd_documents, mix).collect()
