@@ -14,6 +14,11 @@ prefix n-gram pairs its documents with one of them, the one in which it comes ea
 Then the n-grams whose documents are still in several components pair those documents
 across components. A pair within a component adds no component; every other pair with a
 common prefix n-gram is looked at, so the components are exact.
+
+All links, which ``similar`` counts, lie within components. There a component's classes
+are dealt into blocks of bounded size by hash, blocks that share a prefix n-gram are
+compared as wholes, and every link between two sets is counted: a group of near copies
+costs its pairs here, but as products of small matrices instead of rows.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swishline.llm.components import components
-from swishline.llm.tables import lookup_side, per_slice, slices, text_parts
+from swishline.llm.tables import give_back, lookup_side, per_slice, slices, text_parts
 from swishline.llm.words import _PLACES, Words, mixed, of_documents
 from swishline.sources.scratch import written
 
@@ -55,6 +60,9 @@ class Similarity:
 
 
 PARTS = 64
+BLOCK_GRAMS = 1 << 15  # n-grams in the sets of a block, on average
+BUNDLE_DOCS = 500  # of components of one block, which are compared in one call
+COLUMNS = 1 << 13  # n-grams in a matrix: a block of short sets has thousands of rows
 SET_BYTES = 1 << 20  # of text whose sets are made at once: they take many times its size
 
 
@@ -312,9 +320,8 @@ def similar_pairs(docs: DataFrame, s: Similarity = Similarity()) -> DataFrame:
     return _verified(written(pairs, "pairs"), kept, s).where("linked").select("a", "b")
 
 
-def links(docs: DataFrame, members: DataFrame, signatures: DataFrame, s: Similarity) -> DataFrame:
+def links(kept: DataFrame, prefixes: DataFrame, shared: DataFrame, s: Similarity) -> DataFrame:
     """Verified links (a, b) between classes, enough to connect all that any link connects."""
-    kept, prefixes, shared = _indexed(docs, members, signatures, s)
     first = F.min(F.struct("pos", F.xxhash64("doc_id"), "doc_id", "n", "met")).alias("first")
     centers = shared.groupBy("gram").agg(first).select("gram", "first.*")
     x, y = shared.alias("x"), centers.alias("y")
@@ -335,6 +342,135 @@ def links(docs: DataFrame, members: DataFrame, signatures: DataFrame, s: Similar
     return found.unionAll(more).where("linked").select("a", "b")
 
 
+def _common(sides: list[np.ndarray], numbers: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How many n-grams the sets of the first side's rows have in common with the second's."""
+    rows = np.concatenate(sides)
+    sizes = np.diff(ends)[rows]
+    starts = np.repeat(ends[:-1][rows] - np.cumsum(sizes) + sizes, sizes)
+    row = np.repeat(np.arange(len(rows)), sizes)
+    _, gram, often = np.unique(
+        numbers[np.arange(len(row)) + starts], return_inverse=True, return_counts=True
+    )
+    several = often[gram] > 1
+    row, gram = row[several], gram[several]
+    order = np.argsort(gram, kind="stable")
+    row, gram = row[order], gram[order]
+    _, gram = np.unique(gram, return_inverse=True)
+    first = len(sides[0])
+    out = np.zeros((first, len(sides[1])), np.float64)
+    for low in range(0, int(gram[-1]) + 1 if len(gram) else 0, COLUMNS):
+        part = slice(*np.searchsorted(gram, [low, low + COLUMNS]))
+        has = np.zeros((len(rows), int(gram[part.stop - 1]) - low + 1), np.float32)
+        has[row[part], gram[part] - low] = 1
+        out += has[:first] @ has[first:].T
+    return out
+
+
+def _counted(part: pa.Table, s: Similarity) -> pa.Table:
+    """The links of the rows' classes: within one block, or between blocks 0 and 1 of ``side``."""
+    numbers, ends = sets(part["text"], s.width)
+    n = np.diff(ends)
+    ids, size = part["doc_id"].to_numpy(), part["size"].to_numpy().astype(np.float64)
+    label, side = part["label"].to_numpy(), part["side"].to_numpy()
+    found, counts = [], []
+    order = np.argsort(label, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(label[order])) + 1):
+        between = bool(side[rows].any())
+        left, right = (rows[side[rows] == k] for k in (0, 1)) if between else (rows, rows)
+        common = _common([left, right], numbers, ends)
+        linked = 100 * common >= s.percent * (n[left][:, None] + n[right] - common)
+        linked &= (common > 0) & (ids[left][:, None] != ids[right])
+        # versions of a document are one: it is linked if one of them is
+        (a, a_first, a_id), (b, b_first, b_id) = (
+            np.unique(ids[x], return_index=True, return_inverse=True) for x in (left, right)
+        )
+        pairs = np.zeros((len(a), len(b)), bool)
+        x, y = np.nonzero(linked)
+        pairs[a_id[x], b_id[y]] = True
+        found.append(a)
+        counts.append(pairs @ size[right][b_first])
+        if between:
+            found.append(b)
+            counts.append(pairs.T @ size[left][a_first])
+    ids, totals = np.concatenate(found), np.concatenate(counts).astype(np.int64)
+    return pa.table({"class_id": pa.array(ids), "others": pa.array(totals)})
+
+
+def _link_counts(
+    kept: DataFrame, members: DataFrame, labels: DataFrame, shared: DataFrame, s: Similarity
+) -> DataFrame:
+    """class_id and ``others``: the documents of other classes that are linked to it."""
+    sizes = members.where("class_id IS NOT NULL").groupBy("class_id").agg(
+        F.count_distinct("doc_id").alias("size"), F.max("n").alias("n")
+    )
+    placed = sizes.join(lookup_side(labels.withColumnRenamed("node", "class_id")), "class_id")
+    placed = written(placed, "sized")
+    per = placed.groupBy("label").agg(
+        F.ceil(F.sum("n") / F.lit(BLOCK_GRAMS)).cast("int").alias("blocks")
+    )
+    placed = placed.join(lookup_side(written(per, "blocks")), "label").select(
+        F.col("class_id").alias("doc_id"),
+        "label",
+        "size",
+        "blocks",
+        F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int").alias("block"),
+    )
+    placed = written(placed, "in_blocks")
+
+    large = placed.where("blocks > 1").select("doc_id", "label", "block")
+    held = shared.select("doc_id", "gram").join(lookup_side(large), "doc_id")
+    held = written(held.select("label", "gram", "block").distinct(), "held")
+    i, j = held.withColumnRenamed("block", "i"), held.withColumnRenamed("block", "j")
+    meet = i.join(j, ["label", "gram"]).where("i <= j").select("label", "i", "j").distinct()
+    meet = written(meet, "meet")
+    left = meet.select("label", F.col("i").alias("block"), "i", "j", F.lit(0).alias("side"))
+    right = meet.where("i < j").select("label", F.col("j").alias("block"), "i", "j", F.lit(1))
+    bundles = -(-placed.where("blocks = 1").count() // BUNDLE_DOCS)
+    alone = placed.where("blocks = 1").select(
+        "doc_id",
+        "label",
+        "size",
+        F.pmod(F.xxhash64("label"), F.lit(max(1, bundles))).alias("call"),
+        F.lit(-1).alias("i"),
+        F.lit(-1).alias("j"),
+        F.lit(0).alias("side"),
+    )
+    dealt = placed.where("blocks > 1").join(left.unionAll(right), ["label", "block"]).select(
+        "doc_id", "label", "size", F.col("label").alias("call"), "i", "j", "side"
+    )
+    calls = lookup_side(written(alone.unionAll(dealt), "calls"))
+
+    def count(part: pa.Table) -> pa.Table:
+        out = _counted(part, s)
+        give_back()
+        return out
+
+    rows = kept.join(calls, "doc_id").groupBy("call", "i", "j")
+    found = rows.applyInArrow(count, "class_id bigint, others bigint")
+    return written(found.groupBy("class_id").agg(F.sum("others").alias("others")), "link_counts")
+
+
+def _components_of(
+    docs: DataFrame, s: Similarity
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Members, labels of the linked classes, a document per class, shared prefix n-grams."""
+    members, signatures = classes(docs, s)
+    kept, prefixes, shared = _indexed(docs, members, signatures, s)
+    labels = written(components(links(kept, prefixes, shared, s)), "components")
+    return members, labels, kept, shared
+
+
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    return members.join(
+        lookup_side(labels.select(F.col("node").alias("class_id"), "label")), "class_id", "left"
+    ).select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        "class_id",
+        F.coalesce("label", "class_id").alias("component_id"),
+    )
+
+
 def near_duplicates(docs: DataFrame, s: Similarity = Similarity()) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, class_id, component_id.
 
@@ -345,15 +481,35 @@ def near_duplicates(docs: DataFrame, s: Similarity = Similarity()) -> DataFrame:
     versions of one document. Other columns are left out.
     """
     docs = docs.select(F.col("doc_id").cast("bigint"), "text")
-    members, signatures = classes(docs, s)
-    labels = written(components(links(docs, members, signatures, s)), "components")
-    return members.join(
-        lookup_side(labels.select(F.col("node").alias("class_id"), "label")), "class_id", "left"
-    ).select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        "class_id",
-        F.coalesce("label", "class_id").alias("component_id"),
+    return _labelled(*_components_of(docs, s)[:2])
+
+
+def similar(docs: DataFrame, s: Similarity = Similarity()) -> DataFrame:
+    """The rows of ``near_duplicates`` with ``n_links``: how many other documents are similar.
+
+    Every link counts, those between equal sets too. Rows without a doc_id are no one's
+    links; empty sets have none. A document whose versions are in several classes counts
+    once for each.
+    """
+    docs = docs.select(F.col("doc_id").cast("bigint"), "text")
+    members, labels, kept, shared = _components_of(docs, s)
+    others = _link_counts(kept, members, labels, shared, s)
+    sizes = members.where("n > 0 AND class_id IS NOT NULL").groupBy("class_id").agg(
+        F.count_distinct("doc_id").alias("size")
+    )
+    linked = written(sizes.join(lookup_side(others), "class_id", "left"), "linked")
+    same = F.col("size") - F.col("doc_id").isNotNull().cast("int")
+    n_links = F.when(F.col("n_shingles") > 0, same + F.coalesce("others", F.lit(0)))
+    return (
+        _labelled(members, labels)
+        .join(lookup_side(linked), "class_id", "left")
+        .select(
+            "doc_id",
+            "n_shingles",
+            "component_id",
+            "class_id",
+            F.coalesce(n_links, F.lit(0)).cast("bigint").alias("n_links"),
+        )
     )
 
 

@@ -76,6 +76,12 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# the SQL of op6_ngram_join states no number of links: the whole join is a query of its own
+@query
+def op6_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join.similar(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf_dir, "documents")).drop("host_rate")

@@ -138,6 +138,36 @@ def test_near_duplicates_equal_brute_force(spark):
     }
 
 
+@pytest.mark.parametrize("block_grams", [1 << 15, 300])
+def test_every_link_is_counted(spark, monkeypatch, block_grams):
+    """Near copies with different texts, of which components alone need few links."""
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", block_grams)
+    monkeypatch.setattr(ngram_join, "COLUMNS", 64)
+    rng = random.Random(7)
+    core = [f"c{i}" for i in range(100)]
+    rows = [(9, " ".join(core)), (10, " ".join(core)), (10, " ".join(core)), (None, " ".join(core))]
+    for k in range(60):
+        own = list(core)
+        for j in range(rng.choice([1, 2, 3])):
+            own[rng.randrange(100)] = f"o{k}{j}"
+        rows += [(100 + 3 * k, " ".join(own))] * 1 + [(101 + 3 * k, " ".join(own))] * (k % 3 == 0)
+    rows += [(500, "alone in the world and in no other place"), (501, None), (502, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = grams([r for r in rows if r[0] is not None])
+    expected = {
+        a: sum(
+            a != b and len(x & y) > 0 and 100 * len(x & y) >= 80 * len(x | y)
+            for b, y in sets.items()
+        )
+        for a, x in sets.items()
+    }
+    found = ngram_join.similar(docs).collect()
+    assert len(found) == len(rows)
+    assert {r["doc_id"]: r["n_links"] for r in found if r["doc_id"] is not None} == expected
+    assert [r["n_links"] for r in found if r["doc_id"] is None] == [expected[9] + 1]
+    assert max(expected.values()) > 20 and expected[500] == 0
+
+
 def test_near_duplicates_handle_odd_rows(odd_documents):
     found = ngram_join.near_duplicates(odd_documents).collect()
     assert len(found) == odd_documents.count()
