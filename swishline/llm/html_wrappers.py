@@ -14,6 +14,7 @@ many pages is merged from one small wrapper per task.
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -25,7 +26,8 @@ from swishline.llm.tables import lookup_side
 from swishline.sources.scratch import written
 
 HOSTS_AT_ONCE = 2_000
-TEMPLATE_PAGES = 3  # text is the template's if so many pages and all have it
+TEMPLATE_PAGES = 3  # text is the template's if so many pages at least have it,
+TEMPLATE_PERCENT = 90  # and so many of the host's, and no page has another text there
 LONGEST_GROUP = 3
 LARGEST_TABLE = 250_000  # longer lists of items are aligned by label only
 BROADCAST_HOSTS = 10_000
@@ -167,59 +169,79 @@ def merged(wrappers: list[dict]) -> dict:
 # --- where a wrapper has the page's own text -----------------------------------------
 
 
-def _own_text(w: dict) -> int:
+def _least(w: dict) -> int:
+    """Of the pages that have item ``w``, how many have to have a text in it that is the template's."""
+    return max(TEMPLATE_PAGES, -(-w["n"] * TEMPLATE_PERCENT // 100))
+
+
+def _own_text(w: dict, least: int) -> int:
     """Characters in slots under ``w``; template text and skipped parts do not count."""
     if w["x"]:
         return 0
-    template = w["f"] is not None and w["n"] >= TEMPLATE_PAGES
-    return (0 if template else w["s"]) + sum(map(_own_text, w["k"]))
+    template = w["f"] is not None and w["n"] >= least
+    return (0 if template else w["s"]) + sum(_own_text(k, least) for k in w["k"])
 
 
-def _marked(w: dict, path: tuple) -> list[tuple[int, tuple]]:
+def _marked(w: dict, path: tuple, least: int) -> list[tuple[int, tuple]]:
     """Characters and path of the outermost items marked as main, inner ones before outer."""
     if w["x"]:
         return []
     path = path if w["t"] == "()" else (*path, w["l"])
-    inner = [found for k in w["k"] for found in _marked(k, path)]
+    inner = [found for k in w["k"] for found in _marked(k, path, least)]
     if w["m"] and w["t"] != "article" and any(p[-1].split(".")[0] == "article" for _, p in inner):
         return inner
-    return [(_own_text(w), path)] if w["m"] else inner
+    return [(_own_text(w, least), path)] if w["m"] else inner
 
 
 def rule(w: dict) -> dict:
     """``path``: labels from the page down to the item with the main text; ``template``:
-    paths of items whose text belongs to the template, if the item is not marked as main."""
-    marked = _marked(w, ())
+    items whose text belongs to the template, if the item is not marked as main: path, text,
+    and place among the items of the same label beside it, from the front and from the end
+    (None where pages may differ in how many come before or after)."""
+    marked = _marked(w, (), _least(w))
     if marked and max(marked)[0] > 0:
         return {"path": list(max(marked)[1]), "template": []}
     path, at = [], w
     while True:
+        least = _least(at)
         kids = [k for g in at["k"] for k in (g["k"] if g["t"] == "()" else [g])]
-        best = max(kids, key=_own_text, default=None)
+        best = max(kids, key=lambda k: _own_text(k, least), default=None)
         # go down while one child alone, which is not one of several, holds most of the text
-        if best is None or best["r"] or _own_text(best) < 0.7 * max(_own_text(at), 1):
+        if best is None or best["r"] or _own_text(best, least) < 0.7 * max(_own_text(at, least), 1):
             break
         if not best["k"] and best["t"] in ("p", *HEADINGS):
             break
         # nor past a heading of its own beside that child
-        if any(k["t"] in HEADINGS and _own_text(k) for k in kids):
+        if any(k["t"] in HEADINGS and _own_text(k, least) for k in kids):
             break
         path.append(best["l"])
         at = best
     template: list = []
 
-    def collect(item: dict, own: tuple) -> None:
-        own = own if item["t"] == "()" else (*own, item["l"])
-        if item["f"] and item["n"] >= TEMPLATE_PAGES:
-            template.append(list(own))
-        for k in item["k"]:
-            collect(k, own)
-
-    for k in at["k"]:
-        collect(k, ())
+    def collect(items: list[dict], own: tuple, single: bool) -> None:
+        for i, item in enumerate(items):
+            if item["t"] == "()":
+                collect(item["k"], own, False)
+                continue
+            path = (*own, item["l"])
+            if item["f"] and item["n"] >= least:
+                one = single and not item["r"]
+                ends = items[:i], items[i + 1 :]
+                at_place = [_place(side, item["l"]) if one else None for side in ends]
+                template.append([list(path), item["f"], *at_place])
+            collect(item["k"], path, True)
+
+    collect(at["k"], (), True)
     return {"path": ["", *path], "template": template}
 
 
+def _place(items: list[dict], label: str) -> int | None:
+    """How many nodes of ``label`` a page has for ``items``, if all pages have as many."""
+    groups = [k["l"] for g in items if g["t"] == "()" for k in g["k"]]
+    same = [x for x in items if x["l"] == label]
+    return None if label in groups or any(x["o"] or x["r"] for x in same) else len(same)
+
+
 def _find(node: Node, path: list[str]) -> list[Node]:
     """The nodes at ``path``; all of them, if it repeats."""
     found = [node]
@@ -228,17 +250,35 @@ def _find(node: Node, path: list[str]) -> list[Node]:
     return found
 
 
-def _blocks(node: Node, own: tuple, template: set, headings_only: bool, out: list[str]) -> None:
+def _of_template(node: Node, front: int, end: int, places: list) -> bool:
+    """Whether the node has the text of a template item, where that item is."""
+    text = " ".join(x for x in (plain(p) for p in node.parts if isinstance(p, str)) if x)
+    return any(
+        text == fixed and (front == at or end == back or at is None and back is None)
+        for fixed, at, back in places
+    )
+
+
+def _blocks(node: Node, own: tuple, template: dict, drop: bool, only: bool, out: list) -> None:
+    """Runs of text under ``node``; ``drop``: without its own text; ``only``: of headings."""
     run = ""
+    labels = Counter(p.label for p in node.parts if isinstance(p, Node)) if template else {}
+    met: Counter = Counter()
     for part in node.parts:
         if isinstance(part, str):
             run += part
-        elif part.tag == "header" or not part.skip:
-            out.append("" if headings_only or own in template else run)
+            continue
+        front = met[part.label]
+        met[part.label] += 1
+        if part.tag == "header" or not part.skip:
+            out.append("" if only or drop else run)
             run = ""
-            only = headings_only and part.tag not in HEADINGS
-            _blocks(part, (*own, part.label), template, only or part.tag == "header", out)
-    out.append("" if headings_only or own in template else run)
+            path = (*own, part.label)
+            end = labels[part.label] - 1 - front if template else 0
+            fixed = path in template and _of_template(part, front, end, template[path])
+            inner = only and part.tag not in HEADINGS
+            _blocks(part, path, template, fixed, inner or part.tag == "header", out)
+    out.append("" if only or drop else run)
 
 
 def extract(page: str | None, how: dict | None) -> str:
@@ -248,10 +288,12 @@ def extract(page: str | None, how: dict | None) -> str:
     tree = parse(page)
     for attempt in (how, None):
         attempt = attempt or rule(of_page(tree))
-        template = {tuple(t) for t in attempt["template"]}
+        template: dict[tuple, list] = {}
+        for path, *place in attempt["template"]:
+            template.setdefault(tuple(path), []).append(place)
         out: list[str] = []
         for node in _find(tree, attempt["path"]):
-            _blocks(node, (), template, False, out)
+            _blocks(node, (), template, False, False, out)
         blocks = [b for b in map(plain, out) if b]
         if blocks:
             return "\n".join(blocks)

@@ -89,6 +89,35 @@ def test_layouts_without_landmarks():
             assert extract(page, how) == expected
 
 
+def texts_of_host(pages):
+    how = rule(merged([of_page(parse(p)) for p in pages]))
+    return [extract(p, how) for p in pages]
+
+
+def test_fixed_paragraphs_are_dropped_by_place_and_text():
+    layout = (
+        "<body><div class=content><p>By our staff</p><h1>{0} title</h1><p>{0} words of the text</p>"
+        "<p>{1}</p><hr><p>All rights reserved</p></div>"
+    )
+    last = ["more first", "By our staff", "more third", "All rights reserved", "more fifth"]
+    pages = [layout.format(f"page{i}", own) for i, own in enumerate(last)]
+    assert texts_of_host(pages) == [
+        f"page{i} title\npage{i} words of the text\n{own}" for i, own in enumerate(last)
+    ]
+
+
+def test_what_a_few_pages_of_a_host_share_is_their_own():
+    own = "<h1>title {0}</h1><p>words of page {0}</p><p>more of page {0}</p>"
+    shared = "<blockquote>a passage that three pages share</blockquote>"
+    pages = [
+        "<body><div class=content>" + own.format(i) + (shared if i < 3 else "") + "</div>"
+        for i in range(30)
+    ]
+    for i, text in enumerate(texts_of_host(pages)):
+        expected = [f"title {i}", f"words of page {i}", f"more of page {i}"]
+        assert text.split("\n") == expected + ["a passage that three pages share"] * (i < 3)
+
+
 def test_wrappers_find_repeats_options_and_slots():
     first = of_page(parse("<body><p>same</p><ul><li>a<li>b<li>c</ul><h2>x</h2>"))
     second = of_page(parse("<body><p>same</p><h2>y</h2><div>new</div>"))
