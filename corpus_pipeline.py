@@ -14,6 +14,9 @@ from swishline.llm.tables import ship, table
 from swishline.sources.scratch import written
 
 
+MIX_ROUNDS = 256  # parts of the mix that sequences keep apart
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the network, trained on these documents, knows."""
     ship(spark)
@@ -38,9 +41,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their places in training sequences."""
+    """Pieces of documents with their places in training sequences, which follow the mix.
+
+    Spark does not read files back in the order of the mix, and documents have no column
+    for it: it is derived again, from the same rows.
+    """
     ship(spark)
-    return packing.pack(docs)
+    return packing.pack(mixing.in_mix_order(docs), rounds=MIX_ROUNDS)
 
 
 STAGES = [

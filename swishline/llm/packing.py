@@ -244,17 +244,28 @@ def pieces_of(docs: DataFrame, capacity: int, vocabulary: str, end_id: int) -> D
     return written(texts.mapInArrow(run, schema), "pieces")
 
 
-def places(bins: Bins, capacity: int) -> dict[str, np.ndarray]:
-    """By length and first rank: sequence and offset of the pieces from that rank on."""
+def places(bins: Bins, capacity: int, rounds: int = 1) -> dict[str, np.ndarray]:
+    """By length and first rank: sequence and offset of the pieces from that rank on.
+
+    Every round takes about the same share of each kind of bin, so that the sequences of a
+    round hold about the same part of the ranks of every length.
+    """
     taken: Counter = Counter()
     rows, sequence = [], 0
-    for bin_, count in sorted(bins.items(), reverse=True):
-        offset = 0
-        for length in bin_:
-            rows.append((length, taken[length], sequence, offset))
-            taken[length] += count
-            offset += length
-        sequence += count
+    kinds = sorted(bins.items(), reverse=True)
+    # where a kind's rounds begin, so that kinds of few bins do not all fall into one round
+    shift = [int(rounds * (k * 0.618034 % 1)) for k in range(len(kinds))]
+    for r in range(rounds):
+        for (bin_, whole), s in zip(kinds, shift, strict=True):
+            count = (whole * (r + 1) + s) // rounds - (whole * r + s) // rounds
+            if not count:
+                continue
+            offset = 0
+            for length in bin_:
+                rows.append((length, taken[length], sequence, offset))
+                taken[length] += count
+                offset += length
+            sequence += count
     rows.sort()
     length, rank, sequence_id, offset = np.array(rows, np.int64).reshape(-1, 4).T
     return {"key": (length << 40) + rank, "sequence": sequence_id, "offset": offset}
@@ -266,9 +277,13 @@ def pack(
     vocabulary: str = bpe.BYTE_BPE,
     end_id: int = END_ID,
     search: Search = Search(),
+    rounds: int = 1,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
+    Pieces of one length go to sequences in the order of the rows of ``docs``: partitions
+    one after the other. With more ``rounds`` the sequences as wholes follow that order.
+
     Every row of ``docs`` is a document, repeated ones too; null and empty texts are
     their end id alone; a null doc_id stays null; other columns are left out.
     """
@@ -278,7 +293,7 @@ def pack(
         {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     )  # at most one row per length up to the capacity
     bins = pack_lengths(docs.sparkSession, total, capacity, search)
-    found = docs.sparkSession.sparkContext.broadcast(places(bins, capacity))
+    found = docs.sparkSession.sparkContext.broadcast(places(bins, capacity, rounds))
 
     earlier = Window.partitionBy("length").orderBy("task")
     so_far = F.sum("n").over(earlier.rowsBetween(Window.unboundedPreceding, -1))

@@ -68,3 +68,25 @@ def test_run_is_all_stages(spark, small, kept):
     key = ("doc_id", "piece", "start", "length", "ids_crc32")
     found = corpus_pipeline.run(spark, small).select(*key)
     assert rows(found) == rows(kept["best_fit_packing"].select(*key))
+
+
+def test_sequences_follow_the_mix(spark):
+    """Square roots of 1600 and 400: b has a third of the mix until it runs out."""
+    docs = spark.range(2000).selectExpr(
+        "id AS doc_id",
+        "repeat('word ', cast(100 + id * 7919 % 8 * 31 AS int)) AS text",
+        "'en' AS lang",
+        "CASE WHEN id % 5 = 0 THEN 'b' ELSE 'a' END AS source",
+        "0L AS n_chars",
+    )
+    packed = corpus_pipeline.best_fit_packing(spark, docs.repartition(7), "").collect()
+    ids = sorted({r["sequence_id"] for r in packed})
+    assert ids == list(range(len(ids)))
+
+    def share(low, high):
+        part = [r["doc_id"] % 5 == 0 for r in packed if low * len(ids) <= r["sequence_id"] < high * len(ids)]
+        return sum(part) / len(part)
+
+    shares = [share(k / 10, (k + 1) / 10) for k in range(10)]
+    assert all(abs(x - 1 / 3) < 0.08 for x in shares[:5]), shares
+    assert max(shares[7:]) < 0.04, shares
