@@ -8,8 +8,12 @@ from dataclasses import dataclass, field
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|svg|iframe|object|canvas|video|audio)\b"
+    r"|<(script|style|textarea|iframe)\b"
     r"(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*>|\Z)"
+    # these end where they close themselves (svg), and are read on if nothing ends them
+    r"|<(noscript|template|object|canvas|video|audio"
+    r"|svg(?=\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*(?<!/)>))\b"
+    r"(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?</\2\s*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
     r"|<[!?][^>]*>",
     re.S | re.I,
@@ -96,10 +100,10 @@ def parse(page: str) -> Node:
     for token in _TOKEN.finditer(page):
         text(page[at : token.start()])
         at = token.end()
-        tag = (token[3] or "").lower()
+        tag = (token[4] or "").lower()
         if not tag:
             continue
-        ends, attributes = token[2], token[4] or ""
+        ends, attributes = token[3], token[5] or ""
         if tag == "br":
             text(" ")
             continue

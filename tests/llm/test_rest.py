@@ -71,6 +71,13 @@ def test_inline_elements_that_are_skipped():
     assert extract(page, None) == "T\na b link c\nd"
 
 
+def test_elements_that_close_themselves_or_are_never_closed():
+    page = "<article><p>a <svg class=icon/> b <video src=x> c</p><svg><text>no</text></svg><p>d</article>"
+    assert extract(page, None) == "a b c\nd"
+    assert extract("<article><p>a<svg/>b</p><p>c <svg><path></svg>d</p></article>", None) == "ab\nc d"
+    assert extract("<article><p>a</p><script>never closed <p>b", None) == "a"
+
+
 def test_layouts_without_landmarks():
     body = "<h1>{0} title</h1>" + "<p>{0} words of the text itself</p>" * 3
     layouts = [
