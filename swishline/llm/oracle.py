@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from swishline.llm import chat
+from swishline.llm import chat, lexical
 
 NGRAM_JOIN = r"""
 WITH RECURSIVE words AS (
@@ -101,4 +101,5 @@ ORACLE_SQL = {
     "op6_ngram_join": NGRAM_JOIN,
     "op7_quality_rules": QUALITY_RULES,
     "op9_voronoi_top_k": TOP_K,
+    "op11_lexical_search": lexical.ORACLE,
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swishline.llm import ngram_join as join
-from swishline.llm import chat, html_wrappers, language, mixing, packing, quality
+from swishline.llm import chat, html_wrappers, language, lexical, mixing, packing, quality
 from swishline.llm import token_counts as counts
 from swishline.llm import token_files as files
 from swishline.llm import topk
@@ -105,4 +105,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.digest(files.token_files(table(spark, sf_dir, "documents")))
 
 
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
