@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from swishline.llm import chat, lexical
+from swishline.llm import chat, lexical, merkle
 
 NGRAM_JOIN = r"""
 WITH RECURSIVE words AS (
@@ -102,4 +102,5 @@ ORACLE_SQL = {
     "op7_quality_rules": QUALITY_RULES,
     "op9_voronoi_top_k": TOP_K,
     "op11_lexical_search": lexical.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swishline.llm import ngram_join as join
-from swishline.llm import chat, html_wrappers, language, lexical, mixing, packing, quality
+from swishline.llm import chat, html_wrappers, language, lexical, merkle, mixing, packing, quality
 from swishline.llm import token_counts as counts
 from swishline.llm import token_files as files
 from swishline.llm import topk
@@ -111,4 +111,9 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_documents(table(spark, sf_dir, "documents"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
