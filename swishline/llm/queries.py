@@ -12,7 +12,7 @@ from swishline.llm import ngram_join as join
 from swishline.llm import chat, html_wrappers, language, lexical, merkle, mixing, packing, quality
 from swishline.llm import token_counts as counts
 from swishline.llm import token_files as files
-from swishline.llm import topk
+from swishline.llm import sharding, topk
 from swishline.llm.oracle import ORACLE_SQL
 from swishline.llm.tables import ship, table
 
@@ -116,4 +116,9 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.kd_shards(table(spark, sf_dir, "documents"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
