@@ -577,18 +577,14 @@ def stream_start_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def _timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = events.subscribe_events(spark, _published(spark, sf_dir))
-    return P.readable(P.decode_events(messages)).withColumn("event_time", X.event_time())
-
-
 @query
 def stream_shots_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A replay: its files are in no order of time, so none of it may count as late."""
-    path = scratch_dir(spark, "minutes")
-    live.stream_shots_per_minute(
-        _timed_events(spark, sf_dir), path, f"{path}-offsets", ONCE, late_by="3650 days"
-    ).awaitTermination()
+    """A replay of history in order of time, a file per micro-batch, at the default lateness."""
+    path, transport = scratch_dir(spark, "minutes"), _files(spark)
+    events.publish_history(_events(spark, sf_dir), transport, PUBLISHED_FILES)
+    messages = events.subscribe_events(spark, transport, max_per_trigger=1)
+    timed = P.readable(P.decode_events(messages)).withColumn("event_time", X.event_time())
+    live.stream_shots_per_minute(timed, path, f"{path}-offsets", ONCE).awaitTermination()
     return to_compare(live.shots_per_minute_now(spark, path))
 
 

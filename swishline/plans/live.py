@@ -1,7 +1,7 @@
 """Job: keep the per-minute and headline reports current from the event stream.
 
-The model and ratings are those found at the start; restart the job on the same
-checkpoints to take up newer ones.
+New models and ratings are taken up while the job runs: shots are scored by the newest
+versions that the scorer has found when their micro-batch begins.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from swishline.streaming.live import (
     late_rows,
     running_totals_now,
     shots_per_minute_now,
-    stream_running_totals,
+    stream_live_totals,
     stream_shots_per_minute,
     zones,
 )
@@ -66,7 +66,6 @@ def main(argv: list[str] | None = None) -> None:
     offsets = {name: f"{args.checkpoint.rstrip('/')}/{name}" for name in ("minutes", "totals")}
     messages = subscribe_events(spark, transport, args.start)
     events = readable(decode_events(messages))
-    scored = Scorer(spark, args.artifacts).score(events)
     out = args.out.rstrip("/")
     trigger = {"availableNow": True} if args.once else REFRESH
     queries = [
@@ -77,12 +76,14 @@ def main(argv: list[str] | None = None) -> None:
             trigger,
             args.late_by,
         ),
-        stream_running_totals(scored, f"{out}/totals", offsets["totals"], trigger),
+        stream_live_totals(
+            events, Scorer(spark, args.artifacts), f"{out}/totals", offsets["totals"], trigger
+        ),
     ]
     for query in queries:
         query.awaitTermination()
     if args.once:
-        print(f"late: {late_rows(queries[0])}")
+        print(f"late: {late_rows(queries[0], f'{out}/minutes')}")
 
 
 if __name__ == "__main__":

@@ -7,6 +7,7 @@ on the cluster; the file transport needs only a shared folder.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from swishline.operators.plays import EVENT_KEY, encode_events
 from swishline.schemas import EVENT_TOPIC
+from swishline.sources import files
+from swishline.sources.scratch import scratch_dir
 
 EARLIEST, LATEST = "earliest", "latest"
 
@@ -48,6 +51,35 @@ def publish_events(events: DataFrame, to: Transport) -> None:
         messages.write.mode("append").options(**to.options).text(to.path)
 
 
+def publish_history(
+    events: DataFrame, to: Transport, count: int, order: str = "timestamp"
+) -> list[str]:
+    """Append events as ``count`` files of consecutive ranges of their time, oldest first.
+
+    A subscriber takes files in the order of their modification times, so with a bound
+    on files per trigger a replay sees history in order: no event of a micro-batch is
+    older than those of the batch before, and none is late for a watermark. Files are
+    written together, get times that follow each other and the files that are there, and
+    only then appear in the stream. Events without a time come first. Returns the names.
+
+    For files only: a topic of several partitions keeps no order over all of them. A store
+    that does not keep given times is refused before anything is published.
+    """
+    if to.kind != "files":
+        raise ValueError("history keeps its order in files only")
+    spark = events.sparkSession
+    staged = scratch_dir(spark, "history")
+    ranges = events.repartitionByRange(count, order).sortWithinPartitions(order)
+    encode_events(ranges).write.options(**to.options).text(staged)
+    # the number of a range grows with time and stands at the head of the file's name
+    names = sorted(files.names(spark, staged), key=lambda n: (len(n), n))
+    begin = max(time.time_ns() // 1_000_000 - len(names), files.last_time(spark, to.path) + 1)
+    for i, name in enumerate(names):
+        if not files.move_at(spark, f"{staged}/{name}", f"{to.path}/{name}", begin + i):
+            raise ValueError(f"{to.location} does not keep the times given to files")
+    return names
+
+
 def read_messages(spark: SparkSession, source: Transport) -> DataFrame:
     """All messages published so far, as a batch."""
     if source.kind == "kafka":

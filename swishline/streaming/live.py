@@ -13,6 +13,7 @@ from swishline.functions import shots as S
 from swishline.operators.analytics import grade_distribution_of
 from swishline.sources import files
 from swishline.streaming.checkpoints import exists, stream_id
+from swishline.streaming.enrich import Scorer
 
 LATE_BY = "10 minutes"
 REFRESH = {"processingTime": "10 seconds"}
@@ -20,7 +21,10 @@ PARTITIONS = "spark.sql.shuffle.partitions"
 STATE_PARTITIONS = 8
 # older states are removed: readers of one have two refreshes to finish
 KEPT_STATES = 3
+# as many batches as Spark remembers the progress of
+KEPT_COUNTS = 100
 
+EVENTS_READ = "events_read"
 MINUTES_SCHEMA = "minute timestamp, shots bigint, day date"
 TOTALS_SCHEMA = "zone string, shot_grade string, shots bigint, points double, nearest int"
 
@@ -73,11 +77,19 @@ def stream_shots_per_minute(
     days, one row per minute and a folder per day, and the watermark lets finished
     minutes leave the state. Events later than that are dropped, so state stays at
     minutes of lateness, not at history; ``late_rows`` counts them. A replay of history
-    that is not in order of time needs a ``late_by`` that spans it.
+    should be published in order of time (``publish_history``), or needs a ``late_by``
+    that spans it. Events without a time are in no minute.
+
+    The state is computed once per micro-batch: the changed minutes are stored first, and
+    everything else reads that copy, so a lost task repeats no part of the state.
     """
     path = path.rstrip("/")
+    # events with a time, counted as they are read: what of them is in no minute is late
+    read = events.where("event_time IS NOT NULL").observe(
+        EVENTS_READ, F.count(F.lit(1)).alias("events")
+    )
     per_minute = (
-        events.withWatermark("event_time", late_by)
+        read.withWatermark("event_time", late_by)
         .groupBy(F.window("event_time", "1 minute").alias("w"))
         .agg(F.count(F.lit(1)).alias("shots"))
         .select(F.col("w.start").alias("minute"), "shots")
@@ -85,25 +97,55 @@ def stream_shots_per_minute(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        changed = batch.withColumn("day", F.to_date("minute"))
+        copy = f"{path}_changed"
+        batch.withColumn("day", F.to_date("minute")).write.mode("overwrite").parquet(copy)
+        changed = spark.read.schema(MINUTES_SCHEMA).parquet(copy)
         staged = f"{path}_staged"  # an overwritten day cannot be read by the same write
+        merged, before = changed, spark.createDataFrame([], MINUTES_SCHEMA)
         if files.is_there(spark, path):
             stored = spark.read.schema(MINUTES_SCHEMA).parquet(path)
             own_days = stored.join(changed.select("day").distinct(), "day", "left_semi")
             kept = own_days.join(changed.select("minute"), "minute", "left_anti")
-            changed = changed.unionByName(kept)
-        changed.coalesce(1).write.mode("overwrite").parquet(staged)
+            merged = changed.unionByName(kept)
+            before = stored.join(changed.select("minute", "day"), ["minute", "day"], "left_semi")
+        _count_taken(path, batch_id, changed, before)
+        merged.coalesce(1).write.mode("overwrite").parquet(staged)
         writer = spark.read.schema(MINUTES_SCHEMA).parquet(staged).write.partitionBy("day")
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
     return _start(per_minute, "update", merge, path, checkpoint, trigger, state_partitions)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that came after their minute had left the state, in the batches that Spark
-    still remembers of this run. Counted before the state, per task and minute."""
-    states = (s for p in query.recentProgress for s in p["stateOperators"])
-    return sum(s["numRowsDroppedByWatermark"] for s in states)
+def _count_taken(path: str, batch_id: int, changed: DataFrame, before: DataFrame) -> None:
+    """Store how many events a micro-batch has added to its minutes: their counts now,
+    less those ``before``. A batch that runs again after it was merged keeps its number."""
+    spark = changed.sparkSession
+    own = f"{path}_taken/batch_id={batch_id}"
+    if files.is_there(spark, f"{own}/_SUCCESS"):
+        return
+    counts = changed.select("shots").unionAll(before.select(-F.col("shots")))
+    taken = counts.agg(F.coalesce(F.sum("shots"), F.lit(0)).alias("taken"))
+    taken.write.mode("overwrite").parquet(own)
+    for old in map(int, files.values(spark, f"{path}_taken", "batch_id")):
+        if old <= batch_id - KEPT_COUNTS:
+            files.remove(spark, f"{path}_taken/batch_id={old}")
+
+
+def late_rows(query: StreamingQuery, path: str) -> int:
+    """Events that came after their minute had left the state, in the batches that Spark
+    still remembers of this run: those read, less those that the minutes below ``path`` took."""
+    spark = SparkSession.active()
+    read = {
+        p["batchId"]: p["observedMetrics"][EVENTS_READ]["events"]
+        for p in query.recentProgress
+        if EVENTS_READ in p.get("observedMetrics", {})
+    }
+    folder = f"{path.rstrip('/')}_taken"
+    if not read or not files.is_there(spark, folder):
+        return 0
+    counts = spark.read.schema("taken bigint, batch_id bigint").parquet(folder)
+    taken = counts.where(F.col("batch_id").isin(list(read))).collect()
+    return sum(read.values()) - sum(r["taken"] for r in taken)
 
 
 def shots_per_minute_now(spark: SparkSession, path: str) -> DataFrame:
@@ -127,28 +169,68 @@ def stream_running_totals(
     path = path.rstrip("/")
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        for old in map(int, files.values(spark, path, "batch_id")):
-            if old <= batch_id - KEPT_STATES:
-                files.remove(spark, f"{path}/batch_id={old}")
-
-    totals = (
-        telemetry.groupBy(S.zone(F.col("shot_distance")).alias("zone"), "shot_grade")
-        .agg(
-            F.count(F.lit(1)).alias("shots"),
-            F.sum("expected_points").alias("points"),
-            F.min("shot_distance").alias("nearest"),
+        _store_state(batch, path, batch_id)
+
+    totals = _totals(telemetry)
+    return _start(totals, "complete", store, path, checkpoint, trigger, state_partitions)
+
+
+def stream_live_totals(
+    events: DataFrame,
+    scorer: Scorer,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """The same totals over events that ``scorer`` scores as they come.
+
+    Each micro-batch takes up newer artifacts first, so new models and ratings count from
+    the next batch on without a restart; shots that have been counted keep their scores.
+    A batch's totals are added to the state of the batch before it and stored as a state
+    of its own: one that runs again starts from the same state and replaces its own.
+    """
+    path = path.rstrip("/")
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        scorer.refresh()
+        before = running_totals_now(batch.sparkSession, path, before=batch_id)
+        both = _totals(scorer.score(batch)).unionByName(before)
+        summed = both.groupBy("zone", "shot_grade").agg(
+            F.sum("shots").alias("shots"),
+            F.sum("points").alias("points"),
+            F.min("nearest").alias("nearest"),
         )
+        _store_state(summed, path, batch_id)
+
+    return _start(events, "append", add, path, checkpoint, trigger, STATE_PARTITIONS)
+
+
+def _totals(telemetry: DataFrame) -> DataFrame:
+    zone = S.zone(F.col("shot_distance")).alias("zone")
+    return telemetry.groupBy(zone, "shot_grade").agg(
+        F.count(F.lit(1)).alias("shots"),
+        F.sum("expected_points").alias("points"),
+        F.min("shot_distance").alias("nearest"),
     )
-    return _start(totals, "complete", store, path, checkpoint, trigger, state_partitions)
 
 
-def running_totals_now(spark: SparkSession, path: str) -> DataFrame:
-    """The newest state that is stored whole."""
+def _store_state(totals: DataFrame, path: str, batch_id: int) -> None:
+    """Store a batch's state, and remove all but the newest few before it."""
+    spark = totals.sparkSession
+    totals.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    for old in map(int, files.values(spark, path, "batch_id")):
+        if old <= batch_id - KEPT_STATES:
+            files.remove(spark, f"{path}/batch_id={old}")
+
+
+def running_totals_now(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The newest state that is stored whole, of all batches or those ``before`` one."""
     path = path.rstrip("/")
     states = sorted(map(int, files.values(spark, path, "batch_id")))
-    whole = [n for n in states if files.is_there(spark, f"{path}/batch_id={n}/_SUCCESS")]
+    whole = [
+        n for n in states
+        if (before is None or n < before) and files.is_there(spark, f"{path}/batch_id={n}/_SUCCESS")
+    ]
     if not whole:
         return spark.createDataFrame([], TOTALS_SCHEMA)
     return spark.read.schema(TOTALS_SCHEMA).parquet(f"{path}/batch_id={whole[-1]}")

@@ -13,7 +13,13 @@ from swishline.operators.model import train_logistic
 from swishline.operators.scoring import event_time, score_events
 from swishline.plans.retrain import rated_players, split_features
 from swishline.sources import artifacts, files, telemetry as store
-from swishline.sources.events import LATEST, Transport, publish_events, subscribe_events
+from swishline.sources.events import (
+    LATEST,
+    Transport,
+    publish_events,
+    publish_history,
+    subscribe_events,
+)
 from swishline.sources.scratch import scratch_dir
 from swishline.streaming import live
 from swishline.streaming.enrich import Scorer, skip_history, stream_enrich
@@ -218,19 +224,114 @@ def test_minutes_drop_what_is_too_late(spark, transport, events):
     noon = datetime(2024, 1, 1, 12)
     path = scratch_dir(spark, "minutes")
 
-    def send(at):
-        stamp = F.unix_micros(F.lit(at)) / 1e6
-        publish_events(one.withColumn("timestamp", stamp), transport)
-        live.stream_shots_per_minute(
+    def send(*times):
+        """Late events, and the minutes that the state says it has changed."""
+        at = F.explode(F.array(*map(F.lit, times)))
+        sent = one.withColumn("at", at).withColumn("timestamp", F.unix_micros("at") / 1e6)
+        publish_events(sent.drop("at"), transport)
+        query = live.stream_shots_per_minute(
             timed(spark, transport), path, f"{path}-offsets", ONCE
-        ).awaitTermination()
+        )
+        query.awaitTermination()
+        states = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+        return live.late_rows(query, path), sum(s["numRowsUpdated"] for s in states)
 
     send(noon)
     send(noon + timedelta(minutes=30))
-    send(noon - timedelta(minutes=5))
-    send(noon + timedelta(minutes=25))
+    late, updated = send(noon - timedelta(minutes=5))
+    assert (late, updated) == (1, 0)
+    assert send(noon + timedelta(minutes=25)) == (0, 1)
+    # two events of one late minute, and one that is in time
+    assert send(*[noon - timedelta(minutes=3)] * 2, noon + timedelta(minutes=25)) == (2, 1)
     counts = [r["shots"] for r in live.shots_per_minute_now(spark, path).orderBy("minute").collect()]
-    assert counts == [1, 1, 1]
+    assert counts == [1, 2, 1]
+
+
+def test_a_batch_of_minutes_that_runs_again_counts_the_same(spark, transport, events, monkeypatch):
+    """The driver is lost after a batch's minutes are merged, before the batch is done."""
+    publish_events(events, transport)
+    path, merges = scratch_dir(spark, "minutes"), []
+    plain = live._start
+
+    def go():
+        query = live.stream_shots_per_minute(
+            timed(spark, transport), path, f"{path}-offsets", ONCE, "3650 days"
+        )
+        query.awaitTermination()
+        return query
+
+    def lost_once(result, mode, store, *more):
+        def crash(batch, batch_id):
+            store(batch, batch_id)
+            merges.append(batch_id)
+            if len(merges) == 1:
+                raise RuntimeError("lost the driver")
+
+        return plain(result, mode, crash, *more)
+
+    monkeypatch.setattr(live, "_start", lost_once)
+    with pytest.raises(Exception, match="lost the driver"):
+        go()
+    assert live.late_rows(go(), path) == 0
+    assert live.shots_per_minute_now(spark, path).agg(F.sum("shots")).first()[0] == events.count()
+
+
+def test_history_is_replayed_in_order(spark, transport, events, rows):
+    """A file per batch, in order of time: nothing is late at the default watermark."""
+    names = publish_history(events.repartition(5), transport, 6)
+    again = publish_history(events.withColumn("timestamp", F.col("timestamp") + 1e9), transport, 2)
+    assert len(names) == 6 and len(again) == 2
+    base, spans = scratch_dir(spark, "replay"), []
+
+    def note(batch, batch_id):
+        spans.append(tuple(batch.agg(F.min("event_time"), F.max("event_time")).first()))
+
+    source = timed(spark, transport, max_per_trigger=1)
+    source.writeStream.foreachBatch(note).trigger(**ONCE).option(
+        "checkpointLocation", f"{base}/a").start().awaitTermination()
+    assert len(spans) == 8
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+    minutes = live.stream_shots_per_minute(source, f"{base}/minutes", f"{base}/b", ONCE)
+    minutes.awaitTermination()
+    assert live.late_rows(minutes, f"{base}/minutes") == 0
+    total = live.shots_per_minute_now(spark, f"{base}/minutes").agg(F.sum("shots")).first()[0]
+    assert total == 2 * events.count()
+    with pytest.raises(ValueError, match="files only"):
+        publish_history(events, Transport("kafka", "nowhere:1"), 2)
+
+
+def test_live_totals_take_up_a_new_model(spark, transport, events, model_and_ratings):
+    """The second batch meets a model that is published after the first."""
+    root, path = scratch_dir(spark, "artifacts"), scratch_dir(spark, "totals")
+    model, ratings = model_and_ratings
+    scorer = Scorer(spark, [root], reload_seconds=-1)
+    half = F.pmod(F.xxhash64("timestamp"), F.lit(2))
+    plain = scorer.score
+
+    def publish_then_score(batch, created_at=None):
+        scored = plain(batch, created_at)
+        if scorer.model is None:
+            artifacts.publish_ratings(ratings.frame, root)
+            artifacts.publish_model(spark, model, root)
+        return scored
+
+    scorer.score = publish_then_score
+    publish_events(events.where(half == 0).coalesce(1), transport)
+    publish_events(events.where(half == 1).coalesce(1), transport)
+    query = live.stream_live_totals(
+        timed(spark, transport, max_per_trigger=1), scorer, path, f"{path}-offsets", ONCE
+    )
+    query.awaitTermination()
+    parts = [keyed(events.where(half == 0)), keyed(events.where(half == 1))]
+    expected = score_events(parts[0], None, None).unionByName(
+        score_events(parts[1], scorer.model, scorer.ratings)
+    )
+    now = live.running_totals_now(spark, path)
+    head = live.headline(now).first()
+    assert head["total_shots"] == events.count()
+    assert head["avg_xp"] == pytest.approx(A.avg_xp(expected).first()[0])
+    got = {r["grade"]: r["shots"] for r in live.grades(now).collect()}
+    assert got == {r["grade"]: r["shots"] for r in A.grade_distribution(expected).collect()}
 
 
 def test_running_totals_equal_the_reports(spark, transport, events, rows):
@@ -272,7 +373,7 @@ def test_live_results_stay_bounded(spark, transport, events, rows):
         source, f"{base}/minutes", f"{base}/a", ONCE, "3650 days"
     )
     minutes.awaitTermination()
-    assert live.late_rows(minutes) == 0
+    assert live.late_rows(minutes, f"{base}/minutes") == 0
     scored = score_events(source, None, None, event_time())
     live.stream_running_totals(scored, f"{base}/totals", f"{base}/b", ONCE).awaitTermination()
     assert len(files.values(spark, f"{base}/totals", "batch_id")) <= live.KEPT_STATES
