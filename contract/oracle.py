@@ -221,19 +221,18 @@ BODIES = {
     "model_artifact": f"SELECT play_id AS shot_key, true AS same FROM shots WHERE {SPLIT} = 'test'",
     # models: what any right model has to fulfil, and everything that is exact about them
     "train_boosted": """
-      SELECT CAST(range AS INTEGER) AS round, true AS finite, true AS cut_right
-      FROM range(1, 101)""",
+      SELECT CAST(range AS INTEGER) AS round, true AS as_walked FROM range(1, 101)""",
     "train_logistic": f"SELECT feature, true AS flat FROM {FEATURE_ROWS}",
-    "score_shots": "SELECT play_id AS shot_key, true AS probability FROM shots",
+    "score_shots": "SELECT play_id AS shot_key, true AS as_walked FROM shots",
     "feature_importance": f"SELECT feature, true AS share FROM {FEATURE_ROWS}",
     "what_if_scores": """
-      SELECT scenario, true AS probability FROM (VALUES
+      SELECT scenario, true AS as_walked, true AS as_weighed FROM (VALUES
         ('3-ft home dunk, elite player'), ('3-ft away layup, average player'),
         ('25-ft home three, average player'), ('25-ft away pullup at the buzzer'))
         AS s(scenario)""",
     "retrain_job": f"""
       SELECT {SPLIT} AS split, count(*) AS n, CAST(sum(label) AS BIGINT) AS made,
-        true AS metrics_right
+        true AS metrics_right, true AS learnt
       FROM shots GROUP BY 1""",
     "stream_enrich_model": """
       SELECT created_at AS event_time, count(*) AS shots, true AS as_batch

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -13,6 +14,7 @@ from contract import bindings as B
 from swishline.operators import analytics as A
 from swishline.operators import evaluation as E
 from swishline.operators import model as M
+from swishline.operators import nodes as N
 from swishline.operators import plays as P
 from swishline.operators import sampling as L
 from swishline.operators import scoring as X
@@ -22,7 +24,7 @@ from swishline.plans import retrain as R
 from swishline.schemas import EVENT_FIELDS, FEATURES, PLAYS, SHOT_TYPES, TELEMETRY_COLUMNS
 from swishline.sources import artifacts, events, telemetry
 from swishline.sources import plays as plays_csv
-from swishline.sources.scratch import scratch_dir
+from swishline.sources.scratch import scratch_dir, written
 from swishline.streaming import enrich, live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -392,16 +394,44 @@ def trained(spark: SparkSession, sf_dir: str) -> Trained:
     return _TRAINED[key]
 
 
+PLACES = 1e-9
+
+
 @query
 def train_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every round, whether its loss is a number, and whether the kept rounds are a
-    beginning that ends in the best round before patience ran out."""
-    done = trained(spark, sf_dir).run
-    best = M.best_round(done.losses, M.Boosting.patience)
-    trees = done.model.stages[-1].getNumTrees
-    right = trees == done.best_round == best and min(done.losses[:best]) == done.losses[best - 1]
-    rows = [(i, 0 < loss < 10, right) for i, loss in enumerate(done.losses, 1)]
-    return spark.createDataFrame(rows, "round int, finite boolean, cut_right boolean")
+    """Every round up to the most that may be fitted, and whether it is as it has to be.
+
+    Of the rounds that the model keeps, the held-out loss is that of its node table, walked
+    apart from the library, and no other kept one is as low as the last. Rounds after
+    them bring no gain until patience runs out. Rounds that were not fitted lie beyond that.
+    """
+    done = trained(spark, sf_dir)
+    nodes = N.model_nodes(spark, done.run.model)
+    held_out = done.features.where("split = 'test'")
+    walked = {r["round"]: r["loss"] for r in N.losses_by_round(held_out, nodes, "shot_key").collect()}
+    return spark.createDataFrame(
+        judged_rounds(done.run.losses, walked, M.Boosting()), "round int, as_walked boolean"
+    )
+
+
+def judged_rounds(
+    losses: list[float], walked: dict[int, float], settings: M.Boosting
+) -> list[tuple[int, bool]]:
+    """By round: whether the told losses agree with those of a model that keeps ``walked``."""
+    kept = max(walked)
+    least = walked[kept]
+    out_of_patience = kept + settings.patience
+    rows = []
+    for n in range(1, settings.rounds + 1):
+        if n <= kept:
+            right = n in walked and abs(losses[n - 1] - walked[n]) < PLACES
+            right = right and (n == kept or walked[n] > least)
+        elif n <= len(losses):
+            right = n > out_of_patience or losses[n - 1] >= least
+        else:
+            right = n > out_of_patience
+        rows.append((n, right))
+    return rows
 
 
 @query
@@ -423,9 +453,18 @@ def train_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def score_shots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each shot's probability is that of the model's node table, to 9 places."""
     done = trained(spark, sf_dir)
-    scored = _probabilities(done.features, done.run.model)
-    return scored.select("shot_key", F.col("p").between(0, 1).alias("probability"))
+    nodes = N.model_nodes(spark, done.run.model)
+    return as_walked(_probabilities(done.features, done.run.model), done.features, nodes)
+
+
+def as_walked(scored: DataFrame, features: DataFrame, nodes: DataFrame) -> DataFrame:
+    told, walked = scored.alias("told"), N.walked(features, nodes, "shot_key").alias("walked")
+    same = F.abs(F.col("told.p") - F.col("walked.p")) < PLACES
+    return told.join(walked, "shot_key", "left").select(
+        "shot_key", F.coalesce(same, F.lit(False)).alias("as_walked")
+    )
 
 
 @query
@@ -442,33 +481,64 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def what_if_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = M.what_if_scores(spark, trained(spark, sf_dir).run.model)
-    return rows.select("scenario", F.col("p").between(0, 1).alias("probability"))
+    """The scenarios by the model that the table's shots have taught, against a walk of its
+    nodes; and those of the logistic model against its coefficients."""
+    done = trained(spark, sf_dir)
+    logistic = M.train_logistic(done.features.where("split = 'train'"))
+    told = M.what_if_scores(spark, done.run.model).alias("b").join(
+        M.what_if_scores(spark, logistic).alias("l"), "scenario"
+    )
+    rows = M.scenario_rows(spark)
+    walked = N.walked(rows, N.model_nodes(spark, done.run.model), "scenario").alias("w")
+    weighed = N.weighed(rows, N.model_coefficients(spark, logistic), "scenario").alias("c")
+    return told.join(walked, "scenario").join(weighed, "scenario").select(
+        "scenario",
+        (F.abs(F.col("b.p") - F.col("w.p")) < PLACES).alias("as_walked"),
+        (F.abs(F.col("l.p") - F.col("c.p")) < PLACES).alias("as_weighed"),
+    )
 
 
 @query
 def retrain_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact counts of both parts, and whether the metrics are those of the stored model, and
-    its held-out loss no higher than after one round. The labels follow no rule, so how
-    well a model can do has no bound that holds for few rows."""
+    """Exact counts of both parts; whether the metrics told are those of the probabilities
+    that the stored model's node table gives; and whether the model has learnt: over the
+    train part its weighted loss is below that of the part's made rate alone. The labels
+    follow no rule, so over held-out rows no such bound holds."""
     done = trained(spark, sf_dir)
     counts = done.features.groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), F.sum("label").cast("bigint").alias("made")
     )
-    _, model = artifacts.load_model(spark, [done.root])
-    again = X.score_shots(done.features.where("split = 'test'"), model)
+    version, _ = artifacts.load_model(spark, [done.root])
+    nodes = N.stored_nodes(spark, version.location)
+    walked = N.walked(done.features, nodes, "shot_key")
+    scored = written(
+        done.features.select("shot_key", "split", "label").join(walked, "shot_key"), "walked"
+    )
+    again = scored.where("split = 'test'")
     told = done.run.metrics.first()
     right = all(
-        abs(told[name] - report(again).first()[0]) < 1e-9
+        abs(told[name] - report(again).first()[0]) < PLACES
         for name, report in (
             ("accuracy", E.eval_accuracy),
             ("logloss", E.eval_logloss),
             ("brier", E.eval_brier),
             ("auc", E.eval_auc),
         )
-    ) and told["logloss"] > 0 and 0 <= told["brier"] <= 1 and 0 <= told["auc"] <= 1
-    right = right and done.run.losses[done.run.best_round - 1] <= done.run.losses[0]
-    return counts.withColumn("metrics_right", F.lit(right))
+    )
+    return counts.withColumns(
+        {
+            "metrics_right": F.lit(right),
+            "learnt": F.lit(has_learnt(scored.where("split = 'train'"))),
+        }
+    )
+
+
+def has_learnt(train: DataFrame) -> bool:
+    """Whether the class-weighted loss is below that of the weighted made rate, which is 1/2."""
+    weight = F.when(F.col("label") == 1, M.positive_weight(train)).otherwise(1.0)
+    own = F.when(F.col("label") == 1, F.col("p")).otherwise(1 - F.col("p"))
+    loss = F.sum(-weight * F.ln(own)) / F.sum(weight)
+    return train.agg(loss).first()[0] < math.log(2) - 1e-6
 
 
 # --------------------------------------------------------------------- streaming

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from swishline.sources.scratch import written
+
 # probabilities are kept this far from 0 and 1 before taking logarithms
 LOG_CLIP = 2.220446049250313e-16
-AUC_DIGITS = 9
 
 
 def class_balance(split_rows: DataFrame) -> DataFrame:
@@ -53,35 +54,34 @@ def eval_brier(scored: DataFrame) -> DataFrame:
     return scored.agg(_brier().alias("brier"))
 
 
-def eval_auc(scored: DataFrame, digits: int = AUC_DIGITS) -> DataFrame:
-    """Area under the ROC curve, ties counting half.
+def eval_auc(scored: DataFrame) -> DataFrame:
+    """Area under the ROC curve, exact: scores are compared as they are, ties count half.
 
-    Each positive counts the negatives that score lower: a running total over
-    all scores, which one ordered window would take in a single task. It is
-    taken in two steps of bounded size instead. Rows collapse to one count per
-    score (rounded to ``digits`` places); the scores fall into 10^(digits/2)
-    buckets and are accumulated within them; then the buckets, 10^(digits/2) + 1
-    rows at most, are accumulated.
+    Each positive counts the negatives that score lower: a running total over all
+    scores, which one ordered window would take in a single task. Instead rows collapse
+    to one count per score before they shuffle, the scores are dealt to tasks by ranges,
+    and totals run within the ranges; a row per range then says how many negatives lie
+    below it. The ranges are stored, since both steps must see the same ones.
     """
-    buckets = 10 ** (digits // 2)
-    per_score = scored.groupBy(F.round("p", digits).alias("score")).agg(
+    per_score = scored.groupBy(F.col("p").alias("score")).agg(
         F.sum("label").cast("double").alias("pos"),
         F.sum(1 - F.col("label")).cast("double").alias("neg"),
     )
-    bucketed = per_score.withColumn("bucket", F.floor(F.col("score") * buckets))
-
-    lower_scores = _before(Window.partitionBy("bucket").orderBy("score"))
-    per_bucket = (
-        bucketed.withColumn("below", lower_scores)
-        .groupBy("bucket")
+    ranges = per_score.repartitionByRange("score").withColumn("range", F.spark_partition_id())
+    lower_scores = _before(Window.partitionBy("range").orderBy("score"))
+    per_range = (
+        written(ranges, "auc_scores")
+        .withColumn("below", lower_scores)
+        .groupBy("range")
         .agg(
             F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2)).alias("wins"),
             F.sum("pos").alias("pos"),
             F.sum("neg").alias("neg"),
         )
     )
-    lower_buckets = _before(Window.partitionBy(F.lit(0)).orderBy("bucket"))
-    ranked = per_bucket.withColumn("below", lower_buckets)
+    # as many rows as there are tasks
+    lower_ranges = _before(Window.partitionBy(F.lit(0)).orderBy("range"))
+    ranked = per_range.withColumn("below", lower_ranges)
     wins = F.sum(F.col("wins") + F.col("pos") * F.col("below"))
     return ranked.agg(F.try_divide(wins, F.sum("pos") * F.sum("neg")).alias("auc"))
 

@@ -43,7 +43,7 @@ class Boosting:
 
 @dataclass(frozen=True)
 class Boosted:
-    """A fitted model, the held-out loss after each round, and the round it kept."""
+    """A fitted model, the held-out loss after each round fitted, and the round it kept."""
 
     model: PipelineModel
     losses: list[float]
@@ -90,19 +90,31 @@ def best_round(losses: list[float], patience: int) -> int:
     return best + 1
 
 
+def stops(rounds: int, patience: int) -> list[int]:
+    """Rounds of the fits to try one after the other: halves of ``rounds``, least first, as
+    long as patience can run out in them."""
+    found = [rounds]
+    while found[0] // 2 > patience:
+        found.insert(0, found[0] // 2)
+    return found
+
+
 def train_boosted(
     train: DataFrame, valid: DataFrame, settings: Boosting = Boosting(), impute: bool = False
 ) -> Boosted:
     """Boosted trees, cut at the round that did best on ``valid``.
 
-    Pass stored tables: every round reads the rows again where memory is short.
-    The cut model is made of the first trees of the fitted one.
+    Fits grow in stages, each of about twice the rounds of the last, until patience has
+    run out: with one seed the first trees are the same however many follow, so a
+    model whose best round is early never pays for the rounds after it. ``losses`` are
+    those of the last fit. Pass stored tables: every round reads the rows again where
+    memory is short. The cut model is made of the first trees of the fitted one.
     """
     use_checkpoints(train.sparkSession)
     stages = _prepared(train, impute)
     rows = _weighted(train, stages, positive_weight(train))
+    held_out = _weighted(valid, stages, 1.0)
     learner = GBTClassifier(
-        maxIter=settings.rounds,
         maxDepth=settings.depth,
         stepSize=settings.rate,
         subsamplingRate=settings.row_share,
@@ -110,10 +122,13 @@ def train_boosted(
         weightCol="weight",
         seed=settings.seed,
     )
-    fitted = learner.fit(rows)
-    losses = list(fitted.evaluateEachIteration(_weighted(valid, stages, 1.0)))
-    keep = best_round(losses, settings.patience)
-    if keep < settings.rounds:
+    for rounds in stops(settings.rounds, settings.patience):
+        fitted = learner.copy({learner.maxIter: rounds}).fit(rows)
+        losses = list(fitted.evaluateEachIteration(held_out))
+        keep = best_round(losses, settings.patience)
+        if len(losses) - keep >= settings.patience:
+            break
+    if keep < len(losses):
         fitted = shortened(fitted, keep)
     return Boosted(PipelineModel([*stages, fitted]), losses, keep)
 
@@ -161,7 +176,11 @@ def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
     return frame.orderBy(F.col("importance").desc(), "feature")
 
 
-def what_if_scores(spark: SparkSession, model: PipelineModel) -> DataFrame:
+def scenario_rows(spark: SparkSession) -> DataFrame:
     rows = [(name, *map(float, values)) for name, *values in SCENARIOS]
     schema = "scenario string, " + ", ".join(f"{name} double" for name in FEATURES)
-    return score_shots(spark.createDataFrame(rows, schema), model).select("scenario", "p")
+    return spark.createDataFrame(rows, schema)
+
+
+def what_if_scores(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    return score_shots(scenario_rows(spark), model).select("scenario", "p")

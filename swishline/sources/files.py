@@ -19,6 +19,14 @@ def values(spark: SparkSession, path: str, key: str) -> list[str]:
     return sorted(n.removeprefix(f"{key}=") for n in names if n.startswith(f"{key}="))
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder; none if it does not exist."""
+    system, folder = _at(spark, path)
+    if not system.exists(folder):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(folder) if s.isDirectory())
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """The names of the data files in a folder; none if it does not exist."""
     system, folder = _at(spark, path)

@@ -47,6 +47,20 @@ def test_auc_ignores_monotone_maps(scored):
     assert value(E.eval_auc(bent)) == pytest.approx(want)
 
 
+def test_scores_that_hardly_differ_are_told_apart(spark):
+    pairs = [(0.5 + i * 1e-12, i % 2) for i in range(40)]
+    frame = spark.createDataFrame(pairs, "p double, label int").repartition(5)
+    assert value(E.eval_auc(frame)) == brute_auc(pairs) != 0.5
+
+
+def test_no_window_of_the_auc_holds_all_scores(spark, scored):
+    """The one over everything reads a row per range, after an aggregate by range."""
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    plan = E.eval_auc(scored)._jdf.queryExecution().explainString(mode)
+    over_scores = [line for line in plan.splitlines() if "Window [" in line and "score" in line]
+    assert over_scores and all("[range#" in line for line in over_scores)
+
+
 def test_auc_extremes(spark):
     def auc(pairs):
         return value(E.eval_auc(spark.createDataFrame(pairs, "p double, label int")))

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from contract import bindings
+from contract import queries as contract
 from swishline.operators import evaluation as E
 from swishline.operators import model as M
+from swishline.operators import nodes as N
 from swishline.operators.scoring import score_shots
 from swishline.plans.retrain import feature_rows, rated_players, retrain, split_features
 from swishline.schemas import FEATURES
@@ -73,6 +75,98 @@ def test_a_shortened_model_is_the_fit_of_fewer_rounds(spark, split):
         assert got == [r[0] for r in again.transform(rows).select("probability").collect()]
 
 
+def test_fits_grow_in_stages():
+    assert M.stops(100, 10) == [12, 25, 50, 100]
+    assert M.stops(8, 10) == [8]
+    assert M.stops(40, 3) == [5, 10, 20, 40]
+
+
+def test_stages_keep_what_the_full_fit_cut_keeps(split, monkeypatch):
+    settings = M.Boosting(rounds=24, depth=3, patience=3, rate=0.9)
+    staged = M.train_boosted(*split, settings)
+    assert len(staged.losses) < 24  # patience ran out in an early stage
+    monkeypatch.setattr(M, "stops", lambda rounds, patience: [rounds])
+    full = M.train_boosted(*split, settings)
+    assert staged.best_round == full.best_round
+    assert staged.losses == full.losses[: len(staged.losses)]
+    both = [
+        [r["p"] for r in score_shots(split[1], m.model).orderBy("shot_key").collect()]
+        for m in (staged, full)
+    ]
+    assert both[0] == both[1]
+
+
+@pytest.fixture(scope="module")
+def boosted(split):
+    return M.train_boosted(*split, M.Boosting(rounds=6, depth=4))
+
+
+def probabilities(frame, key="shot_key"):
+    return {r[key]: r["p"] for r in frame.select(key, "p").collect()}
+
+
+def test_walked_nodes_give_the_model_probabilities(spark, split, boosted):
+    nodes = N.model_nodes(spark, boosted.model)
+    assert nodes.columns == N.NODES
+    want = probabilities(score_shots(split[1], boosted.model))
+    got = probabilities(N.walked(split[1], nodes, "shot_key"))
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    losses = {r["round"]: r["loss"] for r in N.losses_by_round(split[1], nodes, "shot_key").collect()}
+    assert [losses[i] for i in sorted(losses)] == pytest.approx(
+        boosted.losses[: boosted.best_round], abs=1e-12
+    )
+
+
+def test_a_pipeline_on_disk_has_the_same_nodes(spark, boosted, rows):
+    path = scratch_dir(spark, "pipeline")
+    boosted.model.write().save(path)
+    assert rows(N.stored_nodes(spark, path)) == rows(N.model_nodes(spark, boosted.model))
+
+
+def test_coefficients_give_the_logistic_probabilities(spark, split):
+    model = M.train_logistic(split[0])
+    want = probabilities(score_shots(split[1], model))
+    got = probabilities(N.weighed(split[1], N.model_coefficients(spark, model), "shot_key"))
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_a_broken_model_turns_the_checks_red(spark, split, boosted):
+    nodes = N.model_nodes(spark, boosted.model)
+    scored = score_shots(split[1], boosted.model).select("shot_key", "p")
+
+    def green(broken):
+        flags = contract.as_walked(scored, split[1], broken).select("as_walked").collect()
+        return all(r[0] for r in flags)
+
+    assert green(nodes)
+    weight = F.when(F.col("tree") == 1, F.col("weight") * 1.01).otherwise(F.col("weight"))
+    assert not green(nodes.withColumn("weight", weight))
+    assert not green(nodes.withColumn("threshold", F.col("threshold") + 1))
+    assert not green(nodes.where("tree > 0"))
+
+
+def test_rounds_are_judged_by_the_walk():
+    settings = M.Boosting(rounds=8, patience=2)
+    told, walked = [0.9, 0.7, 0.8, 0.75], {1: 0.9, 2: 0.7}
+
+    def red(losses, kept):
+        return [n for n, right in contract.judged_rounds(losses, kept, settings) if not right]
+
+    assert red(told, walked) == []
+    assert red([0.9, 0.71, 0.8, 0.75], walked) == [2]
+    assert red([0.9, 0.7, 0.6, 0.75], walked) == [3]
+    assert red(told[:3], walked) == [4]
+    assert red(told, {1: 0.7, 2: 0.7}) == [1]
+
+
+def test_learning_is_told_from_not_learning(spark, split, boosted):
+    learnt = score_shots(split[0], boosted.model)
+    assert contract.has_learnt(learnt)
+    assert not contract.has_learnt(learnt.withColumn("p", F.lit(0.5)))
+    assert not contract.has_learnt(learnt.withColumn("p", 1 - F.col("p")))
+
+
 def test_logistic_beats_chance_and_answers_scenarios(spark, split):
     model = M.train_logistic(split[0])
     assert E.eval_auc(score_shots(split[1], model)).first()[0] > 0.6
