@@ -7,6 +7,7 @@ the scan as a filter, or the newest stored time when the caller gives none.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -97,8 +98,23 @@ def grade_distribution_of(rows: DataFrame, weight: Column) -> DataFrame:
 
 def player_leaderboard(telemetry: DataFrame, n: int = TOP_PLAYERS) -> DataFrame:
     """Busiest players; equal counts are ordered by name."""
-    players = telemetry.groupBy("player_name").agg(
-        _rows().alias("shots"), F.avg("expected_points").alias("avg_xp")
+    return busiest(player_sums(telemetry), n)
+
+
+def player_sums(telemetry: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Shots, points and shots with points per player (and ``by``): sums that add up."""
+    return telemetry.groupBy(*by, "player_name").agg(
+        _rows().alias("shots"),
+        F.sum("expected_points").alias("points"),
+        F.count("expected_points").alias("scored"),
+    )
+
+
+def busiest(sums: DataFrame, n: int = TOP_PLAYERS) -> DataFrame:
+    """The leaderboard from ``player_sums`` of one or several parts."""
+    players = sums.groupBy("player_name").agg(
+        F.sum("shots").alias("shots"),
+        F.try_divide(F.sum("points"), F.sum("scored")).alias("avg_xp"),
     )
     return players.orderBy(F.col("shots").desc(), "player_name").limit(n)
 
@@ -161,28 +177,45 @@ def xp_by_distance(rows: DataFrame) -> DataFrame:
     return points.agg(_rows().alias("shots"), F.avg("expected_points").alias("avg_xp"))
 
 
-def zone_grades(
-    telemetry: DataFrame, latest: DataFrame, as_of: datetime | None = None
-) -> DataFrame:
-    """Shots, points, nearest distance and recent shots by zone and grade, in one pass.
+def sample_facts(latest: DataFrame) -> Column:
+    """Newest time and share of threes of the latest-n sample, as one scalar: however often
+    a query uses it, the sample is taken once."""
+    threes = _percent(_share_of(S.beyond_arc(F.col("shot_distance"))))
+    newest = F.max("created_at")
+    return latest.agg(F.struct(newest.alias("newest"), threes.alias("three_point_pct"))).scalar()
 
-    At most 15 rows, from which header, grades and zones follow. ``latest`` is the
-    latest-n sample, which tells the newest time if ``as_of`` does not.
-    """
-    now = latest.agg(F.max("created_at")).scalar() if as_of is None else F.lit(as_of)
+
+def _zone_columns() -> dict[str, Column]:
+    return {
+        "shots": _rows(),
+        "points": F.sum("expected_points"),
+        "scored": F.count("expected_points"),
+        "nearest": F.min("shot_distance"),
+    }
+
+
+def zone_sums(telemetry: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Shots, points and nearest distance by zone and grade (and ``by``): at most 15 rows
+    that add up."""
+    zone = S.zone(F.col("shot_distance")).alias("zone")
+    return telemetry.groupBy(*by, zone, "shot_grade").agg(
+        *[value.alias(name) for name, value in _zone_columns().items()]
+    )
+
+
+def zone_grades(telemetry: DataFrame, now: Column) -> DataFrame:
+    """``zone_sums`` and the shots of the five minutes before ``now``, in one pass: what
+    header, grades and zones follow from."""
     recent = F.col("created_at") >= now - F.expr("INTERVAL 5 MINUTES")
-    return telemetry.groupBy(S.zone(F.col("shot_distance")).alias("zone"), "shot_grade").agg(
-        _rows().alias("shots"),
-        F.sum("expected_points").alias("points"),
-        F.count("expected_points").alias("scored"),
-        F.min("shot_distance").alias("nearest"),
+    zone = S.zone(F.col("shot_distance")).alias("zone")
+    return telemetry.groupBy(zone, "shot_grade").agg(
+        *[value.alias(name) for name, value in _zone_columns().items()],
         F.count_if(recent).alias("recent_shots"),
     )
 
 
-def header(totals: DataFrame, latest: DataFrame) -> DataFrame:
-    """The header metrics in one row, from ``zone_grades`` and the latest-n sample."""
-    threes = latest.agg(_percent(_share_of(S.beyond_arc(F.col("shot_distance"))))).scalar()
+def header(totals: DataFrame, threes: Column) -> DataFrame:
+    """The header metrics in one row, from ``zone_grades`` and the sample's share of threes."""
     premium = F.sum(F.when(F.col("shot_grade") == "A", F.col("shots")).otherwise(0))
     total = F.coalesce(F.sum("shots"), F.lit(0))
     mean = F.try_divide(F.sum("points"), F.sum("scored"))
@@ -198,5 +231,6 @@ def dashboard_snapshot(
     telemetry: DataFrame, as_of: datetime | None = None, sample: int = SAMPLE_LIMIT
 ) -> DataFrame:
     """The header metrics in one row: one aggregate pass, plus the sample's top-n."""
-    latest = latest_n(telemetry, sample)
-    return header(zone_grades(telemetry, latest, as_of), latest)
+    facts = sample_facts(latest_n(telemetry, sample))
+    now = facts["newest"] if as_of is None else F.lit(as_of)
+    return header(zone_grades(telemetry, now), facts["three_point_pct"])

@@ -9,7 +9,8 @@ A day that is over is compacted: its batches are written once more as large file
 ``stream_id=compacted``, and a row per stream in ``<path>_compacted`` says up to which
 batch. Readers take compacted files and the later batches; files that are not listed
 yet, or no longer needed, are passed over, so nobody sees a day half done. The next
-compaction removes what the one before it has replaced. JDBC: plain append; a batch
+compaction removes what the one before it has replaced. What compaction has written is also
+rolled up (``rollups``), for reports that sum over all time. JDBC: plain append; a batch
 that is retried after a partial commit can repeat rows there.
 """
 
@@ -17,14 +18,17 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from swishline.operators import analytics as A
 from swishline.schemas import TELEMETRY, TELEMETRY_COLUMNS
-from swishline.sources import files
+from swishline.sources import files, rollups
 
 PLACE = ["created_date", "stream_id", "batch_id"]
 STORED = T.StructType(
@@ -149,9 +153,86 @@ def compact(spark: SparkSession, path: str, before: date) -> int:
         listing = spark.createDataFrame(entries, LISTED).coalesce(1)
         listing.write.mode("append").parquet(f"{path}_compacted")
         done += 1
+    roll_up(spark, path)
     return done
 
 
+def roll_up(spark: SparkSession, path: str) -> int:
+    """Roll up the compacted folders that have no roll-up yet; returns how many."""
+    path = path.rstrip("/")
+    missing = _compacted_places(spark, path) - rollups.stored(spark, path)
+    if missing:
+        places = [
+            f"{path}/created_date={day}/stream_id={COMPACTED}/batch_id={version}"
+            for day, version in sorted(missing)
+        ]
+        rows = spark.read.schema(STORED).option("basePath", path).parquet(*places)
+        rollups.store(rows.withColumnRenamed("batch_id", "version"), path)
+    return len(missing)
+
+
+def _compacted_places(spark: SparkSession, path: str) -> set[tuple[date, int]]:
+    """Day and version of the compacted folders that count: one per day and compaction."""
+    rows = _listed(spark, path).select("created_date", "version").distinct().collect()
+    return {(r["created_date"], r["version"]) for r in rows}
+
+
+@dataclass(frozen=True)
+class Split:
+    """A table as days that are read shot by shot and folders that are read rolled up."""
+
+    open_days: list[date]
+    rolled: set[tuple[date, int]]
+
+
+def split_days(spark: SparkSession, path: str) -> Split:
+    """Which days need their shots read: those with a batch that no compaction has taken, or
+    with a compacted folder that is not rolled up. Found by the names of files alone."""
+    path = path.rstrip("/")
+    upto: dict[tuple[date, str], int] = {}
+    for r in _listed(spark, path).groupBy("created_date", "stream_id").agg(
+        F.max("upto").alias("upto")
+    ).collect():
+        upto[r["created_date"], r["stream_id"]] = r["upto"]
+    compacted = _compacted_places(spark, path)
+    rolled = compacted & rollups.stored(spark, path)
+    open_days = {day for day, _ in compacted - rolled}
+    if stored_days(spark, path):
+        for file in _stored(spark, path).inputFiles():
+            day, stream, batch = (unquote(part.split("=", 1)[1]) for part in file.split("/")[-4:-1])
+            day, batch = date.fromisoformat(day), int(batch)
+            if stream != COMPACTED and batch > upto.get((day, stream), -1):
+                open_days.add(day)
+    return Split(sorted(open_days), {p for p in rolled if p[0] not in open_days})
+
+
+def read_days(spark: SparkSession, path: str, days: Sequence[date]) -> DataFrame:
+    """Stored rows of those days."""
+    return _current(spark, path, days).select(*TELEMETRY.fieldNames())
+
+
+def zone_sums_of_all_time(spark: SparkSession, path: str, split: Split) -> DataFrame:
+    """``analytics.zone_sums`` of the table: roll-ups, and the shots of open days."""
+    parts = A.zone_sums(read_days(spark, path, split.open_days)).unionByName(
+        rollups.read(spark, path, rollups.ZONES, split.rolled).select(
+            "zone", "shot_grade", "shots", "points", "scored", "nearest"
+        )
+    )
+    return parts.groupBy("zone", "shot_grade").agg(
+        *[F.sum(c).alias(c) for c in ("shots", "points", "scored")],
+        F.min("nearest").alias("nearest"),
+    )
+
+
+def player_sums_of_all_time(spark: SparkSession, path: str, split: Split) -> DataFrame:
+    """``analytics.player_sums`` by parts of the table: roll-ups, and the shots of open days."""
+    return A.player_sums(read_days(spark, path, split.open_days)).unionByName(
+        rollups.read(spark, path, rollups.PLAYERS, split.rolled).select(
+            "player_name", "shots", "points", "scored"
+        )
+    )
+
+
 def _upto(listed: DataFrame, day: date) -> DataFrame:
     own = listed.where(F.col("created_date") == F.lit(day))
     return own.groupBy("stream_id").agg(F.max("upto").alias("upto"))
@@ -182,11 +263,47 @@ def read_newest_days(spark: SparkSession, path: str, n: int) -> DataFrame:
     return read_telemetry(spark, path)
 
 
-def read_telemetry_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
-    """Telemetry from a database. Pass partitionColumn, bounds and numPartitions
-    to read in parallel; filters and column choice are pushed to the database."""
+JDBC_KEY = "id"
+ROWS_PER_READ = 1_000_000
+
+
+def read_telemetry_jdbc(
+    spark: SparkSession, url: str, table: str, rows_per_read: int = ROWS_PER_READ, **options: str
+) -> DataFrame:
+    """Telemetry from a database, read by ranges of its serial key in parallel.
+
+    The key's least and largest values come first, from a query that the database answers
+    by its index. Filters and column choice are pushed to the database too. Options that
+    name a partitionColumn are used as they are.
+    """
+    if "partitionColumn" not in options:
+        ends = spark.read.format("jdbc").options(
+            url=url, dbtable=key_ends_query(table), **options
+        ).load().first()
+        options |= key_ranges(ends[0], ends[1], rows_per_read)
     rows = spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
-    return scan_telemetry(rows.withColumn("shot_id", F.col("id").cast("string")))
+    return scan_telemetry(rows.withColumn("shot_id", F.col(JDBC_KEY).cast("string")))
+
+
+def key_ends_query(table: str) -> str:
+    """A subquery with the least and the largest key of a table, in place of its name."""
+    return f"(SELECT MIN({JDBC_KEY}) AS least, MAX({JDBC_KEY}) AS most FROM {table}) AS ends"
+
+
+def key_ranges(least: int | None, most: int | None, rows_per_read: int) -> dict[str, str]:
+    """Options that cut a read into equal ranges of the key, one for about so many rows.
+
+    None for an empty table, or one that a single range holds: a plain read does.
+    """
+    if least is None or most - least < rows_per_read:
+        return {}
+    count = -(-(most - least + 1) // rows_per_read)
+    return {
+        "partitionColumn": JDBC_KEY,
+        "lowerBound": str(least),
+        "upperBound": str(most + 1),
+        "numPartitions": str(count),
+    }
 
 
 def scan_telemetry(telemetry: DataFrame) -> DataFrame:
