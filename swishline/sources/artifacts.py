@@ -4,7 +4,8 @@
 listed. ``<root>/manifest`` is an append-only table with one row per published
 version; a reader takes the newest row, so it sees a whole artifact or the
 previous one, never a half-written one. Paths in it are relative to the root, which may
-therefore be copied, or mounted elsewhere.
+therefore be copied, or mounted elsewhere. ``expire`` removes versions that nothing needs
+any more and folds the manifest into one file.
 """
 
 from __future__ import annotations
@@ -22,10 +23,15 @@ from pyspark.sql import types as T
 
 from swishline.operators.lookup import RatingTable
 from swishline.schemas import RATINGS
+from swishline.sources import files
 
 log = logging.getLogger(__name__)
 
 TRIED_VERSIONS = 20
+# versions that load are kept at least: the one in use and those it may fall back to
+KEPT_VERSIONS = 3
+# a reader may hold a version this long after a newer one has come
+GRACE_SECONDS = 24 * 3600
 STORED_RATINGS = [*RATINGS.fieldNames(), "total"]
 RATINGS_NAME, MODEL_NAME = "player_ratings", "model"
 
@@ -73,20 +79,89 @@ def load_ratings(
 ) -> tuple[Version, RatingTable] | None:
     """Newest non-empty ratings from the first root that has any; None if that is ``current``."""
 
-    def load(path: str) -> RatingTable:
+    return _first_loadable(spark, roots, RATINGS_NAME, _loader(spark, RATINGS_NAME), current)
+
+
+def _loader(spark: SparkSession, name: str) -> Callable[[str], Loaded]:
+    """What turns the folder of a version into the artifact, or fails."""
+
+    def ratings(path: str) -> RatingTable:
         table = RatingTable.measured(spark.read.parquet(path).select(*STORED_RATINGS))
         if table.rows == 0:
             raise ValueError("no ratings in it")
         return table
 
-    return _first_loadable(spark, roots, RATINGS_NAME, load, current)
+    return ratings if name == RATINGS_NAME else PipelineModel.load
 
 
 def load_model(
     spark: SparkSession, roots: Sequence[str], current: Version | None = None
 ) -> tuple[Version, PipelineModel] | None:
     """Newest model from the first root that has one; None if that is ``current``."""
-    return _first_loadable(spark, roots, MODEL_NAME, PipelineModel.load, current)
+    return _first_loadable(spark, roots, MODEL_NAME, _loader(spark, MODEL_NAME), current)
+
+
+def expire(
+    spark: SparkSession,
+    root: str,
+    keep: int = KEPT_VERSIONS,
+    grace_seconds: float = GRACE_SECONDS,
+) -> int:
+    """Remove old versions of both artifacts and fold the manifest; returns how many went.
+
+    Of each artifact, the newest versions stay down to the ``keep``-th that loads, so the
+    one that a reader uses and the ones it may fall back to are never among those
+    removed; nor is one whose successor is younger than the grace. The manifest is written
+    anew before the files it replaces go, so a reader finds every version that stays at
+    any time. What publishers list meanwhile is left alone, and so are folders that are
+    young and not listed yet. Call it once a day, from one place.
+    """
+    root = root.rstrip("/")
+    manifest = f"{root}/manifest"
+    old = files.names(spark, manifest)
+    if not old:
+        return 0
+    rows = spark.read.schema(MANIFEST).parquet(*[f"{manifest}/{n}" for n in old])
+    listed: dict[str, list[Version]] = {}
+    for row in rows.distinct().orderBy(F.col("version").desc()).collect():
+        listed.setdefault(row["name"], []).append(Version(**row.asDict(), root=root))
+    oldest = time.time_ns() // 1000 - int(grace_seconds * 1e6)
+    kept: list[Version] = []
+    for name, versions in listed.items():
+        kept += _needed(spark, name, versions, keep, oldest)
+    if len(old) > 1 or len(kept) < sum(map(len, listed.values())):
+        entries = [(v.name, v.version, v.path) for v in kept]
+        spark.createDataFrame(entries, MANIFEST).coalesce(1).write.mode("append").parquet(manifest)
+        for file in old:
+            files.remove(spark, f"{manifest}/{file}")
+    needed, gone = {v.location for v in kept}, 0
+    for name in listed:
+        for folder in files.folders(spark, f"{root}/{name}"):
+            # the name of a folder is the time of its publication
+            stale = folder.isdigit() and int(folder) < oldest
+            if stale and f"{root}/{name}/{folder}" not in needed:
+                files.remove(spark, f"{root}/{name}/{folder}")
+                gone += 1
+    return gone
+
+
+def _needed(
+    spark: SparkSession, name: str, versions: list[Version], keep: int, oldest: int
+) -> list[Version]:
+    """The versions, newest first, that stay."""
+    load, loadable, kept = _loader(spark, name), 0, []
+    for i, entry in enumerate(versions):
+        superseded = i > 0 and versions[i - 1].version < oldest
+        if loadable >= keep and superseded:
+            break
+        kept.append(entry)
+        try:
+            if loadable < keep:
+                load(entry.location)
+                loadable += 1
+        except Exception as error:
+            log.warning("%s %s: %s", name, entry.location, str(error).splitlines()[:1])
+    return kept
 
 
 def newest_versions(spark: SparkSession, root: str, name: str) -> list[Version]:

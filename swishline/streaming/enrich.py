@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import replace
 from functools import cache
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -108,7 +109,7 @@ def stream_enrich(
         counted = decoded.observe(seen, F.count_if(~is_readable()).alias("unreadable"))
         scored = scorer.score(readable(counted), F.col("taken_at") if at_batch else created_at)
         sink(scored, telemetry_path, batch_id, own_id())
-        if seen.get["unreadable"]:
+        if _any_unreadable(seen):
             rejects = unreadable(decoded).drop("taken_at")
             rejects.write.mode("overwrite").parquet(batch_folder(rejects_path, own_id(), batch_id))
 
@@ -118,6 +119,15 @@ def stream_enrich(
     return writer.trigger(**(trigger or TRIGGER)).start()
 
 
+def _any_unreadable(seen: Observation) -> bool:
+    """What the observation has counted. Of a batch without one readable message nothing is
+    stored, and adaptive execution may drop its plan together with the count: then yes."""
+    try:
+        return bool(seen.get["unreadable"])
+    except Py4JJavaError:
+        return True
+
+
 def skip_history(messages: DataFrame, checkpoint: str) -> None:
     """Mark everything published so far as taken, without reading it.
 

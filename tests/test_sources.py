@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import shutil
+import time
 from datetime import datetime
 
 import pytest
@@ -154,6 +155,58 @@ def test_a_copied_root_stands_alone(spark, plays):
     assert artifacts.load_ratings(spark, [f"{root}-copy"])[1].rows == 3
 
 
+def stored_files(root):
+    return sum(len(names) for _, _, names in os.walk(root))
+
+
+def test_a_hundred_publications_leave_few_files(spark, plays):
+    root = scratch_dir(spark, "a")
+    ratings = player_skill(player_totals(plays)).limit(3).persist()
+    first = artifacts.publish_ratings(ratings, root)
+    rows = []
+    for i in range(1, 100):  # a publication is a folder and a file of the manifest
+        shutil.copytree(first.location, f"{root}/player_ratings/{first.version + i}")
+        rows.append(("player_ratings", first.version + i, f"player_ratings/{first.version + i}"))
+    for part in range(99):
+        frame = spark.createDataFrame(rows[part : part + 1], artifacts.MANIFEST)
+        if part % 33 == 0:
+            frame = spark.createDataFrame(rows[part : part + 33], artifacts.MANIFEST)
+            frame.repartition(33).write.mode("append").parquet(f"{root}/manifest")
+    before = stored_files(root)
+    assert artifacts.expire(spark, root) == 0  # all of them are young
+    assert artifacts.expire(spark, root, grace_seconds=-60) == 97
+    assert stored_files(root) < 30 < before
+    version, table = artifacts.load_ratings(spark, [root])
+    assert version.version == first.version + 99 and table.rows == 3
+    assert len(artifacts.newest_versions(spark, root, "player_ratings")) == 3
+    assert artifacts.expire(spark, root, grace_seconds=-60) == 0
+
+
+def test_the_version_in_use_outlives_broken_newer_ones(spark, plays):
+    root = scratch_dir(spark, "a")
+    ratings = player_skill(player_totals(plays))
+    old = artifacts.publish_ratings(ratings.limit(2), root)
+    used = artifacts.publish_ratings(ratings.limit(3), root)
+    rows = [("player_ratings", used.version + i, f"player_ratings/{used.version + i}") for i in (1, 2, 3)]
+    spark.createDataFrame(rows, artifacts.MANIFEST).write.mode("append").parquet(f"{root}/manifest")
+    assert artifacts.expire(spark, root, keep=1, grace_seconds=-60) == 1
+    version, table = artifacts.load_ratings(spark, [root])
+    assert version == used and table.rows == 3
+    assert not os.path.exists(old.location)
+
+
+def test_a_version_that_was_just_replaced_stays(spark, plays):
+    root = scratch_dir(spark, "a")
+    ratings = player_skill(player_totals(plays))
+    versions = [artifacts.publish_ratings(ratings.limit(n), root) for n in (1, 2, 3)]
+    # the oldest has been replaced long ago by these clocks, the middle one just now
+    grace = (versions[2].version - versions[1].version) / 2e6
+    now = versions[2].version / 1e6
+    artifacts.expire(spark, root, keep=1, grace_seconds=time.time() - now + grace)
+    assert [os.path.exists(v.location) for v in versions] == [False, True, True]
+    assert artifacts.expire(spark, scratch_dir(spark, "none")) == 0
+
+
 def test_csv_follows_the_usual_quoting(spark, tmp_path):
     header = "game_id,eventmsgtype,period,pctimestring,homedescription,visitordescription,player1_name"
     awkward = 'O""Neal 5\' Layup, ""alley"" oop'
