@@ -50,7 +50,7 @@ def sample(docs: DataFrame, t: Training) -> DataFrame:
     Each row passes by itself, at a rate from its language's count: no sorting and no
     group of a language in one task. The trainer cuts what is above the bound.
     """
-    labelled = docs.where(
+    labelled = docs.select("doc_id", "lang", "text").where(
         F.col("lang").isNotNull()
         & F.col("text").isNotNull()
         & F.col("doc_id").isNotNull()

@@ -72,10 +72,13 @@ WITH split AS (
     m * (1 - m) / greatest(squares - m * m - m * (1 - m) * each, 1e-12) - 1, 1), 10000) AS strength
   FROM moments
 ), verdicts AS (
-  SELECT host, (k + m * strength) / (n + strength) AS rate FROM hosts, prior
+  SELECT host, n, strength, (k + m * strength) / (n + strength) AS rate,
+    least(greatest(2 * m, 0.25), 0.8) AS most
+  FROM hosts, prior
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND rate <= 0.8 AS kept, judged.host
+  NOT base_failed AND rate - 3 * sqrt(rate * (1 - rate) / (n + strength + 1)) <= most AS kept,
+  judged.host
 FROM judged LEFT JOIN verdicts ON judged.host IS NOT DISTINCT FROM verdicts.host
 """
 

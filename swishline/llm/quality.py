@@ -1,9 +1,11 @@
 """Quality rules by document and by host.
 
 The base rules judge a document by itself. A host's share of failing documents is
-shrunk towards that of all hosts with a beta prior fitted to the hosts' shares, so a
-host with few documents needs more than bad luck to be turned down. Its verdict then
-goes back to its documents.
+shrunk towards that of all hosts with a beta prior fitted to the hosts' shares, and the
+host is turned down if even a low estimate of its rate, some deviations of its posterior
+below the mean, is well above the rate of all documents: so a host needs more than bad
+luck, and corpora that fail alike everywhere lose no host. Its verdict then goes back to
+its documents.
 """
 
 from __future__ import annotations
@@ -31,12 +33,17 @@ _IS_SYMBOL[list(SYMBOLS.encode())] = True
 
 @dataclass(frozen=True)
 class Rules:
-    """``min_words`` and ``max_repeat_percent``: base rules. ``max_host_rate``: a host whose
-    shrunk share of failing documents is above it loses all of its documents."""
+    """``min_words`` and ``max_repeat_percent``: base rules. A host loses all of its documents
+    if its rate of failing ones, estimated ``deviations`` below the posterior mean, is above
+    ``times`` the rate of all documents; that limit is kept between ``least_host_rate``,
+    below which no host is turned down, and ``most_host_rate``, above which all are."""
 
     min_words: int = 50
     max_repeat_percent: int = 50
-    max_host_rate: float = 0.8
+    deviations: float = 3.0
+    times: float = 2.0
+    least_host_rate: float = 0.25
+    most_host_rate: float = 0.8
 
 
 def _measures(column: pa.Array) -> dict[str, np.ndarray]:
@@ -70,8 +77,9 @@ def with_base(measures: DataFrame, rules: Rules) -> DataFrame:
     return measures.withColumn("base_failed", failed)
 
 
-def host_rates(judged: DataFrame, host: str) -> DataFrame:
-    """Documents, failures and shrunk rate by host. Documents without a host are one host.
+def host_rates(judged: DataFrame, host: str, rules: Rules = Rules()) -> DataFrame:
+    """Documents, failures, shrunk rate and ``failed`` by host. Documents without a host are
+    one host.
 
     The prior beta(a, b) has the mean and the variance, beyond that of chance, of the
     hosts' shares (method of moments): with m the share of all documents and v the
@@ -90,13 +98,17 @@ def host_rates(judged: DataFrame, host: str) -> DataFrame:
         F.count(F.lit(1)).alias("hosts"),
     ).first()
     if not total["n"]:
-        return hosts.withColumn("rate", F.lit(0.0))
+        return hosts.withColumns({"rate": F.lit(0.0), "failed": F.lit(False)})
     m = total["k"] / total["n"]
     spread = total["squares"] / total["n"] - m * m
     chance = m * (1 - m) * total["hosts"] / total["n"]
     v = max(spread - chance, 1e-12)
     strength = min(max(m * (1 - m) / v - 1, 1.0), 10_000.0)
-    return hosts.withColumn("rate", (k + m * strength) / (n + strength))
+    rate = (k + m * strength) / (n + strength)
+    deviation = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (n + strength + 1))
+    limit = min(max(rules.times * m, rules.least_host_rate), rules.most_host_rate)
+    low = F.col("rate") - rules.deviations * deviation
+    return hosts.withColumn("rate", rate).withColumn("failed", low > limit)
 
 
 def quality_verdicts(
@@ -104,18 +116,18 @@ def quality_verdicts(
 ) -> DataFrame:
     """One row per row of ``docs``: key, measures, base_failed, host, host_rate, kept.
 
-    ``kept``: passes the base rules, and its host's shrunk rate is at most
-    ``rules.max_host_rate``. Null and empty texts have no words and fail; a null key
-    stays null; repeated rows count each time; other columns are left out.
+    ``kept``: passes the base rules, and its host is not turned down. Null and empty texts
+    have no words and fail; a null key stays null; repeated rows count each time; other
+    columns are left out.
     """
     carried = docs.select(F.col(key), F.col(host).cast("string").alias("host"), "text")
     judged = written(with_base(measured(carried, key, "host"), rules), "quality")
-    verdicts = host_rates(judged, "host").select(
-        F.col("host").alias("verdict_host"), F.col("rate").alias("host_rate")
+    verdicts = host_rates(judged, "host", rules).select(
+        F.col("host").alias("verdict_host"), F.col("rate").alias("host_rate"), "failed"
     )
     verdicts = lookup_side(written(verdicts, "verdicts"))
     joined = judged.join(verdicts, F.col("host").eqNullSafe(F.col("verdict_host")), "left")
-    kept = ~F.col("base_failed") & (F.col("host_rate") <= rules.max_host_rate)
+    kept = ~F.col("base_failed") & ~F.col("failed")
     return joined.select(key, *MEASURES, "base_failed", kept.alias("kept"), "host", "host_rate")
 
 

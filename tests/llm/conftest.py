@@ -39,7 +39,12 @@ def odd_documents(spark):
         (9, "a  b \n c　d\n\n", "fr", "c", 5),
     ]
     frame = spark.createDataFrame(rows, DOCS)
-    extra = {c: "1" for c in ("score", "n", "label", "bucket", "row", "rank", "host", "kept", "slot")}
+    # names that the operators themselves use for columns
+    names = """score n label bucket row rank host kept slot of_lang all lang_pred held_out rate
+      failed host_rate verdict_host base_failed n_words row_key component_id class_id n_shingles gram
+      mix_slot mix_order mix_block mix_place source_key before piece start length ids sequence_id
+      segment term counts numbers leaf tampered part size copies place node"""
+    extra = {c: "1" for c in names.split()}
     from pyspark.sql import functions as F
 
     return frame.withColumns({k: F.lit(v) for k, v in extra.items()})

@@ -4,11 +4,14 @@ import collections
 import random
 import re
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from contract.check import difference
 
 from swishline.llm import language, ngram_join, quality, words
+from swishline.llm.queries import ORACLE_SQL, QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -62,6 +65,42 @@ def test_a_failing_host_loses_its_documents(spark):
     assert quality.quality_verdicts(docs.limit(0)).collect() == []
 
 
+def hosts_that_differ():
+    """19 hosts of which a tenth fails, one of which half does, and two with few documents."""
+    good = " ".join(f"w{i}" for i in range(60))
+    rows = []
+    for host in range(20):
+        for i in range(100):
+            fails = i % 2 == 0 if host == 7 else i % 10 == 0
+            rows.append((1000 * host + i, "short" if fails else f"{good} {i}", f"h{host}"))
+    rows += [(90_000 + i, "short" if i else f"{good} a", "few") for i in range(4)]
+    return rows + [(99_000, f"{good} b", None)]
+
+
+def test_a_host_is_judged_against_all_others(spark, tmp_path):
+    rows = hosts_that_differ()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    verdicts = quality.quality_verdicts(docs).collect()
+    lost = {r["host"] for r in verdicts if not r["kept"] and not r["base_failed"]}
+    assert lost == {"h7"}
+    assert {r["doc_id"] for r in verdicts if r["kept"]} >= {90_000, 99_000}
+    # the same by the query and its SQL, with documents on both sides of the verdict
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    connection = duckdb.connect()
+    connection.execute(
+        f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')"
+    )
+    found = QUERIES["op7_quality_rules"](spark, str(tmp_path))
+    assert difference(found, connection, ORACLE_SQL["op7_quality_rules"]) is None
+
+
+def test_hosts_that_all_fail_alike_lose_nothing_more(spark):
+    good = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, "short" if i % 3 == 0 else f"{good} {i}", f"h{i % 7}") for i in range(2100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    assert quality.accepted(docs).count() == 1400
+
+
 def test_quality_handles_odd_rows(odd_documents):
     assert quality.quality_verdicts(odd_documents).count() == odd_documents.count()
     kept = quality.accepted(odd_documents, quality.Rules(min_words=0, max_repeat_percent=100))
