@@ -84,10 +84,11 @@ FROM judged LEFT JOIN verdicts ON judged.host IS NOT DISTINCT FROM verdicts.host
 
 TOP_K = r"""
 WITH whole AS (
-  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  SELECT vec_id, min([floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding]) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+  GROUP BY vec_id
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
   FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id

@@ -1,14 +1,16 @@
 """Exact k highest inner products: a join of Voronoi cells with bounds from summaries.
 
-A bounded sample gives pivots; every vector, query or candidate, goes to the cell of its
-nearest pivot, and a large cell is cut into blocks of bounded size. For a query cell
-with pivot p and radius R, and a data cell with pivot o and radius r, every score lies
-within  p.o -/+ (|p| r + R |o| + R r). The lower bounds of all data cells, with their
-row counts, give each query cell a score that its k-th best cannot fall below; data
-cells whose upper bound is below it are left out. The same is done again for each query
-and the blocks of the cells that remain, with its own vector for p and R = 0. Queries,
-the smaller side, travel to the blocks that are left; each block answers once, and the
-answers are merged by query.
+A sample gives pivots, more for more data up to a bound; every vector, query or candidate,
+goes to the cell of its nearest pivot. For a query cell with pivot p and radius R, and a
+data cell with pivot o and radius r, every score lies within  p.o -/+ (|p| r + R |o| + R r).
+The lower bounds of all data cells, with their row counts, give each query cell a score
+that its k-th best cannot fall below; data cells whose upper bound is below it are left
+out. The same is done again for each query, with its own vector for p and R = 0. Only
+these summaries, a row per cell, are sent to all tasks.
+
+Queries, the smaller side, travel to the cells that are left. A cell is cut into blocks, and
+queries into chunks, of bounded size: a task solves one chunk against one block. The best of
+all blocks are merged by query, in rounds of bounded groups.
 """
 
 from __future__ import annotations
@@ -17,111 +19,130 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from swishline.sources.scratch import written
 
+FOUND = "query_id bigint, vec_id bigint, score bigint"
+EXACT_DOUBLE, LARGEST = 2**53, 2**63 - 1
+
 
 @dataclass(frozen=True)
 class Search:
-    """``pivots``: at most so many cells, from a sample by hash of about ``4 * pivots`` rows.
-    ``block_rows``: about so many vectors in a block."""
+    """``pivots``: a cell for about ``block_rows`` vectors, between ``least_pivots`` and
+    ``most_pivots``, from a sample by hash of about four times as many rows. A block has
+    about ``block_rows`` vectors and a chunk at most ``chunk_rows`` queries; answers of
+    about ``fan_in`` blocks are merged at once."""
 
     k: int = 5
     scale: int = 256
     query_every: int = 50
-    pivots: int = 64
+    least_pivots: int = 64
+    most_pivots: int = 4096
     block_rows: int = 4096
+    chunk_rows: int = 4096
+    fan_in: int = 1024
     seed: int = 11
 
 
 def usable(vectors: DataFrame, scale: int) -> DataFrame:
-    """vec_id and the components as floor(scale * x), of rows that hold finite numbers only.
+    """vec_id and ``v``, the components as floor(scale * x), of rows that hold finite numbers only.
 
-    Rows with a null id, a null or empty vector, or a null, NaN or infinite component
-    take no part. Of rows that repeat an id with an equal vector, one takes part.
+    Rows with a null id, a null or empty vector, or a component that is null, NaN or
+    infinite, before or after scaling, take no part. An id that several rows have stands
+    for the least of their vectors. Shorter vectors count as filled up with zeros.
     """
-    x = F.col("embedding").cast("array<double>")
-    finite = F.forall(
-        x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
-    )
+    x = F.transform(F.col("embedding").cast("array<double>"), lambda v: v * F.lit(float(scale)))
+    infinite = F.lit(float("inf"))
+    finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < infinite))
     kept = vectors.where(F.col("vec_id").isNotNull() & x.isNotNull() & (F.size(x) > 0) & finite)
-    whole = F.transform(x, lambda v: F.floor(v * F.lit(float(scale))).cast("double"))
-    return kept.select(F.col("vec_id").cast("bigint"), whole.alias("v")).dropDuplicates()
+    # whole numbers beyond 64 bits, and as doubles
+    whole = F.transform(x, lambda v: F.when(F.abs(v) < 2.0**52, F.floor(v).cast("double")).otherwise(v))
+    kept = kept.select(F.col("vec_id").cast("bigint"), whole.alias("v"))
+    kept = kept.groupBy("vec_id").agg(F.min("v").alias("v"))
+    width = kept.agg(F.max(F.size("v"))).scalar()
+    zeros = F.array_repeat(F.lit(0.0), width - F.size("v"))
+    return kept.select("vec_id", F.concat("v", zeros).alias("v"))
 
 
 def _matrix(column: pd.Series, width: int) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64).reshape(-1, width)
 
 
-def _exact(products: np.ndarray, limit: float) -> np.ndarray:
-    """Scores as whole numbers; sums of products below 2**53 are exact in doubles."""
-    if limit >= 2**53:
-        raise ValueError("components are too large for exact scores")
-    return products.astype(np.int64)
+def scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products of rows of whole numbers, exact. One that 64 bits cannot hold counts as
+    the largest or least number that they hold."""
+    limit = float(np.abs(q).max()) * float(np.abs(x).max()) * x.shape[1]
+    if limit < EXACT_DOUBLE:  # sums of such products are exact in doubles
+        return (q @ x.T).astype(np.int64)
+    if limit < 2.0**62:
+        return q.astype(np.int64) @ x.astype(np.int64).T
+    a, b = (np.array([[int(v) for v in row] for row in m], object) for m in (q, x))
+    return np.clip(a @ b.T, -LARGEST - 1, LARGEST).astype(np.int64)
 
 
-def pivots_of(vectors: DataFrame, s: Search) -> np.ndarray:
-    """Up to ``s.pivots`` vectors far from each other, of a bounded sample by hash."""
-    count = vectors.count()
-    rate = min(1.0, 4 * s.pivots / max(count, 1))
+def pivots_of(vectors: DataFrame, count: int, s: Search) -> np.ndarray:
+    """Vectors far from each other, of a bounded sample by hash."""
+    wanted = min(max(s.least_pivots, count // s.block_rows), s.most_pivots)
+    rate = min(1.0, 4 * wanted / max(count, 1))
     draw = F.pmod(F.xxhash64("vec_id", F.lit(s.seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = vectors.where(draw <= rate).orderBy("vec_id").limit(16 * s.pivots).collect()
+    rows = vectors.where(draw <= rate).orderBy("vec_id").limit(16 * wanted).collect()
     if not rows:
         rows = vectors.limit(1).collect()
     if not rows:
         return np.zeros((0, 1))
     sample = np.array([r["v"] for r in rows], np.float64)
-    chosen = [0]
-    far = ((sample - sample[0]) ** 2).sum(axis=1)
-    while len(chosen) < s.pivots and far.max() > 0:
-        chosen.append(int(far.argmax()))
-        far = np.minimum(far, ((sample - sample[chosen[-1]]) ** 2).sum(axis=1))
+    with np.errstate(over="ignore", invalid="ignore"):
+        chosen = [0]
+        far = ((sample - sample[0]) ** 2).sum(axis=1)
+        while len(chosen) < wanted and far.max() > 0:
+            chosen.append(int(far.argmax()))
+            far = np.minimum(far, ((sample - sample[chosen[-1]]) ** 2).sum(axis=1))
     return sample[chosen]
 
 
-def with_cells(vectors: DataFrame, pivots: np.ndarray, buckets: int) -> DataFrame:
-    """With the nearest pivot's cell, the distance to it and a bucket within the cell."""
+def with_cells(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """With the nearest pivot's cell and the distance to it."""
+    shared = vectors.sparkSession.sparkContext.broadcast(pivots)
 
     def near(parts):
+        points = shared.value
         for rows in parts:
-            x = _matrix(rows["v"], pivots.shape[1])
-            square = (x**2).sum(axis=1)[:, None] - 2 * x @ pivots.T + (pivots**2).sum(axis=1)
-            cell = square.argmin(axis=1)
-            far = np.sqrt(((x - pivots[cell]) ** 2).sum(axis=1))
+            x = _matrix(rows["v"], points.shape[1])
+            with np.errstate(over="ignore", invalid="ignore"):
+                square = (x**2).sum(axis=1)[:, None] - 2 * x @ points.T + (points**2).sum(axis=1)
+                cell = np.nan_to_num(square, nan=np.inf).argmin(axis=1)
+                far = np.sqrt(((x - points[cell]) ** 2).sum(axis=1))
             yield rows.assign(cell=cell.astype(np.int32), far=far)
 
-    cells = vectors.mapInPandas(near, "vec_id bigint, v array<double>, cell int, far double")
-    return cells.withColumn("bucket", F.pmod(F.xxhash64("vec_id"), F.lit(buckets)).cast("int"))
+    return vectors.mapInPandas(near, "vec_id bigint, v array<double>, cell int, far double")
 
 
 def _summaries(cells: DataFrame) -> pd.DataFrame:
-    """Rows and radius by block: one row per block, made before the shuffle."""
-    found = cells.groupBy("cell", "bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.max("far").alias("radius")
-    )
-    return found.orderBy("cell", "bucket").toPandas()
+    """Rows and radius by cell: at most ``most_pivots`` rows, made before the shuffle."""
+    found = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("radius"))
+    return found.orderBy("cell").toPandas()
 
 
 def cells_needed(
-    queries: pd.DataFrame, data: pd.DataFrame, pivots: np.ndarray, k: int
-) -> list[tuple[int, int]]:
-    """(query cell, data cell) that the bounds do not rule out; at most pivots squared."""
-    radii = queries.groupby("cell")["radius"].max()
-    cells = data.groupby("cell").agg(n=("n", "sum"), radius=("radius", "max"))
-    o, r, n = pivots[cells.index], cells["radius"].to_numpy(), cells["n"].to_numpy()
+    queries: pd.DataFrame, cells: pd.DataFrame, pivots: np.ndarray, k: int
+) -> dict[int, np.ndarray]:
+    """By query cell, the places in ``cells`` that the bounds do not rule out."""
+    o, r, n = pivots[cells["cell"]], cells["radius"].to_numpy(), cells["n"].to_numpy()
     size = np.sqrt((o**2).sum(axis=1))
-    p, big = pivots[radii.index], radii.to_numpy()[:, None]
+    p, big = pivots[queries["cell"]], queries["radius"].to_numpy()[:, None]
     slack = np.sqrt((p**2).sum(axis=1))[:, None] * r + big * size + big * r
     keep = _not_ruled_out(p @ o.T, slack, n, k)
-    return [(int(radii.index[i]), int(cells.index[j])) for i, j in np.argwhere(keep)]
+    return {int(c): np.flatnonzero(own) for c, own in zip(queries["cell"], keep, strict=True)}
 
 
 def _not_ruled_out(middle: np.ndarray, slack: np.ndarray, n: np.ndarray, k: int) -> np.ndarray:
     """By row: groups of ``n`` vectors, with scores middle -/+ slack, that may hold a best k."""
-    slack = slack * (1 + 1e-9) + 1e-6
-    low, high = middle - slack, middle + slack
+    slack = slack * (1 + 1e-9) + np.abs(middle) * 1e-9 + 1e-6
+    with np.errstate(over="ignore", invalid="ignore"):
+        low = np.nan_to_num(middle - slack, nan=-np.inf, neginf=-np.inf, posinf=np.inf)
+        high = np.nan_to_num(middle + slack, nan=np.inf, neginf=-np.inf, posinf=np.inf)
     order = np.argsort(-low, axis=1)
     # one more row than k: a query's own row does not count
     enough = np.cumsum(n[order], axis=1) >= k + 1
@@ -130,36 +151,36 @@ def _not_ruled_out(middle: np.ndarray, slack: np.ndarray, n: np.ndarray, k: int)
     return high >= least[:, None]
 
 
-def _sent(queries: DataFrame, plan: list, blocks: pd.DataFrame, pivots: np.ndarray, k: int):
-    """Every query once for each block that its bounds do not rule out."""
-    by_cell: dict[int, list[int]] = {}
-    for cell, other in plan:
-        by_cell.setdefault(cell, []).append(other)
-    shared = queries.sparkSession.sparkContext.broadcast((by_cell, blocks, pivots))
+def _sent(queries: DataFrame, needed: dict, cells: pd.DataFrame, pivots: np.ndarray, k: int):
+    """Every query, with its chunk, once for each cell that its own bounds do not rule out."""
+    shared = queries.sparkSession.sparkContext.broadcast((needed, cells, pivots))
 
     def run(parts):
-        cells, table, points = shared.value
+        by_cell, table, points = shared.value
+        radius, count = table["radius"].to_numpy(), table["n"].to_numpy()
+        number = table["cell"].to_numpy()
         for rows in parts:
             for cell, own in rows.groupby("cell"):
-                some = table[table["cell"].isin(cells[cell])]
+                some = by_cell[cell]
                 q = np.stack(own["v"].to_numpy())
-                slack = np.sqrt((q**2).sum(axis=1))[:, None] * some["radius"].to_numpy()
-                keep = _not_ruled_out(q @ points[some["cell"]].T, slack, some["n"].to_numpy(), k)
-                query, block = np.nonzero(keep)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    slack = np.sqrt((q**2).sum(axis=1))[:, None] * radius[some]
+                    keep = _not_ruled_out(q @ points[number[some]].T, slack, count[some], k)
+                query, found = np.nonzero(keep)
                 yield pd.DataFrame(
                     {
                         "q_id": own["vec_id"].to_numpy()[query],
                         "q": own["v"].to_numpy()[query],
-                        "cell": some["cell"].to_numpy()[block],
-                        "bucket": some["bucket"].to_numpy()[block],
+                        "chunk": own["chunk"].to_numpy()[query],
+                        "cell": number[some][found],
                     }
                 )
 
-    return queries.mapInPandas(run, "q_id bigint, q array<double>, cell int, bucket int")
+    return queries.mapInPandas(run, "q_id bigint, q array<double>, chunk bigint, cell int")
 
 
 def _solve(queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The best k of one data block for every query that came to it."""
+    """The best k of one data block for every query of a chunk."""
     ids = data["vec_id"].to_numpy()
     order = np.argsort(ids)
     ids, x = ids[order], np.stack(data["v"].to_numpy())[order]
@@ -167,18 +188,17 @@ def _solve(queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.DataFrame:
     parts = []
     for low in range(0, len(queries), 1024):
         q, q_ids = np.stack(queries["q"].iloc[low : low + 1024].to_numpy()), own[low : low + 1024]
-        limit = np.abs(q).max() * np.abs(x).max() * x.shape[1]
-        scores = _exact(q @ x.T, limit)
+        found = scores(q, x)
         # k + 1: a query's own row may be among them; a stable sort keeps smaller ids first
-        top = np.argsort(-scores, axis=1, kind="stable")[:, : k + 1]
-        found = pd.DataFrame(
+        top = np.argsort(~found, axis=1, kind="stable")[:, : k + 1]
+        best = pd.DataFrame(
             {
                 "query_id": np.repeat(q_ids, top.shape[1]),
                 "vec_id": ids[top].ravel(),
-                "score": np.take_along_axis(scores, top, axis=1).ravel(),
+                "score": np.take_along_axis(found, top, axis=1).ravel(),
             }
         )
-        parts.append(found[found["query_id"] != found["vec_id"]].groupby("query_id").head(k))
+        parts.append(best[best["query_id"] != best["vec_id"]].groupby("query_id").head(k))
     return pd.concat(parts)
 
 
@@ -186,50 +206,63 @@ def top_k(vectors: DataFrame, s: Search = Search()) -> DataFrame:
     """query_id, rank, vec_id, score: the ``s.k`` best candidates of every query.
 
     Queries are the rows whose id is divisible by ``s.query_every``; candidates are all
-    rows but the query's own. Vectors of different lengths cannot be compared and fail
-    the job. Without candidates a query has no rows. Other columns are left out.
+    rows but the query's own; equal scores go to the smaller id. Without candidates a
+    query has no rows. ``usable`` says which rows take part. Other columns are left out.
     """
     spark = vectors.sparkSession
     rows = written(usable(vectors, s.scale), "vectors")
-    schema = "query_id bigint, rank int, vec_id bigint, score bigint"
-    pivots = pivots_of(rows, s)
+    count = rows.count()
+    pivots = pivots_of(rows, count, s)
     if not len(pivots):
-        return spark.createDataFrame([], schema)
-    buckets = max(1, -(-rows.count() // s.block_rows))
-    cells = written(with_cells(rows, pivots, buckets), "cells")
-    # small cells need not be cut: merge buckets until a block has about block_rows
-    sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    cuts = sizes.select("cell", F.ceil(F.col("n") / s.block_rows).cast("int").alias("cuts"))
-    cells = written(
-        cells.join(F.broadcast(cuts), "cell")  # at most s.pivots rows
-        .withColumn("bucket", F.pmod("bucket", "cuts"))
-        .drop("cuts"),
-        "blocks",
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
+    cells = written(with_cells(rows, pivots), "cells")
+    summaries = _summaries(cells)
+    # blocks of a cell: at most ``most_pivots`` rows
+    cuts = spark.createDataFrame(
+        [(int(c), max(1, -(-int(n) // s.block_rows))) for c, n in zip(summaries["cell"], summaries["n"], strict=True)],
+        "cell int, cuts int",
+    )
+    cuts = F.broadcast(cuts)
+    blocks = cells.join(cuts, "cell").select(
+        "vec_id", "v", "cell", F.pmod(F.xxhash64("vec_id"), "cuts").cast("int").alias("block")
     )
+    # stored with numbers that follow each other within a task: a chunk has no more rows than said
     queries = cells.where(F.col("vec_id") % s.query_every == 0)
-    blocks = _summaries(cells)
-    plan = cells_needed(_summaries(queries), blocks, pivots, s.k)
-    sent = _sent(queries, plan, blocks, pivots, s.k)
-    block = ["cell", "bucket"]
+    queries = written(queries.withColumn("at", F.monotonically_increasing_id()), "queries")
+    queries = queries.withColumn("chunk", F.expr(f"at DIV {s.chunk_rows}"))
+    needed = cells_needed(_summaries(queries), summaries, pivots, s.k)
+    sent = written(_sent(queries, needed, summaries, pivots, s.k), "sent")
+    key = ["cell", "block", "chunk"]
+    asked = sent.join(cuts, "cell").withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))
+    )
+    pairs = written(asked.select(*key).distinct(), "pairs")
+    data = blocks.join(pairs, ["cell", "block"])
 
-    def solve(q: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or data.empty:
+    def solve(q: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or own.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        return _solve(q, data, s.k)
+        return _solve(q, own, s.k)
 
     answers = (
-        sent.groupBy(*block)
-        .cogroup(cells.select("vec_id", "v", *block).groupBy(*block))
-        .applyInPandas(solve, "query_id bigint, vec_id bigint, score bigint")
-    )
-    best = answers.groupBy("query_id").agg(
-        F.slice(
-            F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("low"), "vec_id"))), 1, s.k
-        ).alias("best")
-    )
-    return best.select("query_id", F.posexplode("best").alias("pos", "b")).select(
-        "query_id",
-        (F.col("pos") + 1).alias("rank"),
-        F.col("b.vec_id").alias("vec_id"),
-        (-F.col("b.low")).alias("score"),
+        asked.select("q_id", "q", *key)
+        .groupBy(*key)
+        .cogroup(data.select("vec_id", "v", *key).groupBy(*key))
+        .applyInPandas(solve, FOUND)
     )
+    blocks_in_all = int((-(-summaries["n"] // s.block_rows)).sum())
+    return _merged(answers, blocks_in_all, s)
+
+
+def _merged(answers: DataFrame, blocks: int, s: Search) -> DataFrame:
+    """The best of all blocks, in rounds that merge about ``fan_in`` blocks' answers a group."""
+    order = [F.col("score").desc(), "vec_id"]
+    rank = F.row_number()
+    while blocks > s.fan_in:
+        blocks = -(-blocks // s.fan_in)
+        answers = answers.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+        own = rank.over(Window.partitionBy("query_id", "part").orderBy(*order))
+        answers = answers.withColumn("rank", own).where(F.col("rank") <= s.k).drop("rank", "part")
+    own = rank.over(Window.partitionBy("query_id").orderBy(*order))
+    best = answers.withColumn("rank", own).where(F.col("rank") <= s.k)
+    return best.select("query_id", "rank", "vec_id", "score")

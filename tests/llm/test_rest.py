@@ -302,15 +302,62 @@ def test_top_k_equals_brute_force(spark):
     rows += [(1000 + i, [1.0] * 8) for i in range(200)]  # ties
     rows += [(5000, None), (5050, [float("nan")] * 8), (5100, [None] * 8), (5101, [])]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
-    search = topk.Search(pivots=8, block_rows=50)
-    found = {}
-    for r in sorted(topk.top_k(frame, search).collect()):
-        found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
-    assert found == best(rows, 5)
+    for search in (
+        topk.Search(least_pivots=8, block_rows=50),
+        topk.Search(least_pivots=4, block_rows=30, chunk_rows=3, fan_in=4),
+    ):
+        assert answers(frame, search) == best(rows, 5)
     assert topk.top_k(frame.limit(0)).collect() == []
     assert topk.top_k(frame.where("vec_id = 0")).collect() == []
 
 
+def answers(frame, search=topk.Search()):
+    found = {}
+    for r in sorted(topk.top_k(frame, search).collect()):
+        assert r["rank"] == len(found.setdefault(r["query_id"], [])) + 1
+        found[r["query_id"]].append((r["vec_id"], r["score"]))
+    return found
+
+
+VECTORS = "vec_id bigint, embedding array<double>"
+
+
+def test_a_task_gets_a_bounded_group(spark, monkeypatch):
+    """A third of all vectors are equal, and all queries reach all blocks."""
+    rows = [(i, [1.0, 2.0] if i % 3 == 0 else [float(i % 7), 1.0]) for i in range(900)]
+    search = topk.Search(least_pivots=2, block_rows=100, chunk_rows=4, query_every=10)
+    plain, seen = topk._solve, spark.sparkContext.accumulator(0)
+
+    def measured(queries, data, k):
+        if len(queries) > 4 or len(data) > 200:
+            seen.add(1)
+        return plain(queries, data, k)
+
+    monkeypatch.setattr(topk, "_solve", measured)
+    frame = spark.createDataFrame(rows, VECTORS)
+    assert len(answers(frame, search)) == 90
+    assert seen.value == 0
+
+
+def test_large_components_are_exact(spark):
+    """Beyond what doubles hold exactly, and beyond 64 bits, whose ends the scores then take."""
+    rows = [(50, [1e9, -3.0]), (1, [1e3, 7.0]), (2, [1e3, 7.5]), (3, [-1e3, 0.0]), (4, [1.0, 1.0])]
+    assert answers(spark.createDataFrame(rows, VECTORS)) == best(rows, 5)
+    huge = [(50, [1e12, 1.0]), (1, [1e12, 0.0]), (2, [-1e12, 0.0]), (3, [2e12, 0.0]), (100, [0.0, 1.0])]
+    found = answers(spark.createDataFrame(huge, VECTORS))
+    assert found[50] == [(1, 2**63 - 1), (3, 2**63 - 1), (100, 65536), (2, -(2**63))]
+    assert found[100] == [(50, 65536), (1, 0), (2, 0), (3, 0)]
+    wild = [*huge, (5, [1e305, 1.0]), (6, [1.7e308, 0.0])]
+    assert [i for i, _ in answers(spark.createDataFrame(wild, VECTORS))[50]] == [1, 3, 5, 100, 2]
+
+
+def test_repeated_ids_and_short_vectors_have_one_place(spark):
+    rows = [(50, [1.0, 1.0]), (1, [3.0, 0.0]), (1, [2.0, 9.0]), (1, [2.0, 9.0]), (2, [4.0]), (100, [0.0, 5.0]), (100, [1.0, 0.0])]
+    found = answers(spark.createDataFrame(rows, VECTORS))
+    assert found[50] == [(1, 11 * 65536), (100, 5 * 65536), (2, 4 * 65536)]
+    assert found[100] == [(1, 45 * 65536), (50, 5 * 65536), (2, 0)]
+
+
 def test_bounds_leave_out_far_cells():
     keep = topk._not_ruled_out(np.array([[10.0, 0.0, 9.0]]), np.array([[1.0, 1.0, 1.0]]), np.array([9, 9, 9]), 3)
     assert keep.tolist() == [[True, False, True]]
