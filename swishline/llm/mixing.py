@@ -1,26 +1,30 @@
 """Mixing sources to target weights: proportionate-fair scheduling of blocks.
 
-A block is a run of documents of one source; one slot of the mix takes one block. With
-weight w, block i of a source is released at slot i / w and due before (i + 1) / w,
-rounded outwards, and of the released blocks the one with the earliest deadline goes
-first. Weights that add up to 1 then meet all deadlines, and a source is never a whole
-block ahead of its share or behind it.
-
-Weights are exact fractions, never rounded. The state of the schedule at a slot is how
-many blocks each source has had, so it can be taken up anywhere: the driver walks through
-the slots once and keeps the state every ``period`` slots, and tasks lay out the
-stretches. When a source runs out, the others go on with their weights scaled up to 1: a
-new phase. No document is left out or repeated.
+A block is a run of documents of one source; one slot of the mix takes one block. Think of
+the mix as a fluid first: all sources flow at once, in proportion to their weights, and
+when one runs out the others flow on with its part. The time at which the fluid begins
+block i of a source is the block's release, rounded down to a slot, and the time at which
+it ends the block is its deadline, rounded up. Of the released blocks the one with the
+earliest deadline goes first. The fluid meets all these windows, so whole blocks can too, and
+earliest deadline first does: a source is never a whole block ahead of its share or
+behind it, also where others have run out.
+
+The fluid needs no walk: if V is what has flowed per unit of weight, then
+T(V) = sum over sources of min(blocks, weight * V) slots have passed, a chain of straight
+lines with one bend per source. Weights are exact whole numbers, never rounded. So windows
+follow from one sorted list of sources, and the schedule from one pass over the blocks,
+of which there is a bounded number: blocks grow with the documents.
 """
 
 from __future__ import annotations
 
 import heapq
-import json
 import math
+from bisect import bisect_right
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from fractions import Fraction
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -36,147 +40,94 @@ KEYS = ["source_key", "bucket"]
 @dataclass(frozen=True)
 class Mix:
     """``weights``: target share by source, any scale; none: the square root of each source's
-    documents. Sources without a weight follow when all others have run out, in
-    proportion to their documents. ``block``: documents in a block. ``period``: slots that
-    are laid out at once, at least one per source; it does not change the mix."""
+    blocks. Sources without a weight follow when all others have run out, in proportion to
+    their documents. ``block``: documents in a block, or more, so that there are at most
+    ``most_blocks`` and one per source."""
 
     weights: Mapping[str, float] | None = None
     block: int = 16
-    period: int = 1024
+    most_blocks: int = 1 << 20
 
 
 def exact(weights: Mapping[str, float]) -> dict[str, int]:
     """Whole numbers in the very proportions of ``weights``."""
     parts = {s: Fraction(w) for s, w in weights.items()}
-    scale = math.lcm(*(x.denominator for x in parts.values()))
-    whole = {s: int(x * scale) for s, x in parts.items()}
+    scale = math.lcm(*{x.denominator for x in parts.values()})
+    whole = {s: x.numerator * (scale // x.denominator) for s, x in parts.items()}
     common = math.gcd(*whole.values())
     return {s: x // common for s, x in whole.items()}
 
 
-def turns(shares: list[int], taken: list[int], slot: int) -> Iterator[int]:
-    """Whose block each slot from ``slot`` on takes, earliest deadline first, if source
-    number s has had ``taken[s]`` blocks of the slots before; ``taken`` is kept up to date."""
-    period = sum(shares)
-    later = [(i * period // k, s) for s, (k, i) in enumerate(zip(shares, taken, strict=True))]
-    heapq.heapify(later)
-    waiting: list = []
-    while True:
+class Fluid:
+    """When the fluid is at a block of a source; sources by number, ``weights`` whole."""
+
+    def __init__(self, blocks: list[int], weights: list[int]):
+        self._weights = weights
+        order = sorted(range(len(blocks)), key=lambda s: Fraction(blocks[s], weights[s]))
+        # what has flowed per weight when each source runs out, and the lines between
+        self._ends = [(blocks[s], weights[s]) for s in order]
+        self._near = [blocks[s] / weights[s] for s in order]
+        self._done = [0, *accumulate(blocks[s] for s in order)]
+        total = sum(weights)
+        self._open = [total, *(total - x for x in accumulate(weights[s] for s in order))]
+
+    def time(self, source: int, block: int) -> tuple[int, int]:
+        """The slots that have passed when ``source`` comes to ``block``: a fraction, as
+        numerator and denominator."""
+        weight = self._weights[source]
+        line = bisect_right(self._near, block / weight)
+        # doubles may be a line off where two bends lie close
+        while line and self._ends[line - 1][0] * weight > block * self._ends[line - 1][1]:
+            line -= 1
+        while line < len(self._ends) and self._ends[line][0] * weight <= block * self._ends[line][1]:
+            line += 1
+        return self._done[line] * weight + self._open[line] * block, weight
+
+    def release(self, source: int, block: int) -> int:
+        over, under = self.time(source, block)
+        return over // under
+
+    def deadline(self, source: int, block: int) -> int:
+        over, under = self.time(source, block + 1)
+        return -(-over // under)
+
+
+def turns(blocks: list[int], weights: list[int]) -> Iterator[tuple[int, int]]:
+    """Source and block of every slot, earliest deadline first; equal deadlines by source."""
+    fluid = Fluid(blocks, weights)
+    later = [(0, s, 0) for s in range(len(blocks))]  # by release; a heap as it is
+    waiting: list[tuple[int, int, int]] = []
+    for slot in range(sum(blocks)):
         while later and later[0][0] <= slot:
-            s = heapq.heappop(later)[1]
-            heapq.heappush(waiting, (-(-(taken[s] + 1) * period // shares[s]), s))
-        s = heapq.heappop(waiting)[1]
-        taken[s] += 1
-        heapq.heappush(later, (taken[s] * period // shares[s], s))
-        slot += 1
-        yield s
-
-
-@dataclass(frozen=True)
-class Stretch:
-    """Slots of one phase that follow each other: ``shares`` of its ``sources``, the blocks
-    ``taken`` of each before ``slot`` (of the phase), how many slots (``length``), and what
-    the phases before it had: blocks (``used``) and slots (``base``)."""
-
-    phase: int
-    sources: list[str]
-    shares: list[int]
-    used: list[int]
-    base: int
-    slot: int
-    taken: list[int]
-    length: int
-
-    def slots(self) -> Iterator[tuple[int, int, int]]:
-        """Number of the source, its block in the phase, slot in the phase."""
-        met = list(self.taken)
-        whose = turns(self.shares, met, self.slot)
-        for slot in range(self.slot, self.slot + self.length):
-            s = next(whose)
-            yield s, met[s] - 1, slot
-
-
-def stretches(blocks: dict[str, int], mix: Mix) -> Iterator[Stretch]:
-    """The schedule: every phase from its first slot to its first source's last block."""
-    left = {s: n for s, n in blocks.items() if n}
-    used = dict.fromkeys(left, 0)
-    base, phase = 0, 0
-    while left:
-        if mix.weights is None:
-            active = {s: blocks[s] ** 0.5 for s in left}
-        else:
-            weighted = {s: mix.weights.get(s, 0) for s in left}
-            active = {s: w for s, w in weighted.items() if w > 0} or {s: blocks[s] for s in left}
-        shares = exact(active)
-        sources, most = list(shares), max(mix.period, len(shares))
-        rest, before = [left[s] for s in sources], [used[s] for s in sources]
-        taken = [0] * len(sources)
-        whose, start, marked = turns([*shares.values()], taken, 0), 0, list(taken)
-        slot, going = 0, True
-        while going:
-            s = next(whose)
-            slot += 1
-            going = taken[s] < rest[s]
-            if not going or slot - start == most:
-                yield Stretch(
-                    phase, sources, [*shares.values()], before, base, start, marked, slot - start
-                )
-                start, marked = slot, list(taken)
-        for s, n in zip(sources, taken, strict=True):
-            used[s] += n
-            left[s] -= n
-            if not left[s]:
-                del left[s]
-        base += slot
-        phase += 1
-
-
-def phases(blocks: dict[str, int], mix: Mix) -> tuple[list[tuple], list[tuple]]:
-    """The whole schedule as two tables, for schedules that are small.
-
-    First: phase, source, first block, end block, first slot, share, sum of the shares.
-    Second: phase, source, number of its block in the phase, slot in the phase.
-    """
-    runs: dict[tuple, tuple] = {}
-    slots = []
-    for x in stretches(blocks, mix):
-        met = list(x.taken)
-        for s, i, slot in x.slots():
-            met[s] += 1
-            slots.append((x.phase, x.sources[s], i, slot))
-        for s, source in enumerate(x.sources):
-            own = source, x.used[s], x.used[s] + met[s], x.base, x.shares[s], sum(x.shares)
-            runs[x.phase, source] = (x.phase, *own)
-    return list(runs.values()), slots
+            _, s, i = heapq.heappop(later)
+            heapq.heappush(waiting, (fluid.deadline(s, i), s, i))
+        _, s, i = heapq.heappop(waiting)
+        yield s, i
+        if i + 1 < blocks[s]:
+            heapq.heappush(later, (fluid.release(s, i + 1), s, i + 1))
+
+
+def schedule(blocks: Mapping[str, int], mix: Mix) -> Iterator[tuple[str, int]]:
+    """Source and block of every slot of the whole mix."""
+    own = {s: n for s, n in sorted(blocks.items()) if n}
+    if mix.weights is None:
+        rounds = [{s: n**0.5 for s, n in own.items()}]
+    else:
+        weighted = {s: mix.weights[s] for s in own if mix.weights.get(s, 0) > 0}
+        rounds = [weighted, {s: float(own[s]) for s in own if s not in weighted}]
+    for weights in filter(None, rounds):
+        names, whole = list(weights), exact(weights)
+        for s, i in turns([own[x] for x in names], [whole[x] for x in names]):
+            yield names[s], i
 
 
 def _slots_table(spark: SparkSession, blocks: dict[str, int], mix: Mix) -> DataFrame:
-    """mix_source, mix_block and mix_slot of every block; tasks lay out the stretches."""
-    rows = [
-        (json.dumps([x.sources, [*map(str, x.shares)], x.used, x.taken]), x.base, x.slot, x.length)
-        for x in stretches(blocks, mix)
-    ]
-
-    def lay_out(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for state, base, slot, length in part.itertuples(index=False):
-                sources, shares, used, taken = json.loads(state)
-                own = Stretch(0, sources, [*map(int, shares)], used, base, slot, taken, length)
-                found = [(sources[s], used[s] + i, base + t) for s, i, t in own.slots()]
-                yield pd.DataFrame(found, columns=["mix_source", "mix_block", "mix_slot"])
-
-    states = _frame(spark, rows, "state string, base bigint, slot bigint, length bigint")
-    return written(
-        states.mapInPandas(lay_out, "mix_source string, mix_block bigint, mix_slot bigint"),
-        "mix_slots",
-    )
-
-
-def _frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    names = [part.split()[0] for part in schema.split(", ")]
-    return spark.createDataFrame(pd.DataFrame(rows, columns=names), schema) if rows else (
-        spark.createDataFrame([], schema)
-    )
+    """source_key, mix_block and mix_slot of every block."""
+    rows = pd.DataFrame(schedule(blocks, mix), columns=["source_key", "mix_block"])
+    rows["mix_slot"] = range(len(rows))
+    schema = "source_key string, mix_block bigint, mix_slot bigint"
+    empty = spark.createDataFrame([], schema)
+    return written(spark.createDataFrame(rows, schema), "mix_slots") if len(rows) else empty
 
 
 def mixed(docs: DataFrame, mix: Mix = Mix(), source: str = "source") -> DataFrame:
@@ -184,41 +135,47 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), source: str = "source") -> DataFram
 
     ``mix_slot`` is the block's place in the mix and ``mix_place`` the row's place in it.
 
-    Within a source, documents are dealt in an order by hash. Rows without a source are
-    a source of their own, named ''. Repeated rows are documents like others. A source
-    is numbered in buckets of bounded size, so a large one is not one task's.
+    Within a source, documents are dealt in an order by hash of all columns, so that only
+    rows that are equal in everything are interchangeable. Rows without a source are a
+    source of their own, named ''. Repeated rows are documents like others. A source is
+    numbered in buckets of bounded size, so a large one is not one task's. The driver holds
+    a row per source and per block: ``mix`` bounds the blocks.
     """
     spark = docs.sparkSession
-    order = F.xxhash64(*(c for c in ("doc_id", "text")))
+    order = F.xxhash64("doc_id", "text")
+    rest = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) for c in docs.columns])
     key = F.coalesce(F.col(source).cast("string"), F.lit(""))
-    buckets = max(1, -(-docs.count() // BUCKET_ROWS))
+    total = docs.count()
+    buckets = max(1, -(-total // BUCKET_ROWS))
+    block = max(mix.block, -(-total // mix.most_blocks))
     keyed = docs.select(
         F.struct(*docs.columns).alias("row"),
         key.alias("source_key"),
         F.pmod(order, F.lit(buckets)).cast("int").alias("bucket"),
         order.alias("mix_order"),
+        rest.alias("mix_rest"),
     )
     counts = written(keyed.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")), "mix_counts")
     totals = {
         r["source_key"]: r["n"]
         for r in counts.groupBy("source_key").agg(F.sum("n").alias("n")).collect()
     }  # one row per source, which the weights list
-    blocks = {s: -(-n // mix.block) for s, n in totals.items()}
+    blocks = {s: -(-n // block) for s, n in totals.items()}
 
     earlier = Window.partitionBy("source_key").orderBy("bucket")
     so_far = F.sum("n").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
     before = counts.select(*KEYS, F.coalesce(so_far, F.lit(0)).alias("before"))
-    in_bucket = Window.partitionBy(*KEYS).orderBy("mix_order")
+    in_bucket = Window.partitionBy(*KEYS).orderBy("mix_order", "mix_rest")
     ranked = keyed.withColumn("mix_rank", F.row_number().over(in_bucket) - 1)
     ranked = ranked.join(lookup_side(written(before, "mix_before")), KEYS)
     rank = F.col("mix_rank") + F.col("before")
     ranked = ranked.withColumns(
         {
-            "mix_block": F.floor(rank / F.lit(mix.block)).cast("bigint"),
-            "mix_place": (rank % mix.block).cast("int"),
+            "mix_block": F.floor(rank / F.lit(block)).cast("bigint"),
+            "mix_place": (rank % block).cast("int"),
         }
     )
-    slots = _slots_table(spark, blocks, mix).withColumnRenamed("mix_source", "source_key")
+    slots = _slots_table(spark, blocks, mix)
     # one row per block: beyond the limit of a broadcast both sides shuffle by their blocks
     return ranked.join(lookup_side(slots), ["source_key", "mix_block"]).select(
         "row", "source_key", "mix_block", "mix_slot", "mix_place"

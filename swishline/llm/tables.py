@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
@@ -21,6 +22,7 @@ SLICE_BYTES = 4 << 20
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 MOST_ARROW_ROWS = 1000
 BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -56,13 +58,21 @@ def row_key() -> Column:
     return F.struct(F.xxhash64(*own).alias("x"), F.xxhash64(F.lit(1), *own).alias("y"))
 
 
-def lookup_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``rows`` rows, else as it is.
+def lookup_side(
+    df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """``df`` marked for broadcast if it has at most so many rows and bytes, else as it is.
 
-    Pass a stored table of a few numbers per row: it is counted first. Beyond the
-    limit the join shuffles both sides and adaptive execution splits hot keys.
+    Pass a stored table of numbers and strings: it is measured first, its strings by their
+    bytes and everything else as 16 bytes a value. Beyond the limits the join shuffles
+    both sides and adaptive execution splits hot keys.
     """
-    return F.broadcast(df) if df.count() <= rows else df
+    texts = [f.name for f in df.schema if f.dataType.simpleString() in ("string", "binary")]
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)).cast("bigint") for c in texts]
+    own = functools.reduce(Column.__add__, sizes, F.lit(16 * len(df.columns)).cast("bigint"))
+    found = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(own).alias("bytes")).first()
+    small = found["rows"] <= rows and (found["bytes"] or 0) <= most_bytes
+    return F.broadcast(df) if small else df
 
 
 def text_parts(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 from collections import Counter
 from fractions import Fraction
 
@@ -201,74 +202,95 @@ def test_the_chat_query_is_native(spark, small):
 # --- mixing
 
 
-@settings(deadline=None)
-@given(st.dictionaries(st.sampled_from("abcdefgh"), st.integers(1, 90), min_size=1), st.integers(1, 40))
-def test_every_phase_is_within_a_block_of_its_shares(blocks, period):
-    runs, slots = mixing.phases(blocks, mixing.Mix(period=period))
-    table = {(p, s, i): t for p, s, i, t in slots}
-    order = {}
-    for phase, source, first, end, base, k, length in runs:
-        for b in range(first, end):
-            j = b - first
-            order[base + j // k * length + table[phase, source, j % k]] = source
-    assert sorted(order) == list(range(sum(blocks.values())))
-    assert Counter(order.values()) == blocks
-    for phase in {r[0] for r in runs}:
-        own = [r for r in runs if r[0] == phase]
-        met = Counter()
-        for n in range(1, sum(r[3] - r[2] for r in own) + 1):
-            met[order[own[0][4] + n - 1]] += 1
-            assert all(abs(met[r[1]] - n * r[5] / r[6]) < 1 for r in own)
-
-
-def off_target(blocks, weights, period):
-    """The largest deviation from the target weights, in blocks, over the first phase."""
-    total, met, worst = sum(map(Fraction, weights.values())), Counter(), Fraction(0)
-    for x in mixing.stretches(blocks, mixing.Mix(weights, period=period)):
-        if x.phase:
-            break
-        assert x.taken == [met[s] for s in x.sources]
-        for s, _, slot in x.slots():
-            met[x.sources[s]] += 1
-            for k in x.sources if slot % 97 == 0 or len(blocks) < 50 else [x.sources[s]]:
-                worst = max(worst, abs(met[k] - (slot + 1) * Fraction(weights[k]) / total))
-    return sum(met.values()), worst
-
-
-def test_no_source_is_a_block_off_its_target_over_many_periods():
-    equal = {f"s{i}": 1.0 for i in range(20)}
-    slots, worst = off_target(dict.fromkeys(equal, 1500), equal, 1024)
-    assert slots > 25 * 1024 and worst < 1
-    small = {"a": 0.7, "b": 0.2999, "c": 0.0001}  # c is below one block per period
-    slots, worst = off_target({"a": 20_000, "b": 9_000, "c": 20}, small, 1024)
-    assert slots > 25 * 1024 and worst < 1
-
-
-def test_more_sources_than_the_period_keep_their_weights():
-    weights = {f"s{i}": 1.0 + i % 7 for i in range(60)}
-    slots, worst = off_target(dict.fromkeys(weights, 200), weights, 16)
-    assert slots > 5000 and worst < 1
-
-
-def test_mixed_follows_the_schedule_across_stretches(spark):
+def fluid_shares(blocks, weights, slots):
+    """By number of slots, how much of each source has flowed: phase by phase, in fractions."""
+    had, out = {s: Fraction(0) for s in blocks}, []
+    for _ in range(slots + 1):
+        out.append(dict(had))
+        time = Fraction(1)
+        while time:
+            active = {s: Fraction(weights[s]) for s in blocks if had[s] < blocks[s]}
+            if not active:
+                break
+            total = sum(active.values())
+            step = min([time, *((blocks[s] - had[s]) * total / w for s, w in active.items())])
+            for s, w in active.items():
+                had[s] += step * w / total
+            time -= step
+    return out
+
+
+def worst_deviation(blocks, mix, weights):
+    """The largest difference between blocks dealt and blocks flowed, over all slots."""
+    order = list(mixing.schedule(blocks, mix))
+    assert sorted(order) == sorted((s, i) for s, n in blocks.items() for i in range(n))
+    shares, met, worst = fluid_shares(blocks, weights, len(order)), Counter(), Fraction(0)
+    for n, (s, i) in enumerate(order, 1):
+        assert met[s] == i
+        met[s] += 1
+        worst = max([worst, *(abs(met[x] - shares[n][x]) for x in blocks)])
+    return worst
+
+
+@settings(deadline=None, max_examples=60)
+@given(
+    st.dictionaries(st.sampled_from("abcdefgh"), st.integers(1, 30), min_size=1),
+    st.lists(st.one_of(st.integers(1, 50), st.floats(0.001, 9)), min_size=8, max_size=8),
+)
+def test_no_source_is_a_block_off_the_fluid_in_any_phase(blocks, numbers):
+    weights = dict(zip("abcdefgh", numbers, strict=True))
+    assert worst_deviation(blocks, mixing.Mix(weights), weights) < 1
+    roots = {s: n**0.5 for s, n in blocks.items()}
+    assert worst_deviation(blocks, mixing.Mix(), roots) < 1
+
+
+def test_small_and_large_weights_stay_within_a_block():
+    blocks = {"big": 200} | {f"s{i}": 2 for i in range(100)}
+    weights = {"big": 0.5} | {f"s{i}": 0.005 for i in range(100)}
+    assert worst_deviation(blocks, mixing.Mix(weights), weights) < 1
+    rare = {"a": 0.7, "b": 0.2999, "c": 0.0001}
+    assert worst_deviation({"a": 700, "b": 300, "c": 2}, mixing.Mix(rare), rare) < 1
+
+
+def test_sources_without_a_weight_come_last():
+    order = [s for s, _ in mixing.schedule({"a": 3, "b": 2, "c": 4}, mixing.Mix({"a": 1.0, "c": 0}))]
+    assert order[:3] == ["a"] * 3 and Counter(order[3:]) == {"b": 2, "c": 4}
+
+
+def test_time_grows_in_line_with_sources():
+    """100,000 sources that all run out at different times, in one pass."""
+
+    def seconds(count):
+        begin = time.perf_counter()
+        order = sum(1 for _ in mixing.schedule({f"s{i}": 1 + i % 3 for i in range(count)}, mixing.Mix()))
+        assert order == sum(1 + i % 3 for i in range(count))
+        return time.perf_counter() - begin
+
+    seconds(1000)
+    few, many = seconds(10_000), seconds(100_000)
+    assert many < 30 * few
+
+
+def test_blocks_grow_with_the_documents(spark):
+    docs = spark.range(900).selectExpr("id AS doc_id", "'t' AS text", "'s' AS source")
+    rows = mixing.mixed(docs, mixing.Mix(block=2, most_blocks=10)).collect()
+    assert Counter(r["mix_slot"] for r in rows) == dict.fromkeys(range(10), 90)
+
+
+def test_mixed_follows_the_schedule(spark):
     docs = spark.range(900).selectExpr(
         "id AS doc_id", "'t' AS text", "CASE WHEN id % 3 = 0 THEN 'a' ELSE 'b' END AS source"
     )
-    mix = mixing.Mix({"a": 0.3, "b": 0.7}, block=2, period=8)
+    mix = mixing.Mix({"a": 0.3, "b": 0.7}, block=2)
     found = {
         (r["source_key"], r["mix_block"]): r["mix_slot"] for r in mixing.mixed(docs, mix).collect()
     }
-    expected = {
-        (x.sources[s], x.used[s] + i): x.base + t
-        for x in mixing.stretches({"a": 150, "b": 300}, mix)
-        for s, i, t in x.slots()
-    }
-    assert found == expected
-    assert sorted(found.values()) == list(range(450))
+    order = mixing.schedule({"a": 150, "b": 300}, mix)
+    assert found == {block: slot for slot, block in enumerate(order)}
 
 
 def test_mixing_keeps_every_row(spark, odd_documents):
-    mix = mixing.Mix({"a": 3, "b": 1}, block=2, period=4)
+    mix = mixing.Mix({"a": 3, "b": 1}, block=2)
     rows = mixing.mixed(odd_documents, mix).collect()
     assert len(rows) == odd_documents.count()
     assert len({(r["mix_slot"], r["mix_place"]) for r in rows}) == len(rows)
