@@ -14,8 +14,10 @@ many pages is merged from one small wrapper per task.
 from __future__ import annotations
 
 import json
+import sys
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -26,21 +28,29 @@ from swishline.llm.tables import lookup_side
 from swishline.sources.scratch import written
 
 HOSTS_AT_ONCE = 2_000
+MERGED_AT_ONCE = 64
 TEMPLATE_PAGES = 3  # text is the template's if so many pages at least have it,
 TEMPLATE_PERCENT = 90  # and so many of the host's, and no page has another text there
+MARKED_PAGES = 5  # within an item that is marked as main it takes this many pages
+SLOT_PERCENT = 50  # and slots that hold so much of its text: else pages are just alike
 LONGEST_GROUP = 3
-LARGEST_TABLE = 250_000  # longer lists of items are aligned by label only
 BROADCAST_HOSTS = 10_000
+# pages may be nested deeply, and functions over their trees call themselves; calls from
+# Python to Python take no room on the machine's stack
+DEEPEST_CALLS = 10_000_000
 
 # A wrapper is a dict: l label, t tag, k items in it, n pages, s text characters of its own,
-# f its text if all pages agree (None: a slot), o optional, r repeated, x skipped, m marked main.
+# f its text if all pages agree (None: a slot), c the texts that it has on every page (several,
+# if it is repeated), o optional, r repeated, x skipped, h hinted to be no text of the page's
+# own, m marked main.
 
 
 def of_page(node: Node) -> dict:
     """The wrapper that fits one page."""
     own = [plain(p) for p in node.parts if isinstance(p, str)]
     text = " ".join(p for p in own if p)
-    kids = [] if node.skip else [of_page(p) for p in node.parts if isinstance(p, Node)]
+    closed = node.skip or node.header
+    kids = [] if closed else [of_page(p) for p in node.parts if isinstance(p, Node)]
     return {
         "l": node.label,
         "t": node.tag,
@@ -48,17 +58,20 @@ def of_page(node: Node) -> dict:
         "n": 1,
         "s": len(text),
         "f": text,
+        "c": [text] if text else [],
         "o": False,
         "r": False,
-        "x": node.skip,
+        "x": node.skip or node.header,
+        "h": node.hint,
         "m": node.main or node.tag in ("article", "main"),
     }
 
 
 def _group(items: list[dict]) -> dict:
     label = "(" + " ".join(i["l"] for i in items) + ")"
-    out = {"l": label, "t": "()", "k": items, "n": max(i["n"] for i in items), "s": 0, "f": ""}
-    return {**out, "o": False, "r": True, "x": all(i["x"] for i in items), "m": False}
+    out = {"l": label, "t": "()", "k": items, "n": max(i["n"] for i in items), "s": 0}
+    out |= {"f": "", "c": [], "o": False, "r": True, "m": False}
+    return {**out, "x": all(i["x"] for i in items), "h": all(i["h"] for i in items)}
 
 
 def _folded(items: list[dict]) -> list[dict]:
@@ -77,7 +90,12 @@ def _folded(items: list[dict]) -> list[dict]:
                     again = items[i + k * size : i + (k + 1) * size]
                     pairs = zip(first, again, strict=True)
                     first = [_merged(a, b, same_page=True) for a, b in pairs]
-                out.append({**first[0], "r": True} if size == 1 else _group(first))
+                if size == 1:
+                    # an item that pages may lack has nothing on every page
+                    texts = {t for x in items[i : i + runs] if not x["o"] for t in x["c"]}
+                    out.append({**first[0], "r": True, "c": sorted(texts)})
+                else:
+                    out.append(_group(first))
                 i += runs * size
             else:
                 out.append(items[i])
@@ -110,10 +128,12 @@ def _merged(a: dict, b: dict, same_page: bool = False) -> dict:
         "k": _aligned(a["k"], b["k"], same_page),
         "n": max(a["n"], b["n"]) if same_page else a["n"] + b["n"],
         "s": a["s"] + b["s"],
-        "f": a["f"] if a["f"] is not None and a["f"] == b["f"] else None,
+        "f": a["f"] if a["f"] == b["f"] else None,
+        "c": sorted(set(a["c"]) | set(b["c"]) if same_page else set(a["c"]) & set(b["c"])),
         "o": a["o"] or b["o"],
         "r": a["r"] or b["r"],
         "x": a["x"],
+        "h": a["h"],
         "m": a["m"] or b["m"],
     }
 
@@ -122,39 +142,59 @@ def _aligned(a: list[dict], b: list[dict], same_page: bool) -> list[dict]:
     if [x["l"] for x in a] == [x["l"] for x in b]:
         return [_merged(x, y, same_page) for x, y in zip(a, b, strict=True)]
     a, b = _as_groups(a, b), _as_groups(b, a)
-    if len(a) * len(b) > LARGEST_TABLE:
-        return _aligned_by_label(a, b, same_page)
-    long = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            if a[i]["l"] == b[j]["l"]:
-                long[i][j] = long[i + 1][j + 1] + 1
-            else:
-                long[i][j] = max(long[i + 1][j], long[i][j + 1])
     out, i, j = [], 0, 0
-    while i < len(a) or j < len(b):
-        if i < len(a) and j < len(b) and a[i]["l"] == b[j]["l"]:
-            out.append(_merged(a[i], b[j], same_page))
-            i, j = i + 1, j + 1
-        elif j == len(b) or i < len(a) and long[i + 1][j] >= long[i][j + 1]:
-            out.append({**a[i], "o": True})
-            i += 1
-        else:
-            out.append({**b[j], "o": True})
-            j += 1
+    for m, n in [*common([x["l"] for x in a], [x["l"] for x in b]), (len(a), len(b))]:
+        out += [{**x, "o": True} for x in (*a[i:m], *b[j:n])]
+        if m < len(a):
+            out.append(_merged(a[m], b[n], same_page))
+        i, j = m + 1, n + 1
     return _folded(out)
 
 
-def _aligned_by_label(a: list[dict], b: list[dict], same_page: bool) -> list[dict]:
-    """For very long lists: the order of ``a``, then what only ``b`` has."""
-    left: dict[str, list[dict]] = {}
-    for x in b:
-        left.setdefault(x["l"], []).append(x)
-    out = []
-    for x in a:
-        same = left.get(x["l"])
-        out.append(_merged(x, same.pop(0), same_page) if same else {**x, "o": True})
-    return _folded(out + [{**x, "o": True} for some in left.values() for x in some])
+def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Places in ``a`` and ``b`` of a longest common subsequence, in order.
+
+    Exact for lists of any length: divide and conquer over ``a`` keeps memory in line with
+    the lists, and a row of the table is one whole number with a bit per item of ``b``.
+    """
+    low = 0
+    while low < min(len(a), len(b)) and a[low] == b[low]:
+        low += 1
+    high = 0
+    while high < min(len(a), len(b)) - low and a[-1 - high] == b[-1 - high]:
+        high += 1
+    found = [(k, k) for k in range(low)]
+    found += [
+        (low + m, low + n) for m, n in _common(a[low : len(a) - high], b[low : len(b) - high])
+    ]
+    return found + [(len(a) - high + k, len(b) - high + k) for k in range(high)]
+
+
+def _common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    if not a or not b:
+        return []
+    if len(a) == 1:
+        return [(0, b.index(a[0]))] if a[0] in b else []
+    half = len(a) // 2
+    before = _lengths(a[:half], b)
+    after = _lengths(a[half:][::-1], b[::-1])
+    cut = max(range(len(b) + 1), key=lambda n: before[n] + after[len(b) - n])
+    right = _common(a[half:], b[cut:])
+    return _common(a[:half], b[:cut]) + [(half + m, cut + n) for m, n in right]
+
+
+def _lengths(a: list[str], b: list[str]) -> list[int]:
+    """Lengths of the longest common subsequences of ``a`` and the beginnings of ``b``."""
+    places: dict[str, int] = {}
+    for n, label in enumerate(b):
+        places[label] = places.get(label, 0) | 1 << n
+    whole = (1 << len(b)) - 1
+    row = whole  # a bit is 0 where the length grows
+    for label in a:
+        same = row & places.get(label, 0)
+        row = ((row + same) | (row - same)) & whole
+    bits = bin(row | 1 << len(b))[:2:-1]
+    return [0, *accumulate(bit == "0" for bit in bits)]
 
 
 def merged(wrappers: list[dict]) -> dict:
@@ -174,65 +214,98 @@ def _least(w: dict) -> int:
     return max(TEMPLATE_PAGES, -(-w["n"] * TEMPLATE_PERCENT // 100))
 
 
-def _own_text(w: dict, least: int) -> int:
-    """Characters in slots under ``w``; template text and skipped parts do not count."""
-    if w["x"]:
-        return 0
-    template = w["f"] is not None and w["n"] >= least
-    return (0 if template else w["s"]) + sum(_own_text(k, least) for k in w["k"])
-
-
-def _marked(w: dict, path: tuple, least: int) -> list[tuple[int, tuple]]:
-    """Characters and path of the outermost items marked as main, inner ones before outer."""
-    if w["x"]:
+def _own_texts(w: dict, least: int, known: dict) -> int:
+    """Characters in slots under ``w``; template text and skipped or hinted parts do not
+    count. ``known`` remembers the items that have been counted."""
+    key = id(w), least
+    if key not in known:
+        total = 0
+        if not w["x"] and not w["h"]:
+            fixed = sum(map(len, w["c"])) if w["n"] >= least else 0
+            total = max(0, w["s"] - w["n"] * fixed)
+            for k in w["k"]:
+                total += _own_texts(k, least, known)
+        known[key] = total
+    return known[key]
+
+
+def _marked(w: dict, least: int, known: dict) -> list[tuple[int, list, dict]]:
+    """Characters, path (last label first) and item of the outermost items marked as main,
+    inner ones before outer."""
+    if w["x"] or w["h"]:
         return []
-    path = path if w["t"] == "()" else (*path, w["l"])
-    inner = [found for k in w["k"] for found in _marked(k, path, least)]
-    if w["m"] and w["t"] != "article" and any(p[-1].split(".")[0] == "article" for _, p in inner):
-        return inner
-    return [(_own_text(w, least), path)] if w["m"] else inner
+    found: list = []
+    for k in w["k"]:
+        found += _marked(k, least, known)
+    own = w["t"] != "()"
+    if w["m"] and not (
+        w["t"] != "article" and any(path[0].split(".")[0] == "article" for _, path, _ in found)
+    ):
+        found = [(_own_texts(w, least, known), [], w)]
+    if own:
+        for _, path, _ in found:
+            path.append(w["l"])
+    return found
 
 
 def rule(w: dict) -> dict:
     """``path``: labels from the page down to the item with the main text; ``template``:
-    items whose text belongs to the template, if the item is not marked as main: path, text,
-    and place among the items of the same label beside it, from the front and from the end
-    (None where pages may differ in how many come before or after)."""
-    marked = _marked(w, (), _least(w))
-    if marked and max(marked)[0] > 0:
-        return {"path": list(max(marked)[1]), "template": []}
+    items in it whose text belongs to the template: path, text, place among the items of the
+    same label beside it, from the front and from the end (None where pages may differ in
+    how many come before or after), and whether it is one of a run that begins and ends
+    there. ``hints``: whether hinted blocks are left out."""
+    known: dict = {}
+    marked = _marked(w, _least(w), known)
+    best = min(marked, key=lambda m: (-m[0], m[1][::-1]), default=None)
+    if best is not None and best[0] > 0:
+        at, path = best[2], best[1][::-1]
+        least = max(_least(at), MARKED_PAGES)
+        slots = _own_texts(at, least, known)
+        # pages of the host that say the same all over are copies, and no template
+        whole = _own_texts(at, at["n"] + 1, known)
+        template = _template(at, least) if 100 * slots >= SLOT_PERCENT * whole else []
+        return {"path": path, "template": template, "hints": True}
     path, at = [], w
+    hints = _own_texts(w, _least(w), known) > 0
     while True:
         least = _least(at)
         kids = [k for g in at["k"] for k in (g["k"] if g["t"] == "()" else [g])]
-        best = max(kids, key=lambda k: _own_text(k, least), default=None)
+        sizes = [_own_texts(k, least, known) for k in kids]
+        size = max(sizes, default=0)
         # go down while one child alone, which is not one of several, holds most of the text
-        if best is None or best["r"] or _own_text(best, least) < 0.7 * max(_own_text(at, least), 1):
+        if not kids or size < 0.7 * max(_own_texts(at, least, known), 1):
             break
-        if not best["k"] and best["t"] in ("p", *HEADINGS):
+        best = kids[sizes.index(size)]
+        if best["r"] or not best["k"] and best["t"] in ("p", *HEADINGS):
             break
         # nor past a heading of its own beside that child
-        if any(k["t"] in HEADINGS and _own_text(k, least) for k in kids):
+        if any(k["t"] in HEADINGS and n for k, n in zip(kids, sizes, strict=True)):
             break
         path.append(best["l"])
         at = best
+    return {"path": ["", *path], "template": _template(at, least), "hints": hints}
+
+
+def _template(at: dict, least: int) -> list:
+    """The items below ``at`` whose text so many pages agree on, as ``rule`` tells them."""
     template: list = []
 
-    def collect(items: list[dict], own: tuple, single: bool) -> None:
+    def collect(items: list[dict], own: list, single: bool) -> None:
         for i, item in enumerate(items):
             if item["t"] == "()":
                 collect(item["k"], own, False)
                 continue
-            path = (*own, item["l"])
-            if item["f"] and item["n"] >= least:
-                one = single and not item["r"]
-                ends = items[:i], items[i + 1 :]
-                at_place = [_place(side, item["l"]) if one else None for side in ends]
-                template.append([list(path), item["f"], *at_place])
-            collect(item["k"], path, True)
+            own.append(item["l"])
+            front, end = (
+                _place(side, item["l"]) if single else None for side in (items[:i], items[i + 1 :])
+            )
+            for text in item["c"] if item["n"] >= least else ():
+                template.append([list(own), text, front, end, item["r"]])
+            collect(item["k"], own, True)
+            own.pop()
 
-    collect(at["k"], (), True)
-    return {"path": ["", *path], "template": template}
+    collect(at["k"], [], True)
+    return template
 
 
 def _place(items: list[dict], label: str) -> int | None:
@@ -253,53 +326,103 @@ def _find(node: Node, path: list[str]) -> list[Node]:
 def _of_template(node: Node, front: int, end: int, places: list) -> bool:
     """Whether the node has the text of a template item, where that item is."""
     text = " ".join(x for x in (plain(p) for p in node.parts if isinstance(p, str)) if x)
-    return any(
-        text == fixed and (front == at or end == back or at is None and back is None)
-        for fixed, at, back in places
-    )
-
-
-def _blocks(node: Node, own: tuple, template: dict, drop: bool, only: bool, out: list) -> None:
-    """Runs of text under ``node``; ``drop``: without its own text; ``only``: of headings."""
-    run = ""
-    labels = Counter(p.label for p in node.parts if isinstance(p, Node)) if template else {}
-    met: Counter = Counter()
-    for part in node.parts:
-        if isinstance(part, str):
-            run += part
+    for fixed, at, back, run in places:
+        if text != fixed:
             continue
-        front = met[part.label]
-        met[part.label] += 1
-        if part.tag == "header" or not part.skip:
-            out.append("" if only or drop else run)
+        if run and front >= (at or 0) and end >= (back or 0):
+            return True
+        if not run and (front == at or end == back or at is None and back is None):
+            return True
+    return False
+
+
+class _Reader:
+    """Reads the runs of text under a node along a rule."""
+
+    def __init__(self, how: dict):
+        self._hints = how["hints"]
+        # template items by the labels that lead to them
+        self._template: dict = {}
+        for path, *place in how["template"]:
+            at = self._template
+            for label in path:
+                at = at.setdefault(label, {})
+            at.setdefault(None, []).append(place)
+        self.out: list[str] = []
+
+    def read(self, node: Node, at: dict | None, drop: bool, only: bool) -> None:
+        """``at``: the template below this node; ``drop``: without its own text; ``only``: of
+        headings."""
+        run = ""
+        labels = Counter(p.label for p in node.parts if isinstance(p, Node)) if at else {}
+        met: Counter = Counter()
+        for part in node.parts:
+            if isinstance(part, str):
+                run += part
+                continue
+            front = met[part.label]
+            met[part.label] += 1
+            if part.skip or (part.hint and self._hints):
+                continue
+            self.out.append("" if only or drop else run)
             run = ""
-            path = (*own, part.label)
-            end = labels[part.label] - 1 - front if template else 0
-            fixed = path in template and _of_template(part, front, end, template[path])
+            below = at.get(part.label) if at else None
+            end = labels[part.label] - 1 - front if at else 0
+            fixed = below is not None and _of_template(part, front, end, below.get(None, []))
             inner = only and part.tag not in HEADINGS
-            _blocks(part, path, template, fixed, inner or part.tag == "header", out)
-    out.append("" if only or drop else run)
+            self.read(part, below, fixed, inner or part.header)
+        self.out.append("" if only or drop else run)
 
 
 def extract(page: str | None, how: dict | None) -> str:
     """The main text of a page by its host's rule, or by its own wrapper if that finds none."""
     if not page:
         return ""
+    _calls_may_be_deep()
     tree = parse(page)
     for attempt in (how, None):
         attempt = attempt or rule(of_page(tree))
-        template: dict[tuple, list] = {}
-        for path, *place in attempt["template"]:
-            template.setdefault(tuple(path), []).append(place)
-        out: list[str] = []
+        reader = _Reader(attempt)
         for node in _find(tree, attempt["path"]):
-            _blocks(node, (), template, False, False, out)
-        blocks = [b for b in map(plain, out) if b]
+            reader.read(node, reader._template, False, False)
+        blocks = [b for b in map(plain, reader.out) if b]
         if blocks:
             return "\n".join(blocks)
     return ""
 
 
+def _calls_may_be_deep() -> None:
+    if sys.getrecursionlimit() < DEEPEST_CALLS:
+        sys.setrecursionlimit(DEEPEST_CALLS)
+
+
+FIELDS = ["l", "t", "n", "s", "f", "c", "o", "r", "x", "h", "m"]
+
+
+def encoded(w: dict) -> str:
+    """A wrapper as JSON without nesting: every item before its own, with their number."""
+    rows, left = [], [w]
+    while left:
+        item = left.pop()
+        rows.append([*(item[f] for f in FIELDS), len(item["k"])])
+        left += item["k"][::-1]
+    return json.dumps(rows)
+
+
+def decoded(text: str) -> dict:
+    top: dict = {"k": []}
+    open_ = [(top, 1)]
+    for *values, count in json.loads(text):
+        while not open_[-1][1]:
+            open_.pop()
+        parent, missing = open_[-1]
+        open_[-1] = parent, missing - 1
+        item = {**dict(zip(FIELDS, values, strict=True)), "k": []}
+        parent["k"].append(item)
+        open_.append((item, count))
+    return top["k"][0]
+
+
 # --- over all pages ------------------------------------------------------------------
 
 
@@ -311,13 +434,14 @@ def host_of(url: Column) -> Column:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """host and the JSON of its wrapper, from all of its pages."""
+    """host and its encoded wrapper, from all of its pages; a stored table."""
 
     def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, dict] = {}
+        _calls_may_be_deep()
 
         def out() -> pd.DataFrame:
-            rows = [(h, json.dumps(w)) for h, w in known.items()]
+            rows = [(h, encoded(w)) for h, w in known.items()]
             known.clear()
             return pd.DataFrame(rows, columns=["host", "wrapper"])
 
@@ -330,29 +454,36 @@ def wrappers(pages: DataFrame) -> DataFrame:
         yield out()
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        whole = merged([json.loads(x) for x in sorted(rows["wrapper"])])
-        return pd.DataFrame({"host": rows["host"].iloc[:1], "wrapper": [json.dumps(whole)]})
+        _calls_may_be_deep()
+        whole = merged([decoded(x) for x in sorted(rows["wrapper"])])
+        return pd.DataFrame({"host": rows["host"].iloc[:1], "wrapper": [encoded(whole)]})
 
     schema = "host string, wrapper string"
     found = pages.where("html IS NOT NULL").select("host", "html").mapInPandas(fold, schema)
-    # a host with many pages has a wrapper from each task: merge those in two steps
-    some = found.withColumn("part", F.pmod(F.xxhash64("wrapper"), F.lit(32)))
-    some = some.groupBy("host", "part").applyInPandas(merge, schema)
-    return some.groupBy("host").applyInPandas(merge, schema)
+    # a host with many pages has a wrapper from each task: they merge in bounded groups
+    while True:
+        found = written(found.withColumn("at", F.monotonically_increasing_id()), "wrappers")
+        most = found.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+        if most <= 1:
+            return found.drop("at")
+        part = F.pmod("at", F.lit(-(-most // MERGED_AT_ONCE)))
+        found = found.groupBy("host", part.alias("part")).applyInPandas(merge, schema)
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars (code points), host.
 
     Null and empty pages have empty text; pages without a host in their URL are one
-    host; repeated rows are read each time; other columns are left out.
+    host; repeated rows are read each time; of items marked as main that hold equally much
+    the first by their labels counts; other columns are left out.
     """
     rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
-    found = written(wrappers(rows), "wrappers")
+    found = wrappers(rows)
 
     def rules(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _calls_may_be_deep()
         for own in parts:
-            how = [json.dumps(rule(json.loads(x))) for x in own["wrapper"]]
+            how = [json.dumps(rule(decoded(x))) for x in own["wrapper"]]
             yield pd.DataFrame({"host": own["host"], "how": how})
 
     by_host = written(found.mapInPandas(rules, "host string, how string"), "rules")

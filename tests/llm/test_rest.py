@@ -12,7 +12,7 @@ from contract.check import difference, duckdb_over
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from swishline.llm import chat, mixing, topk
+from swishline.llm import chat, html_wrappers, mixing, topk
 from swishline.llm.html_tree import parse
 from swishline.llm.html_wrappers import _merged, extract, main_texts, merged, of_page, rule
 from swishline.llm.queries import ORACLE_SQL, QUERIES
@@ -144,6 +144,102 @@ def test_wrappers_find_repeats_options_and_slots():
     assert [(k["l"], k["r"], k["o"]) for k in both] == [("(h2 p)", True, False)]
 
 
+def test_text_after_and_within_deep_nests_is_kept():
+    for depth in (250, 20_000):
+        page = (
+            "<div><article><p>first</p>" + "<div>" * depth + "<p>inner</p><div class=ad>buy</div>"
+            + "</div>" * depth + "<p>after the nest</p></article></div><footer>end</footer>"
+        )
+        assert extract(page, None) == "first\ninner\nafter the nest"
+        assert texts_of_host([page] * 3) == ["first\ninner\nafter the nest"] * 3
+
+
+def test_names_do_not_drop_headings_paragraphs_or_whole_pages():
+    page = (
+        "<body class='home has-sidebar'><article class='post social'><h1 class='post header'>T</h1>"
+        "<p class=social>a</p><section id=tags><p>b</p></section><div class=share-buttons>no</div>"
+        "<div class='text no-comments'><p class=notice>c</p></div><div class='post header'>by x<h2>U</h2></div>"
+        "</article></body>"
+    )
+    assert extract(page, None) == "T\na\nb\nc\nU"
+    assert extract("<main><div class=widget><p>all there is</p></div></main>", None) == "all there is"
+
+
+def test_the_wrapper_drops_template_text_of_marked_items():
+    """Every page alone keeps what only the host's other pages tell apart."""
+    layout = (
+        "<article><p>By our staff</p><h1>{0} title</h1><p>{0} words of the text itself</p>"
+        "<p>{0} more words, and some of its own</p><p>Write to us if you find a mistake</p></article>"
+    )
+    pages = [layout.format(f"page{i}") for i in range(8)]
+    for i, text in enumerate(texts_of_host(pages)):
+        own = [f"page{i} title", f"page{i} words of the text itself", f"page{i} more words, and some of its own"]
+        assert text.split("\n") == own
+        assert extract(pages[i], None).split("\n") == ["By our staff", *own, "Write to us if you find a mistake"]
+
+
+def test_wrappers_merge_in_bounded_groups(spark, monkeypatch):
+    """The wrapper of a host decides over all pages, from however many tasks they come."""
+    layout = "<article><p>Fixed line</p><h1>{0} title</h1><p>{0} words of the text itself</p></article>"
+    rows = [(i, f"http://h.example/{i}", layout.format(f"page{i}")) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(24)
+    monkeypatch.setattr(html_wrappers, "MERGED_AT_ONCE", 4)
+    found = {r["page_id"]: r["text"] for r in main_texts(pages).collect()}
+    assert found == {i: f"page{i} title\npage{i} words of the text itself" for i in range(60)}
+
+
+def test_copies_of_a_page_are_no_template():
+    page = "<article><h1>same title</h1><p>same text</p><p>more of it</p></article>"
+    near = page.replace("more of it", "a little else here")
+    assert texts_of_host([page] * 9) == ["same title\nsame text\nmore of it"] * 9
+    assert texts_of_host([page] * 4 + [near] * 4)[-1] == "same title\nsame text\na little else here"
+
+
+@settings(deadline=None, max_examples=40)
+@given(
+    st.sampled_from(["article", "main", "div class=content", "section id=text"]),
+    st.lists(st.tuples(st.booleans(), st.sampled_from(["p", "h2", "blockquote", "div"])), min_size=2, max_size=7),
+    st.integers(6, 12),
+)
+def test_hosts_made_of_own_and_fixed_blocks(tag, blocks, count):
+    """The plain version: what a page is made of, less what all pages are made of. Fixed
+    blocks stand first or last, as templates have them."""
+    blocks = [*blocks, (True, "p"), (True, "p")]
+    half = len(blocks) // 2
+    fixed = [(f"fixed {n} of the host", t) for n, (own, t) in enumerate(blocks) if not own]
+
+    def page(i):
+        own = [(f"page {i} has words of its own in block number {n}", t) for n, (o, t) in enumerate(blocks) if o]
+        rows = [*fixed[:half], ("title of page %d" % i, "h1"), *own, *fixed[half:]]
+        inner = "".join(f"<{t}>{text}</{t}>" for text, t in rows)
+        body = f"<nav>home</nav><{tag}>{inner}</{tag.split()[0]}><footer>end</footer>"
+        return f"<body>{body}</body>", [text for text, _ in rows if "fixed" not in text]
+
+    pages = [page(i) for i in range(count)]
+    for found, (_, want) in zip(texts_of_host([p for p, _ in pages]), pages, strict=True):
+        assert found.split("\n") == want
+
+
+@settings(deadline=None)
+@given(st.lists(st.sampled_from("abcd"), max_size=30), st.lists(st.sampled_from("abcd"), max_size=30))
+def test_alignments_are_longest(a, b):
+    found = html_wrappers.common(a, b)
+    assert all(a[i] == b[j] for i, j in found)
+    assert all(x < y and u < v for (x, u), (y, v) in zip(found, found[1:], strict=False))
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+    assert len(found) == table[-1][-1]
+
+
+def test_very_long_lists_are_aligned_exactly():
+    first = "<ul>" + "".join(f"<li class=k{chr(97 + i % 7)}>x</li><p>y" for i in range(1500)) + "</ul>"
+    second = first.replace("<li class=ka>x</li>", "", 1)
+    whole = _merged(of_page(parse(first)), of_page(parse(second)))
+    assert html_wrappers.decoded(html_wrappers.encoded(whole)) == whole
+
+
 @settings(deadline=None)
 @given(st.text(st.sampled_from("<>/pdivarticleh1 \"'=!-&;ab"), max_size=200))
 def test_any_page_can_be_read(page):
