@@ -62,6 +62,7 @@ class Similarity:
 PARTS = 64
 BLOCK_GRAMS = 1 << 15  # n-grams in the sets of a block, on average
 BUNDLE_DOCS = 500  # of components of one block, which are compared in one call
+HOT_DOCS = 2000  # of an n-gram; more are paired in parts
 COLUMNS = 1 << 13  # n-grams in a matrix: a block of short sets has thousands of rows
 SET_BYTES = 1 << 20  # of text whose sets are made at once: they take many times its size
 
@@ -294,11 +295,23 @@ def _indexed(
 
 def _across(labelled: DataFrame, prefixes: DataFrame, s: Similarity) -> DataFrame:
     """Candidate pairs of different labels. All n-grams that such a pair has in common in
-    its prefixes have to be in ``labelled``: the positional filter counts them."""
-    x, y = labelled.alias("x"), labelled.alias("y")
+    its prefixes have to be in ``labelled``: the positional filter counts them.
+
+    The documents of an n-gram that very many share are dealt into parts of about HOT_DOCS,
+    and each part meets all documents of the n-gram in a task of its own.
+    """
+    hot = labelled.groupBy("gram").agg(F.count(F.lit(1)).alias("docs"))
+    hot = hot.where(F.col("docs") > HOT_DOCS)
+    hot = hot.select("gram", F.ceil(F.col("docs") / HOT_DOCS).cast("int").alias("cuts"))
+    cut = labelled.join(lookup_side(written(hot, "hot")), "gram", "left")
+    cut = cut.withColumn("cuts", F.coalesce("cuts", F.lit(1)))
+    every = F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))
+    own = F.pmod(F.xxhash64("doc_id"), F.col("cuts")).cast("int")
+    x, y = cut.withColumn("part", every).alias("x"), cut.withColumn("part", own).alias("y")
     joined = x.join(
         y,
         (F.col("x.gram") == F.col("y.gram"))
+        & (F.col("x.part") == F.col("y.part"))
         & (F.col("x.label") < F.col("y.label"))
         & _may_reach(s),
     )

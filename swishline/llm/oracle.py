@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from swishline.llm import chat, lexical, merkle
 
-NGRAM_JOIN = r"""
+_NGRAM_TABLES = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -33,12 +33,25 @@ WITH RECURSIVE words AS (
   SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
 ), same AS (
   SELECT b AS doc_id, min(a) AS class_id FROM sized WHERE c = na AND c = nb GROUP BY b
+), linked AS (
+  SELECT a AS doc_id, count(*) AS n_links FROM both_ways GROUP BY a
 )
+"""
+
+NGRAM_JOIN = f"""{_NGRAM_TABLES}
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(class_id, doc_id) AS class_id
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN component USING (doc_id)
 LEFT JOIN same USING (doc_id)
 """
 
+# a document's other documents that are similar, those with an equal set among them
+NGRAM_LINKS = f"""{_NGRAM_TABLES}
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(class_id, doc_id) AS class_id,
+  coalesce(n_links, 0) AS n_links
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN component USING (doc_id)
+LEFT JOIN same USING (doc_id) LEFT JOIN linked USING (doc_id)
+"""
+
 QUALITY_RULES = r"""
 WITH split AS (
   SELECT doc_id, source, coalesce(text, '') AS text,
@@ -103,6 +116,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 ORACLE_SQL = {
     "op5_chat_formatting": chat.ORACLE,
     "op6_ngram_join": NGRAM_JOIN,
+    "op6_ngram_links": NGRAM_LINKS,
     "op7_quality_rules": QUALITY_RULES,
     "op9_voronoi_top_k": TOP_K,
     "op11_lexical_search": lexical.ORACLE,

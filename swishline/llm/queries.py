@@ -76,7 +76,7 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# the SQL of op6_ngram_join states no number of links: the whole join is a query of its own
+# every link counts here, not only those that components need
 @query
 def op6_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join.similar(table(spark, sf_dir, "documents"))

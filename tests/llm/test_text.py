@@ -177,6 +177,30 @@ def test_near_duplicates_equal_brute_force(spark):
     }
 
 
+def test_a_common_passage_over_many_components(spark, monkeypatch):
+    """One passage, and so its n-grams, in 90 groups of short texts that differ otherwise."""
+    monkeypatch.setattr(ngram_join, "HOT_DOCS", 7)
+    passage = " ".join(f"p{i}" for i in range(9))
+    rng, rows = random.Random(11), []
+    for group in range(90):
+        own = [f"g{group}w{i}" for i in range(rng.choice([4, 20, 36]))]
+        for copy in range(rng.choice([1, 2, 3])):
+            tail = own[: len(own) - copy]
+            rows.append((10 * group + copy, f"{passage} {' '.join(tail)}"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = ngram_join.similar(docs).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == linked(rows)
+    sets = grams(rows)
+    expected = {
+        a: sum(a != b and 100 * len(x & y) >= 80 * len(x | y) for b, y in sets.items())
+        for a, x in sets.items()
+    }
+    assert {r["doc_id"]: r["n_links"] for r in found} == expected
+    assert len({r["component_id"] for r in found}) > 60
+    both = {(a, b) for r in ngram_join.similar_pairs(docs).collect() for a, b in [(r["a"], r["b"])]}
+    assert 2 * len(both) == sum(expected.values())
+
+
 @pytest.mark.parametrize("block_grams", [1 << 15, 300])
 def test_every_link_is_counted(spark, monkeypatch, block_grams):
     """Near copies with different texts, of which components alone need few links."""
@@ -216,6 +240,8 @@ def test_near_duplicates_handle_odd_rows(odd_documents):
     assert kept.columns == odd_documents.columns
     assert kept.count() == odd_documents.count()
     assert ngram_join.near_duplicates(odd_documents.limit(0)).collect() == []
+    assert ngram_join.similar(odd_documents.limit(0)).collect() == []
+    assert ngram_join.similar(odd_documents).count() == odd_documents.count()
 
 
 def test_gradients_equal_differences():
