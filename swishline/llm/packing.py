@@ -5,8 +5,8 @@ group of lengths, with how often each is used. The search sees only the number o
 pieces of each length: its size is bounded by the capacity, not by the documents.
 
 Individuals are groups of bins. Crossover injects whole well-filled bins of one parent
-into the other, removes the bins whose pieces are then used twice, and best-fits the
-pieces that this displaces. Islands evolve in tasks of their own; after each epoch an
+into the other, removes the bins whose pieces are then used twice, lets the pieces that
+this displaces replace smaller ones in badly filled bins, and best-fits the rest. Islands evolve in tasks of their own; after each epoch an
 island sends its best individual to the next one. Pieces then take the places of their
 length by rank.
 """
@@ -16,9 +16,11 @@ from __future__ import annotations
 import json
 import random
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -31,6 +33,7 @@ from swishline.llm.tables import lookup_side, slices
 from swishline.sources.scratch import written
 
 END_ID = 2
+REPLACED_KINDS, REPLACED_TIMES = 24, 8  # of bins, and of changes to one of them
 
 Bins = dict[tuple[int, ...], int]  # lengths in falling order -> how many such bins
 
@@ -118,8 +121,62 @@ def cross(
     for bin_ in sorted(own, key=lambda x: -sum(x)):
         if bin_ not in dropped:
             take(bin_, a[bin_])
-    displaced = sorted(((x, n) for x, n in left.items() if n), reverse=True)
-    return best_fit(displaced, capacity, child)
+    displaced = Counter({x: n for x, n in left.items() if n})
+    replace(child, displaced, capacity)
+    return best_fit(sorted(displaced.items(), reverse=True), capacity, child)
+
+
+def replace(bins: Bins, displaced: Counter, capacity: int) -> None:
+    """Before they are best-fitted, displaced pieces take the place of one or two smaller
+    ones in the bins with the most room, where that fills the bin better: the smaller the
+    pieces that are left over, the better they fit. Changes both arguments."""
+    worst = sorted((b for b in bins if sum(b) < capacity), key=lambda b: (sum(b), b))
+    for bin_ in worst[:REPLACED_KINDS]:
+        for _ in range(REPLACED_TIMES):
+            found = _better(bin_, sorted(displaced), displaced, capacity)
+            if not found:
+                break
+            out, into = found
+            needs = Counter(into)
+            count = min([bins[bin_], *(displaced[x] // n for x, n in needs.items())])
+            rest = list(bin_)
+            for x in out:
+                rest.remove(x)
+                displaced[x] += count
+            for x, n in needs.items():
+                displaced[x] -= n * count
+                if not displaced[x]:
+                    del displaced[x]
+            bins[bin_] -= count
+            if not bins[bin_]:
+                del bins[bin_]
+            bin_ = tuple(sorted((*rest, *into), reverse=True))
+            bins[bin_] = bins.get(bin_, 0) + count
+
+
+def _better(bin_: tuple, lengths: list[int], displaced: Counter, capacity: int) -> tuple | None:
+    """Pieces of the bin and displaced ones that fill it best in their place."""
+    room, best = capacity - sum(bin_), None
+    own = [(x,) for x in set(bin_)] + list(set(combinations(bin_, 2)))
+    for out in own:
+        low, high = sum(out), sum(out) + room
+        at = bisect_right(lengths, high) - 1
+        if at >= 0 and lengths[at] > (best[0] if best else 0) + low:
+            best = lengths[at] - low, out, (lengths[at],)
+        if len(out) == 2:
+            i, j = 0, len(lengths) - 1
+            while i <= j:
+                total = lengths[i] + lengths[j]
+                if total > high:
+                    j -= 1
+                    continue
+                enough = i < j or displaced[lengths[i]] > 1
+                if enough and total - low > (best[0] if best else 0):
+                    best = total - low, out, (lengths[j], lengths[i])
+                i += 1
+        if best and best[0] == room:
+            break
+    return best[1:] if best else None
 
 
 def _as_text(bins: Bins) -> str:

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -160,3 +162,55 @@ def test_crossover_keeps_every_piece(lengths, seed):
             for x in bin_:
                 held[x] += count
         assert held == pieces
+
+
+# --- the packing search where best fit fails
+
+
+def triplets(count, capacity, seed):
+    """Lengths of three pieces that fill a sequence, ``count`` times: ``count`` is the best."""
+    rng, out = random.Random(seed), []
+    while len(out) < 3 * count:
+        a = rng.randint(capacity * 38 // 100, capacity * 49 // 100)
+        b = rng.randint(capacity // 4 + 1, (capacity - a) // 2)
+        if capacity // 4 < capacity - a - b < capacity // 2:
+            out += [a, b, capacity - a - b]
+    return Counter(out)
+
+
+@pytest.mark.parametrize("count", [20, 60])
+def test_islands_beat_best_fit_where_it_is_not_optimal(spark, count):
+    pieces = triplets(count, 1000, 5)
+    plain = sum(packing.best_fit(sorted(pieces.items(), reverse=True), 1000).values())
+    bins = packing.pack_lengths(spark, pieces, 1000)
+    assert count <= sum(bins.values()) <= plain - 2
+    assert packed(bins) == pieces and max(map(sum, bins)) <= 1000
+
+
+def packed(bins):
+    total = Counter()
+    for bin_, n in bins.items():
+        for x in bin_:
+            total[x] += n
+    return total
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.lists(st.tuples(st.integers(1, 50), st.integers(1, 6)), min_size=1, max_size=25), st.integers(0, 99))
+def test_crossover_with_replacement_keeps_every_piece(lengths, seed):
+    pieces = Counter()
+    for length, count in lengths:
+        pieces[length] += count
+    rng = random.Random(seed)
+    a, b = (packing._first_individual(pieces, 50, rng) for _ in range(2))
+    for well in (0.5, 0.995):
+        child = packing.cross(a, b, pieces, 50, rng, well)
+        assert packed(child) == pieces
+        assert max(map(sum, child)) <= 50 and min(child.values()) > 0
+
+
+def test_displaced_pieces_replace_smaller_ones():
+    bins, displaced = {(400, 300): 2, (1000,): 1}, Counter({550: 3, 350: 2})
+    packing.replace(bins, displaced, 1000)
+    assert packed(bins) + displaced == Counter({400: 2, 300: 2, 1000: 1, 550: 3, 350: 2})
+    assert bins[(1000,)] == 1 and max(sum(b) for b in bins if b != (1000,)) > 900
