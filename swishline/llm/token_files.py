@@ -83,7 +83,8 @@ def write_token_files(
 
     Documents go to files by ranges of ``doc_id`` (bigint) of about ``range_bytes`` of
     text. Null and empty texts have the end id alone; a null doc_id comes first;
-    rows with equal doc_id follow each other, ordered by text. A document is never
+    rows with equal doc_id follow each other, ordered by text within a file; those that a
+    range cuts apart go to files by a hash of their text. A document is never
     cut, so one of more than ``block_tokens`` tokens makes a larger block.
     """
 

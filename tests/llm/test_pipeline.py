@@ -90,3 +90,10 @@ def test_sequences_follow_the_mix(spark):
     shares = [share(k / 10, (k + 1) / 10) for k in range(10)]
     assert all(abs(x - 1 / 3) < 0.08 for x in shares[:5]), shares
     assert max(shares[7:]) < 0.04, shares
+
+
+def test_every_stage_takes_an_empty_table(spark, documents, small):
+    docs = written(documents.limit(0), "empty")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, small), name)
+        assert docs.count() == 0
