@@ -2,8 +2,9 @@
 
 Reads BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8).
 Each query writes its whole result to the no-op sink. The time reported is the
-second of two runs: the first pays for class loading and code generation. The 100
-boosting rounds that the model queries share are timed as ``boosted_fit``, once.
+second of two runs: the first pays for class loading and code generation. The boosted
+fit that the model queries share, whole stages of rounds, is timed as ``boosted_fit``,
+once; these queries then walk its node table.
 """
 
 from __future__ import annotations
