@@ -40,6 +40,7 @@ INDEX = "segment bigint, term bigint, numbers array<int>, counts array<int>, ids
 FOUND = "item_id bigint, doc_id bigint, score bigint, segment bigint"
 TABLE_CELLS = 1 << 18  # interval x term cells that are looked at together
 AT_ONCE = 64
+MOST_TASKS = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -62,8 +63,10 @@ def impact(tf: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 def normalized(n: np.ndarray, documents: int, terms: int) -> np.ndarray:
-    """100 for a document of mean length, at least 10; in 64-bit integers."""
-    return 100 - 90 + (90 * n * documents) // max(terms, 1)
+    """100 for a document of mean length, at least 10; in 64-bit integers, of which the whole
+    part of the quotient is taken out first, so that products stay small."""
+    whole, rest = divmod(90 * documents, max(terms, 1))
+    return 100 - 90 + n * whole + (n * rest) // max(terms, 1)
 
 
 # ------------------------------------------------------------------------- terms
@@ -412,7 +415,7 @@ def search(docs: DataFrame, items: DataFrame, r: Ranking = Ranking()) -> DataFra
     weighted = written(asked.join(df, "term").select("item_id", "term", weight.alias("weight")),
                        "lexical_weights")
     rows = of_documents.unionByName(lists.select(*of_documents.columns))
-    rows = rows.repartition(max(1, totals["segments"]), "segment")
+    rows = rows.repartition(min(max(1, totals["segments"]), MOST_TASKS), "segment")
     found = []
     for block in _blocks(weighted, r.block_terms):
         answers = _searcher(spark.sparkContext.broadcast(block), documents, terms, r.k)
