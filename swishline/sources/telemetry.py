@@ -104,7 +104,10 @@ def _listed(spark: SparkSession, path: str) -> DataFrame:
 
 def _current(spark: SparkSession, path: str, days: Sequence[date] | None = None) -> DataFrame:
     """Each stored row once: from a compacted folder, or from a later batch."""
-    rows, listed = _stored(spark, path, days), _listed(spark, path)
+    rows = _stored(spark, path, days)
+    if not files.is_there(spark, f"{path.rstrip('/')}_compacted"):
+        return rows.where(F.col("stream_id") != COMPACTED)
+    listed = _listed(spark, path)
     # a row per day and stream: few, whatever the table holds
     upto = listed.groupBy("created_date", "stream_id").agg(F.max("upto").alias("upto"))
     versions = listed.select(
