@@ -79,7 +79,8 @@ CUT_SCHEMA = (
 
 
 def points(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
-    """The stored points: doc_id, size, text_crc32, copies (hash of the text), row_id, places."""
+    """The stored points: doc_id, size, text_crc32, copies (hash of the text), row_id, places,
+    and their cell: at first the one of all."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     names = [*tree.numeric, *tree.nominal]
     nominal = {c: _place(F.xxhash64(F.coalesce(F.col(c).cast("string"), F.lit("")))) for c in tree.nominal}
@@ -108,6 +109,7 @@ def points(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
             "doc_id", "size", "text_crc32", "copies",
             F.array("size", *[f"p{i + 1}" for i in range(len(names))]).alias("place"),
             F.monotonically_increasing_id().alias("row_id"),
+            F.lit(1).cast("bigint").alias("node"),
         ),
         "shard_points",
     )
@@ -227,7 +229,6 @@ def with_shards(at: DataFrame, tree: Tree = Tree()) -> DataFrame:
     """``points`` with their ``shard``, from 0."""
     spark = at.sparkSession
     dims = 1 + len(tree.numeric) + len(tree.nominal)
-    at = at.withColumn("node", F.lit(1).cast("bigint"))
     extents = _extents(at, dims)
     if not extents:
         return at.withColumn("shard", F.lit(0)).drop("node")
