@@ -20,10 +20,10 @@ PART = "pmod(xxhash64(shot_id), 4)"
 
 @pytest.fixture(scope="module")
 def telemetry(spark):
-    """Four days."""
+    """The last three days."""
     rows = bindings.telemetry(spark, SMALL)
     last = rows.agg(F.max("created_at")).first()[0]
-    return rows.where(F.col("created_at") >= F.lit(last - timedelta(days=3))).persist()
+    return rows.where(F.col("created_at") >= F.lit(last - timedelta(days=2))).persist()
 
 
 @pytest.fixture

@@ -233,6 +233,7 @@ def test_csv_follows_the_usual_quoting(spark, tmp_path):
 
 def test_compaction_changes_no_row_and_removes_files_later(spark, telemetry, rows):
     path = scratch_dir(spark, "telemetry")
+    telemetry = telemetry.where("created_at >= '2024-01-26'").persist()
     part = F.pmod(F.xxhash64("shot_id"), F.lit(4))
     for batch in range(4):
         store.append_telemetry(telemetry.where(part == batch), path, batch, "s")
