@@ -388,9 +388,8 @@ def trained(spark: SparkSession, sf_dir: str) -> Trained:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TRAINED:
         root = scratch_dir(spark, "artifacts")
-        plays = B.plays(spark, sf_dir)
-        done = R.retrain(spark, plays, root, F.col("play_id"))
-        _TRAINED[key] = Trained(done, root, R.split_features(plays, done.ratings, F.col("play_id")))
+        done = R.retrain(spark, B.plays(spark, sf_dir), root, F.col("play_id"))
+        _TRAINED[key] = Trained(done, root, done.features)
     return _TRAINED[key]
 
 
@@ -581,13 +580,26 @@ def stream_enrich_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = telemetry.read_telemetry(spark, _enriched(spark, transport, scorer))
     messages = P.readable(P.decode_events(events.read_messages(spark, transport)))
     batch = X.score_events(messages, scorer.model, scorer.ratings, X.event_time())
+    return as_batch(stored, batch)
+
+
+def as_batch(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """Pairs of stored and batch rows of a shot by time, and whether all have equal scores.
+
+    Equal messages share a shot_id: their pairs are counted, not made."""
     shots = ["shot_id", "event_time", "shot_distance"]
-    pairs = stored.alias("s").join(batch.alias("b"), shots)
-    same = (F.col("s.expected_points") == F.col("b.expected_points")) & (
-        F.col("s.shot_grade") == F.col("b.shot_grade")
+    score = F.struct("expected_points", "shot_grade")
+    alike = [F.count(F.lit(1)).alias("n"), F.min(score).alias("low"), F.max(score).alias("high")]
+    pairs = stored.groupBy(*shots).agg(*alike).alias("s").join(
+        batch.groupBy(*shots).agg(*alike).alias("b"), shots
+    )
+    same = (
+        (F.col("s.low") == F.col("b.low"))
+        & (F.col("s.high") == F.col("b.high"))
+        & (F.col("s.low") == F.col("s.high"))
     )
     return pairs.groupBy("event_time").agg(
-        F.count(F.lit(1)).alias("shots"), F.bool_and(same).alias("as_batch")
+        F.sum(F.col("s.n") * F.col("b.n")).alias("shots"), F.bool_and(same).alias("as_batch")
     ).withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 

@@ -106,9 +106,10 @@ def train_boosted(
 
     Fits grow in stages, each of about twice the rounds of the last, until patience has
     run out: with one seed the first trees are the same however many follow, so a
-    model whose best round is early never pays for the rounds after it. ``losses`` are
-    those of the last fit. Pass stored tables: every round reads the rows again where
-    memory is short. The cut model is made of the first trees of the fitted one.
+    model whose best round is early never pays for the rounds after it. If the first stage
+    ends with its lowest loss, the next one has all rounds, and so has the third in any case.
+    ``losses`` are those of the last fit. Pass stored tables: every round reads the rows
+    again where memory is short. The cut model is made of the first trees of the fitted one.
     """
     use_checkpoints(train.sparkSession)
     stages = _prepared(train, impute)
@@ -122,12 +123,15 @@ def train_boosted(
         weightCol="weight",
         seed=settings.seed,
     )
-    for rounds in stops(settings.rounds, settings.patience):
+    first, *later = stops(settings.rounds, settings.patience)
+    rounds = first
+    while True:
         fitted = learner.copy({learner.maxIter: rounds}).fit(rows)
         losses = list(fitted.evaluateEachIteration(held_out))
         keep = best_round(losses, settings.patience)
-        if len(losses) - keep >= settings.patience:
+        if rounds == settings.rounds or len(losses) - keep >= settings.patience:
             break
+        rounds = later[0] if rounds == first and keep < rounds else settings.rounds
     if keep < len(losses):
         fitted = shortened(fitted, keep)
     return Boosted(PipelineModel([*stages, fitted]), losses, keep)

@@ -26,15 +26,17 @@ from swishline.plans.options import print_all
 from swishline.session import get_session
 from swishline.sources.artifacts import publish_model, publish_ratings
 from swishline.sources.plays import scan_plays
-from swishline.sources.scratch import written
+from swishline.sources.scratch import spread, written
 
 
 @dataclass(frozen=True)
 class Retrained:
-    """What a training run leaves behind; the frames are small reports."""
+    """What a training run leaves behind; the frames are small reports, but for the
+    stored feature rows with their split."""
 
     model: PipelineModel
     ratings: RatingTable
+    features: DataFrame
     losses: list[float]
     best_round: int | None
     balance: DataFrame
@@ -71,10 +73,11 @@ def feature_rows(
 def split_features(
     plays: DataFrame, ratings: RatingTable, key: Column, legacy_training: bool = False
 ) -> DataFrame:
-    """Feature rows with their split, stored: training reads them many times."""
+    """Feature rows with their split, stored and dealt evenly: training reads them many times."""
     keyed = plays.withColumn("shot_key", key)
     features = feature_rows(keyed, ratings, ("shot_key",), legacy_training)
-    return written(train_test_split(features, F.col("shot_key")), "features", "split")
+    stored = written(train_test_split(features, F.col("shot_key")), "features")
+    return written(spread(stored), "split", "split")
 
 
 def retrain(
@@ -104,6 +107,7 @@ def retrain(
     return Retrained(
         model=model,
         ratings=ratings,
+        features=features,
         losses=losses,
         best_round=best,
         balance=class_balance(features),

@@ -15,8 +15,9 @@ from swishline.operators import nodes as N
 from swishline.operators.scoring import score_shots
 from swishline.plans.retrain import feature_rows, rated_players, retrain, split_features
 from swishline.schemas import FEATURES
+from swishline.sources import scratch
 from swishline.sources.artifacts import load_model, load_ratings
-from swishline.sources.scratch import scratch_dir, written
+from swishline.sources.scratch import even_tasks, scratch_dir, written
 
 
 @pytest.fixture(scope="module")
@@ -96,6 +97,57 @@ def test_stages_keep_what_the_full_fit_cut_keeps(split, monkeypatch):
     assert both[0] == both[1]
 
 
+@pytest.mark.parametrize(
+    "losses, fits",
+    [
+        # still falling after the first stage: all rounds next, no stages between
+        ([100 - n for n in range(100)], [12, 100]),
+        # one rise near its end: one stage more, and then all
+        ([*range(100, 89, -1), 95, *range(80, -8, -1)], [12, 25, 100]),
+        # patience runs out in the first stage, or in the second
+        ([1, *[2] * 99], [12]),
+        ([9, 8, 7, 6, 5, *[6] * 95], [12, 25]),
+    ],
+)
+def test_at_most_three_fits(split, monkeypatch, losses, fits):
+    seen = []
+
+    class Fitted:
+        def __init__(self, rounds):
+            seen.append(rounds)
+            self.rounds = rounds
+
+        def evaluateEachIteration(self, rows):
+            return losses[: self.rounds]
+
+    fit = lambda self, rows, params=None: Fitted(self.getMaxIter())
+    monkeypatch.setattr(M.GBTClassifier, "fit", fit)
+    monkeypatch.setattr(M, "shortened", lambda fitted, rounds: fitted)
+    monkeypatch.setattr(M, "PipelineModel", lambda stages: stages[-1])
+    monkeypatch.setattr(M, "_weighted", lambda rows, stages, weight: rows)
+    done = M.train_boosted(*split)
+    assert seen == fits
+    assert done.best_round == M.best_round(losses, 10)
+
+
+def test_rows_to_train_on_are_dealt_evenly(spark, signal_plays, monkeypatch):
+    """Small tables make one task of a read, however many cores there are."""
+    assert even_tasks(0, 12) == even_tasks(20_000, 12) == 1
+    assert even_tasks(50_000, 12) == 3
+    assert even_tasks(900_000, 12) == 12
+    assert even_tasks(36_000_000, 12) == 36
+    monkeypatch.setattr(scratch, "LEAST_TASK_ROWS", 10)
+    one = signal_plays.coalesce(1)
+    rows = split_features(one, rated_players(one), F.col("play_id"))
+    for part in ("train", "test"):
+        sizes = rows.where(F.col("split") == part).groupBy(F.spark_partition_id()).count()
+        sizes = [r["count"] for r in sizes.collect()]
+        assert len(sizes) == 8
+        assert max(sizes) < 2 * min(sizes) + 20
+    shots = feature_rows(one, rated_players(one)).count()
+    assert rows.count() == shots and rows.select("shot_key").distinct().count() == shots
+
+
 @pytest.fixture(scope="module")
 def boosted(split):
     return M.train_boosted(*split, M.Boosting(rounds=6, depth=4))

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from contract import queries as contract
 from swishline.operators import analytics as A
 from swishline.operators import plays as P
 from swishline.operators.model import train_logistic
@@ -383,3 +384,24 @@ def test_live_results_stay_bounded(spark, transport, events, rows):
     counted = live.shots_per_minute_now(spark, f"{base}/minutes")
     assert total == events.count() == counted.agg(F.sum("shots")).first()[0]
     assert counted.count() == counted.select("minute").distinct().count()
+
+
+def test_equal_messages_are_compared_without_making_their_pairs(spark):
+    def scores(count, *others):
+        one = "1.5D AS expected_points, 'A' AS shot_grade"
+        shot = "'same' AS shot_id, timestamp '2024-01-01' AS event_time, 7 AS shot_distance"
+        rows = spark.range(count).selectExpr(*[p.strip() for p in f"{shot}, {one}".split(",")])
+        for shot_id, at, points in others:
+            other = spark.sql(f"SELECT '{shot_id}', timestamp '{at}', 7, {points}, 'A'")
+            rows = rows.unionByName(other.toDF(*rows.columns))
+        return rows
+
+    many = 200_000  # 40 billion pairs
+    stored = scores(many, ("a", "2024-01-02", "1D"), ("b", "2024-01-03", "1D"))
+    batch = scores(many, ("a", "2024-01-02", "1D"), ("b", "2024-01-03", "2D"))
+    found = {r["event_time"].day: r for r in contract.as_batch(stored, batch).collect()}
+    assert {day: r["shots"] for day, r in found.items()} == {1: many**2, 2: 1, 3: 1}
+    assert {day: r["as_batch"] for day, r in found.items()} == {1: True, 2: True, 3: False}
+    # one of the equal ones differs from the others, on both sides
+    odd = scores(3, ("same", "2024-01-01", "2D"))
+    assert contract.as_batch(odd, odd).collect()[0]["as_batch"] is False
